@@ -77,8 +77,7 @@ def as_uuid(text: Column) -> Column:
 
 
 def as_double(text: Column) -> Column:
-    value = text.try_cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(text.try_cast("double"), F.lit(None).cast("double"))
 
 
 def as_long(text: Column) -> Column:
@@ -106,24 +105,39 @@ class Field:
     default: object = None
     check: Callable[[Column], Column] | None = None
 
-    def value(self, pairs: Column) -> Column:
-        got = self.read(field_text(pairs, self.name))
+    def raw(self, pairs: Column) -> Column:
+        """Text of the field and whether its key occurs at all."""
+        return F.struct(field_text(pairs, self.name).alias("text"), has_field(pairs, self.name).alias("has")).alias(self.name)
+
+    def value(self, raw: Column) -> Column:
+        got = self.read(raw["text"])
         if self.default is not None:
-            got = F.when(has_field(pairs, self.name), got).otherwise(F.lit(self.default))
+            got = F.when(raw["has"], got).otherwise(F.lit(self.default))
         return got.alias(self.name)
 
-    def problem(self, pairs: Column, value: Column) -> Column:
+    def problem(self, raw: Column, value: Column, prefix: str = "") -> Column:
         """The field name when its text is missing, unreadable or out of bounds; else null."""
-        text = field_text(pairs, self.name)
         if self.required:
             bad = value.isNull()
         elif self.default is not None:
-            bad = has_field(pairs, self.name) & value.isNull()
+            bad = raw["has"] & value.isNull()
         else:
-            bad = text.isNotNull() & value.isNull() & (F.lower(text) != "nan")
+            bad = raw["text"].isNotNull() & value.isNull() & (F.lower(raw["text"]) != "nan")
         if self.check is not None:
             bad = bad | (value.isNotNull() & ~self.check(value))
-        return F.when(bad, F.lit(self.name))
+        return F.when(bad, F.lit(prefix + self.name))
+
+
+def raw_struct(fields: list[Field], pairs: Column) -> Column:
+    return F.struct(*[f.raw(pairs) for f in fields])
+
+
+def value_struct(fields: list[Field], raw: Column) -> Column:
+    return F.struct(*[f.value(raw[f.name]) for f in fields])
+
+
+def problem_list(fields: list[Field], raw: Column, values: Column, prefix: str = "") -> Column:
+    return F.array_compact(F.array(*[f.problem(raw[f.name], values[f.name], prefix) for f in fields]))
 
 
 def _text(col: Column) -> Column:
@@ -181,12 +195,6 @@ def truncate_ibi(ibi: Column, n: int = MAX_IBI) -> Column:
     return F.slice(ibi, 1, n)
 
 
-def _prefixed(fields: list[Field], pairs: Column, prefix: str) -> Column:
-    """Names of the bad fields of a nested object, with its path in front."""
-    parts = [f.problem(pairs, f.value(pairs)) for f in fields]
-    return F.transform(F.array_compact(F.array(*parts)), lambda n: F.concat(F.lit(prefix), n))
-
-
 def _plain_entries(text: Column) -> Column:
     """Like :func:`entries`, but an empty array when the text is no JSON object."""
     return F.coalesce(entries(text), F.array().cast("array<struct<k:string,v:string>>"))
@@ -197,97 +205,115 @@ def _unknown_keys(pairs: Column, schema: T.StructType) -> Column:
     return F.array_except(F.transform(pairs, lambda e: e["k"]), known)
 
 
-def _sample_struct(s: Column) -> Column:
-    """One typed sample with its problems, from its canonical entries and those of its quality object."""
+def _no_names() -> Column:
+    return F.array().cast("array<string>")
+
+
+def _sample_raw(s: Column) -> Column:
+    """Field texts of one sample, from its canonical entries and those of its quality object."""
     pairs, quality = s["pairs"], s["quality"]
-    values = {f.name: f.value(pairs) for f in SAMPLE_FIELDS}
-    ibi_raw = field_text(pairs, "ibi_ms")
-    ibi_text = F.from_json(ibi_raw, T.ArrayType(T.StringType()))
-    ibi = F.transform(truncate_ibi(F.coalesce(ibi_text, F.array().cast("array<string>"))), lambda x: x.try_cast("double"))
-    accelerometer = F.from_json(field_text(pairs, "accelerometer"), "struct<x:double,y:double,z:double>")
-    has_quality = field_text(pairs, "quality").isNotNull()
+    ibi = field_text(pairs, "ibi_ms")
+    return F.struct(
+        raw_struct(SAMPLE_FIELDS, pairs).alias("fields"), raw_struct(QUALITY_FIELDS, quality).alias("quality"),
+        field_text(pairs, "quality").isNotNull().alias("has_quality"), ibi.isNotNull().alias("has_ibi"),
+        F.from_json(ibi, T.ArrayType(T.StringType())).alias("ibi"),
+        F.from_json(field_text(pairs, "accelerometer"), "struct<x:double,y:double,z:double>").alias("accelerometer"),
+        s["unknown"].alias("unknown"))
+
+
+def _sample_values(r: Column) -> Column:
+    ibi = F.transform(truncate_ibi(F.coalesce(r["ibi"], _no_names())), lambda x: x.try_cast("double"))
+    return F.struct(r.alias("raw"), value_struct(SAMPLE_FIELDS, r["fields"]).alias("values"),
+                    value_struct(QUALITY_FIELDS, r["quality"]).alias("quality"), ibi.alias("ibi"))
+
+
+def _sample_checked(s: Column) -> Column:
+    raw, v = s["raw"], s["values"]
+    bad_ibi = F.exists(s["ibi"], lambda x: x.isNull()) | (raw["has_ibi"] & raw["ibi"].isNull())
     problems = F.concat(
-        _prefixed(SAMPLE_FIELDS, pairs, "samples."),
-        F.array_compact(F.array(
-            F.when(F.exists(ibi, lambda x: x.isNull()) | (ibi_raw.isNotNull() & ibi_text.isNull()), F.lit("samples.ibi_ms")),
-            F.when(~has_quality, F.lit("samples.quality")))),
-        F.when(has_quality, _prefixed(QUALITY_FIELDS, quality, "samples.quality.")).otherwise(F.array().cast("array<string>")),
-        F.transform(s["unknown"], lambda k: F.concat(F.lit("samples.unknown:"), k)))
+        problem_list(SAMPLE_FIELDS, raw["fields"], v, "samples."),
+        F.array_compact(F.array(F.when(bad_ibi, F.lit("samples.ibi_ms")), F.when(~raw["has_quality"], F.lit("samples.quality")))),
+        F.when(raw["has_quality"], problem_list(QUALITY_FIELDS, raw["quality"], s["quality"], "samples.quality.")).otherwise(_no_names()),
+        F.transform(raw["unknown"], lambda k: F.concat(F.lit("samples.unknown:"), k)))
     sample = F.struct(
-        values["timestamp"], sanitize_hr(values["heart_rate_bpm"]).alias("heart_rate_bpm"), ibi.alias("ibi_ms"),
-        accelerometer.alias("accelerometer"), values["skin_temperature_celsius"], values["ambient_temperature_celsius"],
-        F.struct(*[f.value(quality) for f in QUALITY_FIELDS]).alias("quality"))
+        v["timestamp"].alias("timestamp"), sanitize_hr(v["heart_rate_bpm"]).alias("heart_rate_bpm"), s["ibi"].alias("ibi_ms"),
+        raw["accelerometer"].alias("accelerometer"), v["skin_temperature_celsius"].alias("skin_temperature_celsius"),
+        v["ambient_temperature_celsius"].alias("ambient_temperature_celsius"), s["quality"].alias("quality"))
     return F.struct(sample.alias("sample"), problems.alias("problems"))
 
 
-def _no_names() -> Column:
-    return F.array().cast("array<string>")
-
-
 def parse_documents(raw: DataFrame, kind: str, unknown: str = "drop", value: str = "value") -> DataFrame:
     """Every document as declared columns plus ``doc_id``, ``kind``, ``reason`` and ``detail``.
 
     ``reason`` is null for a valid document, else identity_mismatch or invalid_document; ``detail`` lists the
     offending fields. ``unknown`` is "drop" to ignore undeclared keys or "reject" to refuse them.
+
+    Written in stages (entries, texts, values, problems) so that each is computed once per document.
     """
     if unknown not in ("drop", "reject"):
         raise ValueError("unknown must be 'drop' or 'reject'")
     schema, fields = SCHEMAS[kind], TOP_FIELDS[kind]
     reject = unknown == "reject"
-    nested = {n for n in ("samples", "features", "baseline") if n in schema.fieldNames()}
+    objects = {n: parts for n, parts in (("features", SNAPSHOT_FIELDS), ("baseline", BASELINE_FIELDS)) if n in schema.fieldNames()}
+    has_samples = "samples" in schema.fieldNames()
 
-    d = raw.select(F.col(value).alias("__text"))
-    d = d.withColumn("__pairs", _plain_entries(F.col("__text")))
+    d = raw.select(F.col(value).alias("__text")).withColumn("__pairs", _plain_entries(F.col("__text")))
     pairs = F.col("__pairs")
-    d = d.withColumns({f"__{f.name}": f.value(pairs) for f in fields} | {
-        "__users": user_ids(pairs),
-        **{f"__p_{n}": _plain_entries(field_text(pairs, n)) for n in nested - {"samples"}}})
-    if "samples" in nested:
-        items = F.coalesce(F.from_json(field_text(pairs, "samples"), T.ArrayType(T.StringType())), _no_names())
-        d = d.withColumn("__items", F.transform(items, lambda s: _plain_entries(s)))
-        d = d.withColumn("__items", F.transform("__items", lambda p: F.struct(
+    stage: dict[str, Column] = {
+        "__raw": raw_struct(fields, pairs), "__users": user_ids(pairs),
+        "__unknown": _unknown_keys(pairs, schema) if reject else _no_names()}
+    for name in objects:
+        stage[f"__text_{name}"] = field_text(pairs, name)
+    if has_samples:
+        stage["__items"] = F.coalesce(F.from_json(field_text(pairs, "samples"), T.ArrayType(T.StringType())), _no_names())
+    d = d.withColumns(stage)
+
+    stage = {"__v": value_struct(fields, F.col("__raw")), "__user": as_uuid(F.try_element_at("__users", F.lit(1)))}
+    for name, parts in objects.items():
+        stage[f"__raw_{name}"] = raw_struct(parts, _plain_entries(F.col(f"__text_{name}")))
+    if has_samples:
+        with_pairs = F.transform("__items", _plain_entries)
+        with_quality = F.transform(with_pairs, lambda p: F.struct(
             p.alias("pairs"), _plain_entries(field_text(p, "quality")).alias("quality"),
-            (_unknown_keys(p, SAMPLE) if reject else _no_names()).alias("unknown"))))
-        d = d.withColumn("__samples", F.transform("__items", _sample_struct))
-
-    problems = [F.array_compact(F.array(*[f.problem(pairs, F.col(f"__{f.name}")) for f in fields]))]
-    user_text = F.try_element_at("__users", F.lit(1))
-    user = as_uuid(user_text)
-    extra = [F.when(user_text.isNotNull() & user.isNull(), F.lit("user_id"))]
-    if "samples" in nested:
+            (_unknown_keys(p, SAMPLE) if reject else _no_names()).alias("unknown")))
+        stage["__samples"] = F.transform(F.transform(F.transform(with_quality, _sample_raw), _sample_values), _sample_checked)
+    d = d.withColumns(stage)
+    d = d.withColumns({f"__v_{name}": value_struct(parts, F.col(f"__raw_{name}")) for name, parts in objects.items()}) if objects else d
+
+    v, users = F.col("__v"), F.col("__users")
+    problems = [problem_list(fields, F.col("__raw"), v), F.transform("__unknown", lambda k: F.concat(F.lit("unknown:"), k))]
+    extra = [F.when((F.size(users) > 0) & F.col("__user").isNull(), F.lit("user_id"))]
+    if has_samples:
         size = F.size("__samples")
-        low, high = F.when(size < 1, F.lit("samples.min")), F.when(size > MAX_SAMPLES, F.lit("samples.max"))
-        extra += [low] if kind == "request" else [low, high]
+        extra.append(F.when(size < 1, F.lit("samples.min")))
+        if kind == "telemetry":
+            extra.append(F.when(size > MAX_SAMPLES, F.lit("samples.max")))
         problems.append(F.flatten(F.transform("__samples", lambda s: s["problems"])))
     if kind == "telemetry":
-        extra.append(F.when(F.col("__ended_at") < F.col("__started_at"), F.lit("ended_at")))
+        extra.append(F.when(v["ended_at"] < v["started_at"], F.lit("ended_at")))
     if kind == "decision":
-        extra.append(F.when(F.col("__responded_at") < F.col("__detected_at"), F.lit("responded_at")))
-    for name, parts in (("features", SNAPSHOT_FIELDS), ("baseline", BASELINE_FIELDS)):
-        if name in nested:
-            extra.append(F.when(field_text(pairs, name).isNull(), F.lit(name)))
-            problems.append(_prefixed(parts, F.col(f"__p_{name}"), f"{name}."))
-    if reject:
-        problems.append(F.transform(_unknown_keys(pairs, schema), lambda k: F.concat(F.lit("unknown:"), k)))
-    problems.append(F.array_compact(F.array(*extra)))
-    d = d.withColumn("__problems", F.array_distinct(F.concat(*problems)))
+        extra.append(F.when(v["responded_at"] < v["detected_at"], F.lit("responded_at")))
+    for name, parts in objects.items():
+        extra.append(F.when(F.col(f"__text_{name}").isNull(), F.lit(name)))
+        problems.append(problem_list(parts, F.col(f"__raw_{name}"), F.col(f"__v_{name}"), f"{name}."))
+    d = d.withColumn("__problems", F.array_distinct(F.concat(*problems, F.array_compact(F.array(*extra)))))
 
     columns = []
     for f in schema.fields:
         if f.name == "user_id":
-            columns.append(user.alias("user_id"))
+            columns.append(F.col("__user").alias("user_id"))
         elif f.name == "samples":
             columns.append(F.transform("__samples", lambda s: s["sample"]).alias("samples"))
-        elif f.name == "features":
-            columns.append(F.struct(*[p.value(F.col("__p_features")) for p in SNAPSHOT_FIELDS]).alias("features"))
-        elif f.name == "baseline":
-            columns.append(F.struct(*[p.value(F.col("__p_baseline")) for p in BASELINE_FIELDS]).alias("baseline"))
+        elif f.name in objects:
+            columns.append(F.col(f"__v_{f.name}").alias(f.name))
         else:
-            columns.append(F.col(f"__{f.name}").alias(f.name))
-    reason = (F.when(F.size("__users") > 1, F.lit(IDENTITY_MISMATCH))
-              .when(F.size("__problems") > 0, F.lit(INVALID_DOCUMENT)))
-    return d.select(*columns, document_id(F.col("__text")).alias("doc_id"), F.lit(kind).alias("kind"),
-                    reason.alias("reason"), F.array_join(F.sort_array("__problems"), ",").alias("detail"))
+            columns.append(v[f.name].alias(f.name))
+    reason = (F.when(F.size(users) > 1, F.lit(IDENTITY_MISMATCH)).when(F.size("__problems") > 0, F.lit(INVALID_DOCUMENT)))
+    record = F.struct(*columns, document_id(F.col("__text")).alias("doc_id"), F.lit(kind).alias("kind"),
+                      reason.alias("reason"), F.array_join(F.sort_array("__problems"), ",").alias("detail"))
+    # A filter on the result must not be pushed below the parsing, which would run all of it twice per document;
+    # it cannot pass a generated column.
+    return d.select(F.explode(F.array(record)).alias("d")).select("d.*")
 
 
 def split_documents(parsed: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:

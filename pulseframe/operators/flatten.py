@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,11 +30,11 @@ def flatten_batches(batches: DataFrame) -> DataFrame:
                            F.col("pos").cast("bigint").alias("pos"), *_sample_columns("s"))
 
 
-def flatten_samples(requests: DataFrame) -> DataFrame:
-    """The same columns from scoring requests, plus the event id; no batch, sequence 0."""
-    exploded = requests.select("event_id", "user_id", "device_id", "session_id", F.posexplode("samples").alias("pos", "s"))
+def flatten_samples(requests: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """The same columns from scoring requests, plus the event id and ``carry`` columns; no batch, sequence 0."""
+    exploded = requests.select("event_id", *carry, "user_id", "device_id", "session_id", F.posexplode("samples").alias("pos", "s"))
     return exploded.select(
-        "event_id", F.lit(None).cast("string").alias("batch_id"), "user_id", "device_id", "session_id",
+        "event_id", *carry, F.lit(None).cast("string").alias("batch_id"), "user_id", "device_id", "session_id",
         F.lit(0).cast("bigint").alias("sequence"), F.col("pos").cast("bigint").alias("pos"), *_sample_columns("s"))
 
 

@@ -83,13 +83,13 @@ def request_features(requests: DataFrame, params: RunParams = RunParams(), scale
     """
     size = micros(params.event_window.size_seconds)
     at = F.unix_micros("detected_at")
-    flat = flatten_samples(requests.withColumn("samples", F.filter("samples", lambda s: (
-        F.unix_micros(s["timestamp"]).between(at - size, at)))).withColumn("samples", F.when(F.size("samples") > 0, F.col("samples"))))
-    flat = flat.withColumn("__has_hr", F.col("heart_rate_bpm").isNotNull())
+    trimmed = requests.withColumns({
+        "window_start": F.timestamp_micros(at - size),
+        "samples": F.filter("samples", lambda s: F.unix_micros(s["timestamp"]).between(at - size, at))})
+    flat = flatten_samples(trimmed, ["window_start"]).withColumn("__has_hr", F.col("heart_rate_bpm").isNotNull())
     cleaned = clean(flat, params.clean, "event_id", scale, hot_keys(flat, ["event_id"], scale))
     gate = [F.count(F.lit(1)).alias("n_samples"), F.avg(F.when(F.col("__has_hr"), 1.0).otherwise(0.0)).alias("hr_ratio")]
-    # Every row of the group lies in the window already, so every link to an earlier sample counts.
-    got = window_features(cleaned, ["event_id"], params.features, anchor=None, extra=gate)
+    got = window_features(cleaned, ["event_id", "window_start"], params.features, extra=gate).drop("window_start")
     joined = requests.select("event_id").join(got, "event_id", "left")
     return joined.withColumn("reason", event_gate_reason(F.col("n_samples"), F.col("hr_ratio"), params.event_window))
 

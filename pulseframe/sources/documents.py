@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Microseconds are kept; the default JSON format would cut times to milliseconds.
+JSON_TIME = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 KINDS = ("telemetry", "suspected", "decision", "request")
 
 
@@ -29,4 +31,4 @@ def stream_documents(spark: SparkSession, path: str, kind: str, files_per_trigge
 
 def write_documents(documents: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Structured documents back to one JSON document per line."""
-    documents.select(F.to_json(F.struct("*")).alias("value")).write.mode(mode).text(path)
+    documents.select(F.to_json(F.struct("*"), JSON_TIME).alias("value")).write.mode(mode).text(path)
