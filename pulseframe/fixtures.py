@@ -37,13 +37,20 @@ def _batch_id() -> Column:
                        F.floor(F.col("event_id") / _BLOCK).cast("bigint").cast("string"))
 
 
-def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event table as a file stream."""
+    schema = table(spark, sf_dir, "events").schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+
+
+def samples(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """Flat samples; three sessions share a user, the event id is the tie-break position."""
     kind, k = F.col("event_type"), _k()
     quality = (F.when(kind.isin("click", "purchase"), "good").when(kind == "view", "fair")
                .when(kind == "error", "poor").otherwise("unknown"))
     beats = F.array((600 + k).cast("double"), (620 + 2 * k).cast("double"), (25 * k).cast("double"))
-    return table(spark, sf_dir, "events").select(
+    events = table(spark, sf_dir, "events") if events is None else events
+    return events.select(
         _batch_id().alias("batch_id"),
         _user().alias("user_id"), _device().alias("device_id"), F.col("user_id").cast("string").alias("session_id"),
         F.weekofyear("ts").cast("bigint").alias("sequence"), F.col("event_id").alias("pos"),
@@ -65,10 +72,11 @@ def gappy_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
-def _base_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _base_events(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    events = table(spark, sf_dir, "events") if events is None else events
     far = F.when(F.col("event_id") % 105 == 0, F.lit(_FAR_SECONDS)).otherwise(F.lit(0)).cast("bigint")
     at = F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + far * 1_000_000)
-    return (table(spark, sf_dir, "events").filter(F.col("event_id") % 7 == 0)
+    return (events.filter(F.col("event_id") % 7 == 0)
             .select(F.col("event_id").alias("n"), F.col("event_id").cast("string").alias("event_id"),
                     _device().alias("device_id"), _user().alias("user_id"),
                     F.col("user_id").cast("string").alias("session_id"),
@@ -89,10 +97,10 @@ def _copies(df: DataFrame, *extra: tuple[Column, dict[str, Column]]) -> DataFram
     return out.drop("__copy")
 
 
-def suspected(spark: SparkSession, sf_dir: str) -> DataFrame:
+def suspected(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """Detector events, some repeated exactly and some with a different score."""
     k, n = F.col("k"), F.col("n")
-    rows = _base_events(spark, sf_dir)
+    rows = _base_events(spark, sf_dir, events)
     rows = rows.select(
         "n", "event_id", "device_id", "user_id", "session_id", "sequence",
         F.when(n % 91 == 0, _later("at", 1)).otherwise(F.col("at")).alias("detected_at"), "at",
@@ -113,12 +121,12 @@ def suspected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.drop("n", "at")
 
 
-def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def decisions(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
     """User responses to detector events, some missing, repeated or contradictory."""
     k, n = F.col("k"), F.col("n")
     response = (F.when(k % 4 == 0, "SUPPORT_REQUESTED").when(k % 4 == 1, "ACTIVITY_CONFIRMED")
                 .when(k % 4 == 2, " user_ok ").otherwise("BREATHING_HELPED"))
-    rows = _base_events(spark, sf_dir).filter(n % 49 != 0).select(
+    rows = _base_events(spark, sf_dir, events).filter(n % 49 != 0).select(
         "n", "event_id", "device_id", "user_id", "session_id", "sequence", F.col("at").alias("detected_at"),
         _later("at", 60).alias("responded_at"), response.alias("response"))
     return _copies(rows, (n % 35 == 0, {}), (n % 119 == 0, {"response": F.lit("USER_OK_2")})).drop("n")
@@ -138,3 +146,22 @@ def scored_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(labels, "doc_id").select(
         "doc_id", "lang", "source", F.col("quality").alias("label"),
         (F.col("n_chars") % 997 / F.lit(997.0)).alias("score"))
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scoring requests: one per batch block with its samples, anchored four days after its first sample."""
+    from pulseframe.operators.flatten import unflatten
+
+    docs = unflatten(samples(spark, sf_dir), _BLOCK)
+    return docs.select(F.col("batch_id").alias("event_id"), "device_id", "user_id", "session_id",
+                       _later("started_at", 4 * 86_400).alias("detected_at"), "samples")
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder name next to the checkpoints, on storage every executor reaches."""
+    import uuid
+
+    from pulseframe.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/run-{uuid.uuid4().hex}"

@@ -15,7 +15,7 @@ from pulseframe.operators.labels import TARGET
 from pulseframe.operators.prep import PrepStats, prep_sql, require_columns
 from pulseframe.params import DummyParams, LogisticParams
 
-_DRAW_STEPS = 1_000_000_007
+_DRAW_STEPS = 2.0 ** 32
 
 
 @dataclass(frozen=True)
@@ -70,7 +70,8 @@ def fit_dummy(train: DataFrame, features: tuple[str, ...], params: DummyParams =
 
 def draw(key: Column, seed: int) -> Column:
     """A number in [0, 1) that depends on the row key and the seed alone."""
-    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(_DRAW_STEPS)) / F.lit(float(_DRAW_STEPS))
+    digest = F.md5(F.concat(F.lit(f"{seed}|"), key.cast("string")))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(_DRAW_STEPS)
 
 
 def dummy_columns(baseline: dict, key: Column) -> tuple[Column, Column]:
