@@ -15,8 +15,14 @@ from pulseframe.plans.ground_truth import GroundTruth, build_ground_truth
 from pulseframe.schemas import FEATURE_SCHEMA
 
 
-def truth(spark, sf_dir, params=PARAMS) -> GroundTruth:
-    return build_ground_truth(fx.samples(spark, sf_dir), fx.suspected(spark, sf_dir), fx.decisions(spark, sf_dir), params, as_of=as_of())
+def truth(spark, sf_dir, params=PARAMS, materialize=False) -> GroundTruth:
+    return build_ground_truth(fx.samples(spark, sf_dir), fx.suspected(spark, sf_dir), fx.decisions(spark, sf_dir), params,
+                              as_of=as_of(), materialize=materialize)
+
+
+def stored(spark, sf_dir) -> GroundTruth:
+    """Checkpointed, for reports that read the dataset several times."""
+    return truth(spark, sf_dir, materialize=True)
 
 
 def dataset(spark, sf_dir):
@@ -147,11 +153,11 @@ QUERIES = [
           f"WITH {SAMPLES}, {EVENTS} SELECT event_id AS doc_id, 'suspected' AS kind, 'missing_decision' AS reason FROM sus WHERE event_id NOT IN (SELECT event_id FROM dec)"),
     Query("suspected_match", _attached, kinds(s="event_id", b="has_suspected_event matches"),
           f"WITH {SAMPLES}, {EVENTS} SELECT d.event_id, s.event_id IS NOT NULL AS has_suspected_event, s.event_id IS NULL OR s.detected_at = d.detected_at AS matches FROM dec d LEFT JOIN sus s ON s.event_id = d.event_id"),
-    Query("exclusion_ledger", lambda s, d: truth(s, d).exclusions, kinds(s="doc_id kind reason"), f"WITH {TRUTH} SELECT * FROM ledger"),
+    Query("exclusion_ledger", lambda s, d: stored(s, d).exclusions, kinds(s="doc_id kind reason"), f"WITH {TRUTH} SELECT * FROM ledger"),
     Query("ground_truth_dataset", dataset,
           kinds(s="event_id user_id device_id session_id response response_category", t="detected_at responded_at", i="target_support_requested", b="has_suspected_event", d="detector_score " + " ".join(FEATURE_SCHEMA)),
           f"WITH {TRUTH} SELECT * FROM ds"),
-    Query("dataset_summary", lambda s, d: truth(s, d).summary(), kinds(s="key", i="n"),
+    Query("dataset_summary", lambda s, d: stored(s, d).summary(), kinds(s="key", i="n"),
           f"WITH {TRUTH} " + " UNION ALL ".join(
               ["SELECT 'n_rows' AS key, count(*) AS n FROM ds", "SELECT 'n_features', 16", "SELECT 'label_0', count(*) FILTER (target_support_requested = 0) FROM ds", "SELECT 'label_1', count(*) FILTER (target_support_requested = 1) FROM ds"]
               + [f"SELECT '{k}', count(*) FILTER (reason = '{r}') FROM ledger" for k, r in (("dropped_no_telemetry", "missing_telemetry"), ("dropped_insufficient_data", "insufficient_samples"), ("identity_mismatches", "identity_mismatch"), ("event_mismatches", "event_mismatch"))]
@@ -187,7 +193,7 @@ QUERIES = [
     Query("qa_temporal", lambda s, d: qa.temporal_coverage(dataset(s, d)), kinds(t="first_at last_at", d="span_seconds span_days", i="distinct_days"),
           f"WITH {TRUTH}, r AS (SELECT min(detected_at) AS first_at, max(detected_at) AS last_at, (epoch_us(max(detected_at)) - epoch_us(min(detected_at))) / 1e6 AS span_seconds, count(DISTINCT CAST(detected_at AS DATE)) AS distinct_days FROM ds) SELECT *, span_seconds / 86400 AS span_days FROM r"),
     Query("qa_warnings", lambda s, d: qa.qa_warnings(dataset(s, d), _STRICT_QA), kinds(s="warning subject"), f"WITH {TRUTH} {_WARN}"),
-    Query("qa_report", lambda s, d: (lambda t: qa.dataset_qa(t.dataset, t.exclusions).groupBy("section").agg(F.count(F.lit(1)).alias("n")))(truth(s, d)), kinds(s="section", i="n"),
+    Query("qa_report", lambda s, d: (lambda t: qa.dataset_qa(t.dataset, t.exclusions).groupBy("section").agg(F.count(F.lit(1)).alias("n")))(stored(s, d)), kinds(s="section", i="n"),
           f"WITH {TRUTH}, c AS ({_COUNTS}) SELECT 'counts_' || section AS section, count(*) AS n FROM c GROUP BY section UNION ALL SELECT 'size', 2 UNION ALL SELECT 'missing_ratio', 16 UNION ALL SELECT 'ibi_coverage', 3 UNION ALL SELECT 'distribution', 128 UNION ALL SELECT 'exclusions', count(DISTINCT reason) FROM ledger UNION ALL SELECT 'temporal', 5"),
     Query("readiness", lambda s, d: qa.check_ready(dataset(s, d), ReadinessParams()), kinds(s="check", b="ok", i="found"), f"WITH {TRUTH} {_READY}"),
 
@@ -195,7 +201,7 @@ QUERIES = [
           f"WITH {TRUTH} SELECT event_id, " + ", ".join(f"CAST({e} AS DOUBLE) - {m} AS diff_{w}" for w, m, _, _, e in _PAIRS) + " FROM ds WHERE has_suspected_event"),
     Query("parity_rows", lambda s, d: parity.parity_rows(dataset(s, d)), kinds(s="event_id watch_field ml_field status", d="watch_value ml_value diff rel_diff"), f"{_DIRECT} SELECT * FROM parity"),
     Query("parity_derived", lambda s, d: parity.parity_derived(dataset(s, d)), kinds(s="event_id watch_field expression status", d="watch_value ml_value diff rel_diff"), f"{_DERIVED} SELECT *, ml_field AS expression FROM parity"),
-    Query("parity_summary", lambda s, d: parity.parity_summary(parity.parity_rows(dataset(s, d))),
+    Query("parity_summary", lambda s, d: parity.parity_summary(parity.parity_rows(stored(s, d).dataset)),
           kinds(s="watch_field ml_field", i="n_pairs n_both_present n_match n_diverging n_watch_missing n_ml_missing", d="mean_abs_diff median_abs_diff max_abs_diff mean_rel_diff"),
           f"{_DIRECT} SELECT watch_field, ml_field, count(*) AS n_pairs, count(diff) AS n_both_present, count(*) FILTER (status = 'match') AS n_match, count(*) FILTER (status = 'diverging') AS n_diverging, count(*) FILTER (status = 'watch_missing') AS n_watch_missing, count(*) FILTER (status = 'ml_missing') AS n_ml_missing, avg(abs(diff)) AS mean_abs_diff, quantile_cont(abs(diff), 0.5) AS median_abs_diff, max(abs(diff)) AS max_abs_diff, avg(rel_diff) AS mean_rel_diff FROM parity GROUP BY watch_field, ml_field"),
     Query("parity_catalogue", lambda s, d: parity.field_catalogue(dataset(s, d)), kinds(s="field kind", i="n_present"), f"WITH {TRUTH} {_CATALOGUE}"),

@@ -18,22 +18,11 @@ def micros(seconds: float) -> int:
     return round(seconds * 1_000_000)
 
 
-def seconds_between(start: Column, end: Column) -> Column:
-    return (F.unix_micros(end) - F.unix_micros(start)) / F.lit(1e6)
-
-
-def null_if_nan(col: Column) -> Column:
-    return F.when(~F.isnan(col), col)
-
-
 def finite_or_null(df: DataFrame) -> DataFrame:
     """NaN and infinities become NULL in every floating column; nothing is imputed."""
-    def clean(name: str) -> Column:
-        col = F.col(name)
-        return F.when(~F.isnan(col) & (F.abs(col) < F.lit(float("inf"))), col)
-
     floating = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({n: clean(n) for n in floating}) if floating else df
+    clean = {n: F.expr(f"CASE WHEN NOT isnan(`{n}`) AND abs(`{n}`) < double('Infinity') THEN `{n}` END") for n in floating}
+    return df.withColumns(clean) if clean else df
 
 
 def array_mean(col: Column) -> Column:
@@ -42,27 +31,16 @@ def array_mean(col: Column) -> Column:
     return F.when(F.size(col) > 0, total / F.size(col))
 
 
-def ibi_summary_struct(ibi: Column) -> Column:
+def ibi_summary_struct(ibi: str = "ibi_ms") -> Column:
     """Per-sample IBI sums from which window HRV follows by addition.
 
     Covers plausible values only: count, centred sum and square sum, squared and large successive differences
     inside the sample, first and last value. Null exactly when the sample carries no value at all.
     """
-    values = F.coalesce(ibi, F.array().cast("array<double>"))
-    kept = F.filter(values, lambda x: (x >= IBI_MIN_MS) & (x <= IBI_MAX_MS))
-    start = F.struct(
-        F.lit(0).cast("bigint").alias("n"), F.lit(0.0).alias("d1"), F.lit(0.0).alias("d2"),
-        F.lit(0.0).alias("ss"), F.lit(0).cast("bigint").alias("over"),
-        F.lit(None).cast("double").alias("first"), F.lit(None).cast("double").alias("last"))
-
-    def step(acc: Column, x: Column) -> Column:
-        d = x - F.lit(_IBI_CENTRE)
-        diff = F.coalesce(x - acc["last"], F.lit(0.0))
-        return F.struct(
-            (acc["n"] + 1).alias("n"), (acc["d1"] + d).alias("d1"), (acc["d2"] + d * d).alias("d2"),
-            (acc["ss"] + diff * diff).alias("ss"),
-            (acc["over"] + F.when(F.abs(diff) > NN_STEP_MS, 1).otherwise(0)).alias("over"),
-            F.coalesce(acc["first"], x).alias("first"), x.alias("last"))
-
-    folded = F.aggregate(kept, start, step)
-    return F.when(F.size(values) > 0, folded)
+    d, step = f"(x - {_IBI_CENTRE}D)", "coalesce(x - a.last, 0D)"
+    return F.expr(f"""CASE WHEN size({ibi}) > 0 THEN aggregate(
+        filter({ibi}, x -> x >= {IBI_MIN_MS}D AND x <= {IBI_MAX_MS}D),
+        named_struct('n', 0L, 'd1', 0D, 'd2', 0D, 'ss', 0D, 'over', 0L, 'first', double(NULL), 'last', double(NULL)),
+        (a, x) -> named_struct(
+            'n', a.n + 1L, 'd1', a.d1 + {d}, 'd2', a.d2 + {d} * {d}, 'ss', a.ss + {step} * {step},
+            'over', a.over + IF(abs({step}) > {NN_STEP_MS}D, 1L, 0L), 'first', coalesce(a.first, x), 'last', x)) END""")

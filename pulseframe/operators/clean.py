@@ -96,7 +96,7 @@ def flag_outliers(df: DataFrame, params: CleanParams = CleanParams()) -> DataFra
 
 def with_ibi(df: DataFrame) -> DataFrame:
     """Per-sample IBI sums in one struct, so later shuffles need not carry the arrays."""
-    return df.withColumn("ibi", ibi_summary_struct(F.col("ibi_ms")))
+    return df.withColumn("ibi", ibi_summary_struct("ibi_ms"))
 
 
 def _ibi_link() -> dict[str, tuple[Column, bool]]:

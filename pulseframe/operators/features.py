@@ -7,73 +7,66 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseframe.functions.columns import finite_or_null, seconds_between
+from pulseframe.functions.columns import NN_STEP_MS, finite_or_null
 from pulseframe.params import FeatureToggles
 
-_MICROS_PER_MINUTE = 6e7
-
-
-def _std(name: str) -> Column:
+def _std(name: str) -> str:
     """Sample deviation; a single value has deviation 0, none has no deviation."""
-    return F.when(F.count(name) == 1, F.lit(0.0)).otherwise(F.stddev_samp(name))
-
+    return f"CASE WHEN count({name}) = 1 THEN 0D ELSE stddev_samp({name}) END"
 
-def _slope(anchor: str | None) -> Column:
-    """Least-squares slope per minute; a single value has slope 0.
 
-    The slope does not depend on where minutes start. Counting them from the window start keeps digits.
-    """
-    at = F.unix_micros("timestamp")
-    minutes = (at - F.unix_micros(anchor) if anchor else at) / F.lit(_MICROS_PER_MINUTE)
-    return F.when(F.count("heart_rate_bpm") == 1, F.lit(0.0)).otherwise(F.regr_slope(F.col("heart_rate_bpm"), minutes))
+def _share(condition: str) -> str:
+    return f"avg(IF({condition}, 1D, 0D))"
 
 
-def _share(condition: Column) -> Column:
-    return F.avg(F.when(condition, F.lit(1.0)).otherwise(F.lit(0.0)))
+def _hrv(value: str) -> str:
+    """HRV needs three plausible intervals."""
+    return f"CASE WHEN sum(ibi.n) >= 3 THEN {value} END"
 
 
 def feature_columns(toggles: FeatureToggles, anchor: str | None = "window_start",
                     as_of: Column | None = None) -> list[Column]:
     """Aggregate expressions of the chosen features, in output order."""
-    n_all = F.count(F.lit(1))
-    hr, temp, quality = F.col("heart_rate_bpm"), F.col("skin_temperature_celsius"), F.col("quality_heart_rate")
-    n_ibi = F.sum("ibi.n")
+    # The slope does not depend on where minutes start; counting them from the window start keeps digits.
+    minutes = f"(unix_micros(timestamp) - unix_micros({anchor})) / 6e7D" if anchor else "unix_micros(timestamp) / 6e7D"
     # A difference to the previous sample counts only when that sample is in the window too.
-    linked = F.col("ibi.n") > 0
-    if anchor:
-        linked = linked & (F.col("ibi_prev.at") >= F.col(anchor))
-    jump = F.when(linked, F.col("ibi.first") - F.col("ibi_prev.value"))
-    square_sum = F.sum("ibi.ss") + F.coalesce(F.sum(jump * jump), F.lit(0.0))
-    large = F.sum("ibi.over") + F.coalesce(F.sum(F.when(F.abs(jump) > 50, 1)), F.lit(0))
-    spread = F.greatest(F.sum("ibi.d2") - F.sum("ibi.d1") * F.sum("ibi.d1") / n_ibi, F.lit(0.0)) / (n_ibi - 1)
-    has_ibi = F.col("ibi").isNotNull()
-    nothing = F.lit(None).cast("double")
-    age = F.unix_micros(as_of if as_of is not None else F.current_timestamp())
+    linked = "ibi.n > 0" + (f" AND ibi_prev.at >= {anchor}" if anchor else "")
+    jump = f"CASE WHEN {linked} THEN ibi.first - ibi_prev.value END"
+    squares = f"(sum(ibi.ss) + coalesce(sum({jump} * {jump}), 0D))"
+    large = f"(sum(ibi.over) + coalesce(sum(IF(abs({jump}) > {NN_STEP_MS}D, 1L, 0L)), 0L))"
+    spread = "greatest(sum(ibi.d2) - sum(ibi.d1) * sum(ibi.d1) / sum(ibi.n), 0D)"
     rules = {
-        "hr_mean": F.avg(hr),
+        "hr_mean": "avg(heart_rate_bpm)",
         "hr_std": _std("heart_rate_bpm"),
-        "hr_min": F.min(hr),
-        "hr_max": F.max(hr),
-        "hr_slope_bpm_per_min": _slope(anchor),
-        "hrv_rmssd": F.when(n_ibi >= 3, F.sqrt(square_sum / (n_ibi - 1))),
-        "hrv_sdnn": F.when(n_ibi >= 3, F.sqrt(spread)),
-        "hrv_pnn50": F.when(n_ibi >= 3, large * F.lit(100.0) / (n_ibi - 1)),
-        "ibi_available": F.max(F.when(has_ibi, F.lit(1.0)).otherwise(F.lit(0.0))),
-        "ibi_coverage_ratio": _share(has_ibi),
+        "hr_min": "min(heart_rate_bpm)",
+        "hr_max": "max(heart_rate_bpm)",
+        # A single value has slope 0.
+        "hr_slope_bpm_per_min": f"CASE WHEN count(heart_rate_bpm) = 1 THEN 0D ELSE regr_slope(heart_rate_bpm, {minutes}) END",
+        "hrv_rmssd": _hrv(f"sqrt({squares} / (sum(ibi.n) - 1))"),
+        "hrv_sdnn": _hrv(f"sqrt({spread} / (sum(ibi.n) - 1))"),
+        "hrv_pnn50": _hrv(f"{large} * 100D / (sum(ibi.n) - 1)"),
+        "ibi_available": "max(IF(ibi IS NOT NULL, 1D, 0D))",
+        "ibi_coverage_ratio": _share("ibi IS NOT NULL"),
         # Placeholders: no accelerometer signal reaches the samples.
-        "movement_magnitude_mean": F.max(nothing),
-        "movement_variance_mean": F.max(nothing),
-        "skin_temp_mean": F.avg(temp),
+        "movement_magnitude_mean": "max(double(NULL))",
+        "movement_variance_mean": "max(double(NULL))",
+        "skin_temp_mean": "avg(skin_temperature_celsius)",
         "skin_temp_std": _std("skin_temperature_celsius"),
-        "quality_good_ratio": _share(quality == "good"),
-        "quality_fair_ratio": _share(quality == "fair"),
-        "quality_poor_ratio": _share(quality == "poor"),
-        "valid_sample_ratio": _share(hr.isNotNull() & F.coalesce(quality != "poor", F.lit(True))),
-        "window_duration_seconds": seconds_between(F.min("timestamp"), F.max("timestamp")),
-        "sample_count": n_all.cast("double"),
-        "last_sample_age_seconds": (age - F.unix_micros(F.max("timestamp"))) / F.lit(1e6),
+        "quality_good_ratio": _share("quality_heart_rate = 'good'"),
+        "quality_fair_ratio": _share("quality_heart_rate = 'fair'"),
+        "quality_poor_ratio": _share("quality_heart_rate = 'poor'"),
+        "valid_sample_ratio": _share("heart_rate_bpm IS NOT NULL AND coalesce(quality_heart_rate, '') != 'poor'"),
+        "window_duration_seconds": "(unix_micros(max(timestamp)) - unix_micros(min(timestamp))) / 1e6D",
+        "sample_count": "double(count(1))",
     }
-    return [rules[name].alias(name) for name in toggles.names()]
+    now = as_of if as_of is not None else F.current_timestamp()
+
+    def column(name: str) -> Column:
+        if name == "last_sample_age_seconds":
+            return (F.unix_micros(now) - F.unix_micros(F.max("timestamp"))) / F.lit(1e6)
+        return F.expr(rules[name])
+
+    return [column(name).alias(name) for name in toggles.names()]
 
 
 def window_features(windowed: DataFrame, keys: Sequence[str], toggles: FeatureToggles = FeatureToggles(),

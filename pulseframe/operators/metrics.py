@@ -6,12 +6,11 @@ A metric whose denominator is empty is null and marked unavailable; it is never
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseframe.functions.scale import running_totals
+from pulseframe.functions.scale import match_groups, running_totals
 from pulseframe.operators.split import SPLITS
 from pulseframe.params import FALLBACK_METRICS, MetricParams, ScaleParams
 
@@ -56,12 +55,7 @@ def ranked_scores(df: DataFrame, by: Sequence[str] = (), label: str = "label", s
     """Per distinct score: counts, counts below it, and group totals. No group is sorted in one task."""
     ranked = running_totals(score_counts(df, by, label, score), by, ["score"], ["pos", "neg"], scale)
     totals = ranked.groupBy(*by).agg(F.sum("pos").alias("all_pos"), F.sum("neg").alias("all_neg"))
-    if not by:
-        row = totals.first()
-        return ranked.withColumns({"all_pos": F.lit(row["all_pos"]).cast("bigint"), "all_neg": F.lit(row["all_neg"]).cast("bigint")})
-    left, right = ranked.alias("l"), totals.alias("r")
-    on = reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in by])
-    return left.join(right, on).select("l.*", "r.all_pos", "r.all_neg")
+    return match_groups(ranked, totals, by, ["all_pos", "all_neg"])
 
 
 def _at_least() -> tuple[Column, Column]:
@@ -97,24 +91,21 @@ def predict_at(df: DataFrame, threshold: float | Column, score: str = "score") -
 
 
 def evaluate(df: DataFrame, by: Sequence[str] = (), params: MetricParams = MetricParams(), label: str = "label",
-             prediction: str = "prediction", score: str | None = "score", scale: ScaleParams = ScaleParams()) -> DataFrame:
+             prediction: str = "prediction", score: str | None = "score", scale: ScaleParams = ScaleParams(),
+             ranks: DataFrame | None = None) -> DataFrame:
     """One row per group: counts, the configured metrics, and ``available``, a map metric -> defined.
 
-    The stored threshold is only recorded here; it does not decide the predictions.
+    The stored threshold is only recorded here; it does not decide the predictions. ``ranks`` takes
+    :func:`ranking_metrics` of the same groups when the caller has them already.
     """
     counts = confusion(df, by, label, prediction)
-    ranking = {m for m in ("roc_auc", "average_precision") if m in params.metrics}
-    if ranking and score is not None:
+    ranking = ["roc_auc", "average_precision"]
+    if ranks is None and score is not None and set(ranking) & set(params.metrics):
         ranks = ranking_metrics(ranked_scores(df, by, label, score, scale), by)
-        if by:
-            left, right = counts.alias("l"), ranks.alias("r")
-            on = reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in by])
-            counts = left.join(right, on, "left").select("l.*", "r.roc_auc", "r.average_precision")
-        else:
-            row = ranks.first()
-            counts = counts.withColumns({m: F.lit(row[m]).cast("double") for m in ("roc_auc", "average_precision")})
+    if ranks is not None:
+        counts = match_groups(counts, ranks, by, ranking)
     else:
-        counts = counts.withColumns({m: F.lit(None).cast("double") for m in ("roc_auc", "average_precision")})
+        counts = counts.withColumns({m: F.lit(None).cast("double") for m in ranking})
     rules = count_metrics() | {m: F.col(m) for m in ("roc_auc", "average_precision")}
     chosen = [m for m in rules if m in params.metrics]
     out = counts.select(
@@ -133,9 +124,10 @@ def evaluate_at(df: DataFrame, threshold: float, by: Sequence[str] = (), params:
 
 
 def evaluate_splits(df: DataFrame, by: Sequence[str] = (), params: MetricParams = MetricParams(), label: str = "label",
-                    prediction: str = "prediction", score: str | None = "score", scale: ScaleParams = ScaleParams()) -> DataFrame:
+                    prediction: str = "prediction", score: str | None = "score", scale: ScaleParams = ScaleParams(),
+                    ranks: DataFrame | None = None) -> DataFrame:
     """One row per split and group; a split without rows gives a row of nulls."""
-    got = evaluate(df, [*by, "split"], params, label, prediction, score, scale)
+    got = evaluate(df, [*by, "split"], params, label, prediction, score, scale, ranks)
     names = df.sparkSession.createDataFrame([(s,) for s in SPLITS], "split string")
     if by:
         groups = got.select(*by).distinct()
@@ -143,20 +135,30 @@ def evaluate_splits(df: DataFrame, by: Sequence[str] = (), params: MetricParams
     return names.join(got, [*by, "split"], "left")
 
 
+def threshold_source(df: DataFrame, label: str = "label") -> str | None:
+    """Validation when it has both classes, else train when it has, else None. Test is never looked at."""
+    seen = df.filter(F.col("split").isin("val", "train")).groupBy("split").agg(
+        F.min(label).alias("low"), F.max(label).alias("high")).collect()  # two rows
+    both = {r["split"] for r in seen if r["low"] != r["high"]}
+    return next((s for s in ("val", "train") if s in both), None)
+
+
 def select_threshold(df: DataFrame, by: Sequence[str] = (), label: str = "label", score: str = "score",
-                     scale: ScaleParams = ScaleParams()) -> tuple[DataFrame, str]:
-    """(threshold per group, split it came from): validation when it has both classes, else train, else 0.5.
+                     scale: ScaleParams = ScaleParams(), ranked: DataFrame | None = None) -> tuple[DataFrame, str]:
+    """(threshold per group, split it came from): best F1 on :func:`threshold_source`, else 0.5 tagged val.
 
-    The test split is never looked at. All groups share the same rows, hence the same split.
+    All groups share the same rows, hence the same split. ``ranked`` takes :func:`ranked_scores` by
+    (``by``, split) when the caller has them already.
     """
-    usable = df.filter(F.col("split").isin("val", "train"))
-    seen = {r["split"]: r["n"] for r in usable.groupBy("split").agg(F.count_distinct(label).alias("n")).collect()}  # two rows
-    for source in ("val", "train"):
-        if seen.get(source, 0) >= 2:
-            best = best_f1_threshold(ranked_scores(usable.filter(F.col("split") == source), by, label, score, scale), by)
-            return best.select(*by, "threshold"), source
-    groups = df.select(*by).distinct() if by else df.sparkSession.range(1).drop("id")
-    return groups.withColumn("threshold", F.lit(0.5)), "val"
+    source = threshold_source(df, label)
+    if source is None:
+        groups = df.select(*by).distinct() if by else df.sparkSession.range(1).drop("id")
+        return groups.withColumn("threshold", F.lit(0.5)), "val"
+    if ranked is None:
+        ranked = ranked_scores(df.filter(F.col("split") == source), by, label, score, scale)
+    else:
+        ranked = ranked.filter(F.col("split") == source)
+    return best_f1_threshold(ranked, by).select(*by, "threshold"), source
 
 
 def configured(metrics: Sequence[str] | None) -> MetricParams:

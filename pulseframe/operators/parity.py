@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseframe.functions.scale import quantiles
+from pulseframe.functions.scale import distribution
 from pulseframe.params import ScaleParams
 
 # Watch field -> (feature, absolute tolerance, relative tolerance).
@@ -89,10 +89,11 @@ def parity_summary(rows: DataFrame, scale: ScaleParams = ScaleParams()) -> DataF
         F.count(F.lit(1)).alias("n_pairs"), F.count("diff").alias("n_both_present"),
         F.count_if(status == "match").alias("n_match"), F.count_if(status == "diverging").alias("n_diverging"),
         F.count_if(status == "watch_missing").alias("n_watch_missing"), F.count_if(status == "ml_missing").alias("n_ml_missing"),
-        F.avg("abs_diff").alias("mean_abs_diff"), F.max("abs_diff").alias("max_abs_diff"), F.avg("rel_diff").alias("mean_rel_diff"))
+        F.avg("rel_diff").alias("mean_rel_diff"))
     # One row per compared field on either side.
-    medians = quantiles(rows, keys, "abs_diff", {"median_abs_diff": 0.5}, scale)
-    return counts.join(medians, keys, "left")
+    sizes = distribution(rows, keys, "abs_diff", {"median_abs_diff": 0.5}, scale).select(
+        *keys, F.col("mean").alias("mean_abs_diff"), "median_abs_diff", F.col("max").alias("max_abs_diff"))
+    return counts.join(sizes, keys, "left")
 
 
 def field_catalogue(ds: DataFrame) -> DataFrame:

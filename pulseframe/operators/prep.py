@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulseframe.functions.scale import quantiles
+from pulseframe.functions.scale import distribution
 from pulseframe.params import ScaleParams
 from pulseframe.schemas import FEATURE_SCHEMA, FORBIDDEN_FEATURES
 
@@ -86,7 +86,7 @@ def fit_impute(train: DataFrame, features: Sequence[str], scale: ScaleParams = S
         pairs = [F.struct(F.lit(f).alias("feature"), F.expr(_finite_sql(f)).alias("value")) for f in medians]
         long = train.select(F.explode(F.array(*pairs)).alias("r")).select("r.*")
         # One row per feature.
-        for row in quantiles(long, ["feature"], "value", {"median": 0.5}, scale).collect():
+        for row in distribution(long, ["feature"], "value", {"median": 0.5}, scale).collect():
             fills[row["feature"]] = float(row["median"])
     return fills
 

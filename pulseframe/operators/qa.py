@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseframe.functions.scale import quantiles
+from pulseframe.functions.scale import distribution
 from pulseframe.operators.labels import TARGET
 from pulseframe.params import QaParams, ReadinessParams, ScaleParams
 from pulseframe.schemas import FEATURE_SCHEMA
@@ -55,16 +55,8 @@ def ibi_coverage(ds: DataFrame) -> DataFrame:
 
 def describe_features(ds: DataFrame, features: Sequence[str] = FEATURE_SCHEMA, scale: ScaleParams = ScaleParams()) -> DataFrame:
     """(feature, count, mean, std, min, p25, p50, p75, max) with exact interpolated quartiles."""
-    names = present_features(ds, features)
-    pairs = [F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in names]
-    long = ds.select(_rows(pairs)).select("r.*")
-    moments = long.groupBy("feature").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    # At most one row per feature on either side.
-    quarters = quantiles(long, ["feature"], "value", QUARTILES, scale)
-    return (moments.join(quarters, "feature", "left")
-            .select("feature", "count", "mean", "std", "min", *QUARTILES, "max"))
+    pairs = [F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("value")) for f in present_features(ds, features)]
+    return distribution(ds.select(_rows(pairs)).select("r.*"), ["feature"], "value", QUARTILES, scale)
 
 
 def samples_per_window(ds: DataFrame, scale: ScaleParams = ScaleParams()) -> DataFrame:

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from pulseframe.operators.classifiers import Classifier, fit_dummy, fit_logistic, predict
 from pulseframe.operators.labels import TARGET
-from pulseframe.operators.metrics import evaluate_at, evaluate_splits, select_threshold
+from pulseframe.operators.metrics import (
+    evaluate, evaluate_splits, predict_at, ranked_scores, ranking_metrics, select_threshold,
+)
 from pulseframe.operators.prep import PrepStats, fit_prep
 from pulseframe.operators.qa import require_ready
 from pulseframe.operators.split import GROUP_COLUMNS, GroupSplit, fit_group_split, group_overlap, split_report
@@ -119,17 +121,17 @@ def train_protocol(ds: DataFrame, params: RunParams = RunParams(), ready: Readin
         scored = part if scored is None else scored.unionByName(part)
     scored = cut_lineage(scored)
 
-    metrics = evaluate_splits(scored, ["model"], params.metrics, scale=scale)
+    # Ranking does not depend on a threshold: one ordering of the scores serves every report below.
+    keys = ["model", "split"]
+    ranked = ranked_scores(scored, keys, scale=scale)
+    ranks = ranking_metrics(ranked, keys)
+    metrics = evaluate_splits(scored, ["model"], params.metrics, scale=scale, ranks=ranks)
     regressions = scored.filter(F.col("model") != BASELINE)
-    chosen, source = select_threshold(regressions, ["model"], scale=scale)
+    chosen, source = select_threshold(regressions, ["model"], scale=scale, ranked=ranked.filter(F.col("model") != BASELINE))
     thresholds = _values(chosen, "threshold")
-
-    def at_threshold(split_name: str) -> DataFrame:
-        parts = [evaluate_at(regressions.filter((F.col("model") == m) & (F.col("split") == split_name)), t, ["model"],
-                             params.metrics, scale=scale) for m, t in sorted(thresholds.items())]
-        return parts[0].unionByName(parts[1])
-
-    selection = at_threshold(source)
+    own = F.when(F.col("model") == PLAIN, thresholds[PLAIN]).otherwise(thresholds[BALANCED])
+    at_threshold = evaluate(predict_at(regressions, own), keys, params.metrics, scale=scale, ranks=ranks).withColumn("threshold", own)
+    selection, test = (at_threshold.filter(F.col("split") == name).drop("split") for name in (source, "test"))
     f1 = _values(selection, "f1") if "f1" in selection.columns else {}
     winner = select_variant(f1.get(PLAIN), f1.get(BALANCED))
     logistic = replace(params.logistic, class_weight=None if winner == PLAIN else "balanced")
@@ -138,4 +140,4 @@ def train_protocol(ds: DataFrame, params: RunParams = RunParams(), ready: Readin
     if output is not None:
         save_model(ds.sparkSession, saved, output)
     return ProtocolResult(readiness, split, data, prep, models, scored, metrics, thresholds, source, selection,
-                          at_threshold("test"), winner, saved)
+                          test, winner, saved)

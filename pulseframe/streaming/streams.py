@@ -67,7 +67,7 @@ def sliding_features_stream(samples: DataFrame, params: WindowParams = WindowPar
     the session's first sample, and samples are not filled (that needs their order).
     """
     size, stride = (f"{micros(s)} microseconds" for s in (params.size_seconds, params.stride_seconds))
-    rows = samples.withColumns({"ibi": ibi_summary_struct(F.col("ibi_ms")), "w": F.window("timestamp", size, stride),
+    rows = samples.withColumns({"ibi": ibi_summary_struct("ibi_ms"), "w": F.window("timestamp", size, stride),
                                 "ibi_prev": F.lit(None).cast("struct<value:double,at:timestamp>")})
     rows = rows.withColumn("window_start", F.col("w.start"))
     chosen = [n for n in toggles.names() if n not in ORDERED_FEATURES]
