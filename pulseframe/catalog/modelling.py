@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pulseframe import fixtures as fx
 from pulseframe.catalog.base import ORDER, SAMPLES, SCORED, SIZE_US, SLIDING, TRUTH, Query, features_sql, kinds
-from pulseframe.catalog.labelling import dataset, truth
+from pulseframe.catalog.labelling import dataset, stored
 from pulseframe.catalog.telemetry import EVERYTHING, PARAMS, as_of
 from pulseframe.operators import classifiers as clf
 from pulseframe.operators import metrics as mt
@@ -40,11 +40,11 @@ def _windows(spark, sf_dir):
 
 
 def _user_split(spark, sf_dir):
-    return split.group_split(dataset(spark, sf_dir), USER_SPLIT)
+    return split.group_split(stored(spark, sf_dir).dataset, USER_SPLIT)
 
 
 def _train(spark, sf_dir):
-    ds = cut_lineage(_user_split(spark, sf_dir))
+    ds = _user_split(spark, sf_dir)
     return ds, ds.filter("split = 'train'")
 
 
@@ -89,11 +89,7 @@ def _select_threshold(spark, sf_dir):
 
 
 def _protocol(spark, sf_dir):
-    return train_protocol(truth_checkpoint(spark, sf_dir), PARAMS)
-
-
-def truth_checkpoint(spark, sf_dir):
-    return cut_lineage(dataset(spark, sf_dir))
+    return train_protocol(dataset(spark, sf_dir), PARAMS)
 
 
 def _protocol_metrics(spark, sf_dir):

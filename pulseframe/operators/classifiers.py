@@ -55,7 +55,7 @@ def fit_logistic(train: DataFrame, prep: PrepStats, params: LogisticParams = Log
     penalty = 1.0 / (params.C * sum(weights[c] * k for c, k in counts.items()))
     fitted = LogisticRegression(
         featuresCol="x", labelCol="label", weightCol="weight", regParam=penalty, elasticNetParam=0.0,
-        standardization=False, maxIter=params.max_iter, tol=1e-9, rawPredictionCol="raw", probabilityCol="class_probability",
+        standardization=False, maxIter=params.max_iter, tol=1e-8, rawPredictionCol="raw", probabilityCol="class_probability",
         predictionCol="class").fit(ready)
     return Classifier("logistic_regression", prep.features, PipelineModel(stages=[sql, assembler, fitted]), prep)
 

@@ -76,8 +76,9 @@ def train_on_windows(windows: DataFrame, params: RunParams = RunParams(), model_
                      label: str = "label", features=None, scale: ScaleParams = ScaleParams()) -> TrainedSplit:
     """Train one classifier on labelled windows, split by the configured group."""
     names = list(features or params.features.names())
+    windows = cut_lineage(windows)  # read by the split, every fit and the evaluation
     split = fit_group_split(windows, params.split, GROUP_COLUMNS[params.split.group_by], scale)
-    data = cut_lineage(split.assign(windows))
+    data = split.assign(windows)
     train = data.filter(F.col("split") == "train")
     prep = fit_prep(train, names, scale)
     return TrainedSplit(fit_classifier(train, prep, params, model_type, label), prep, split, data)
@@ -101,11 +102,12 @@ def train_protocol(ds: DataFrame, params: RunParams = RunParams(), ready: Readin
     Everything fitted sees train rows only. Thresholds and the choice use validation (or train when validation
     has a single class); test rows are only evaluated.
     """
+    ds = cut_lineage(ds)  # read by the checks, the split, every fit and the evaluation
     readiness = require_ready(ds, ready)
     names = list(features or params.features.names())
     by_user = SplitParams(params.split.test_size, params.split.val_size, "user", params.split.seed)
     split = fit_group_split(ds, by_user, "user_id", scale)
-    data = cut_lineage(split.assign(ds))
+    data = split.assign(ds)
     train = data.filter(F.col("split") == "train")
     prep = fit_prep(train, names, scale)
     models = {
