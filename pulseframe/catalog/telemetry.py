@@ -137,7 +137,7 @@ def _flat_documents(spark, sf_dir):
 
 
 def _identity(spark, sf_dir):
-    return contracts.resolve_identity(decision_documents(spark, sf_dir)).withColumn("doc_id", contracts.document_id(F.col("value")))
+    return contracts.resolve_identity(decision_documents(spark, sf_dir))
 
 
 def _batch_sizes(spark, sf_dir):

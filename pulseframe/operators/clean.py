@@ -95,7 +95,9 @@ def flag_outliers(df: DataFrame, params: CleanParams = CleanParams()) -> DataFra
 
 
 def with_ibi(df: DataFrame) -> DataFrame:
-    """Per-sample IBI sums in one struct, so later shuffles need not carry the arrays."""
+    """Per-sample IBI sums in one struct, so later shuffles need not carry the arrays. Kept when already there."""
+    if "ibi" in df.columns:
+        return df
     return df.withColumn("ibi", ibi_summary_struct("ibi_ms"))
 
 

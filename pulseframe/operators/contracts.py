@@ -39,9 +39,10 @@ def _canon_name(name: str) -> str:
 
 
 def entries(text: Column) -> Column:
-    """Key/value pairs of a JSON object in document order, keys canonical, nested values as JSON text."""
+    """Pairs of a JSON object in document order: canonical key, value (nested ones as JSON text), key as written."""
     pairs = F.map_entries(F.from_json(text, T.MapType(T.StringType(), T.StringType())))
-    return F.transform(pairs, lambda e: F.struct(canonical(e["key"]).alias("k"), e["value"].alias("v")))
+    return F.transform(pairs, lambda e: F.struct(
+        canonical(e["key"]).alias("k"), e["value"].alias("v"), e["key"].alias("name")))
 
 
 def field_text(pairs: Column, name: str) -> Column:
@@ -60,11 +61,10 @@ def user_ids(pairs: Column) -> Column:
     return F.array_distinct(F.transform(mine, lambda e: e["v"]))
 
 
-def document_id(text: Column) -> Column:
+def document_id(pairs: Column) -> Column:
     """Best-effort id for the quarantine row: the first key that reads eventid or batchid."""
-    pairs = F.map_entries(F.from_json(text, T.MapType(T.StringType(), T.StringType())))
-    mine = F.filter(pairs, lambda e: F.lower(F.replace(e["key"], F.lit("_"), F.lit(""))).isin("eventid", "batchid"))
-    return F.try_element_at(mine, F.lit(1))["value"]
+    mine = F.filter(pairs, lambda e: F.lower(F.replace(e["name"], F.lit("_"), F.lit(""))).isin("eventid", "batchid"))
+    return F.try_element_at(mine, F.lit(1))["v"]
 
 
 # --- typed reading of text -------------------------------------------------------------------------------
@@ -197,7 +197,7 @@ def truncate_ibi(ibi: Column, n: int = MAX_IBI) -> Column:
 
 def _plain_entries(text: Column) -> Column:
     """Like :func:`entries`, but an empty array when the text is no JSON object."""
-    return F.coalesce(entries(text), F.array().cast("array<struct<k:string,v:string>>"))
+    return F.coalesce(entries(text), F.array().cast("array<struct<k:string,v:string,name:string>>"))
 
 
 def _unknown_keys(pairs: Column, schema: T.StructType) -> Column:
@@ -260,7 +260,7 @@ def parse_documents(raw: DataFrame, kind: str, unknown: str = "drop", value: str
     d = raw.select(F.col(value).alias("__text")).withColumn("__pairs", _plain_entries(F.col("__text")))
     pairs = F.col("__pairs")
     stage: dict[str, Column] = {
-        "__raw": raw_struct(fields, pairs), "__users": user_ids(pairs),
+        "__raw": raw_struct(fields, pairs), "__users": user_ids(pairs), "__doc_id": document_id(pairs),
         "__unknown": _unknown_keys(pairs, schema) if reject else _no_names()}
     for name in objects:
         stage[f"__text_{name}"] = field_text(pairs, name)
@@ -309,7 +309,7 @@ def parse_documents(raw: DataFrame, kind: str, unknown: str = "drop", value: str
         else:
             columns.append(v[f.name].alias(f.name))
     reason = (F.when(F.size(users) > 1, F.lit(IDENTITY_MISMATCH)).when(F.size("__problems") > 0, F.lit(INVALID_DOCUMENT)))
-    record = F.struct(*columns, document_id(F.col("__text")).alias("doc_id"), F.lit(kind).alias("kind"),
+    record = F.struct(*columns, F.col("__doc_id").alias("doc_id"), F.lit(kind).alias("kind"),
                       reason.alias("reason"), F.array_join(F.sort_array("__problems"), ",").alias("detail"))
     # A filter on the result must not be pushed below the parsing, which would run all of it twice per document;
     # it cannot pass a generated column.
@@ -354,9 +354,11 @@ def decision_problems(decisions: DataFrame) -> DataFrame:
 
 
 def resolve_identity(raw: DataFrame, value: str = "value") -> DataFrame:
-    """Add the single user id over all spellings (null when none) and whether they conflict."""
-    ids = user_ids(_plain_entries(F.col(value)))
+    """Add the document id, the single user id over all spellings (null when none), and whether they conflict."""
+    pairs = _plain_entries(F.col(value))
+    ids = user_ids(pairs)
     return raw.withColumns({
+        "doc_id": document_id(pairs),
         "user_id": F.when(F.size(ids) == 1, F.try_element_at(ids, F.lit(1))),
         "identity_mismatch": F.size(ids) > 1,
     })

@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulseframe.functions.columns import micros
-from pulseframe.functions.scale import HotKeys, hot_keys
-from pulseframe.operators.clean import clean
+from pulseframe.functions.scale import hot_keys
+from pulseframe.operators.clean import clean, with_ibi
 from pulseframe.operators.contracts import normalize_documents
 from pulseframe.operators.features import window_features
 from pulseframe.operators.flatten import flatten_batches
@@ -36,31 +36,28 @@ class GroundTruth:
         return dataset_summary(self)
 
 
-def hot_events(samples: DataFrame, windowed: DataFrame, params: EventWindowParams, scale: ScaleParams) -> HotKeys | None:
-    """Events whose window holds more rows than one task should.
-
-    A window touches at most two time buckets, so twice the fullest bucket bounds every window. Only when that
-    bound is too large is the join itself counted.
-    """
-    size = micros(params.size_seconds)
-    fullest = (samples.groupBy("session_id", "device_id", F.floor(F.unix_micros("timestamp") / F.lit(size)).alias("b"))
-               .agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"])
-    if 2 * (fullest or 0) <= scale.max_rows_per_task:
-        return None
-    return hot_keys(windowed, ["event_id"], scale)
+def near_events(samples: DataFrame, events: DataFrame, params: EventWindowParams) -> DataFrame:
+    """Samples that any window could reach, as a plain time range the scan can use to skip files."""
+    at = F.unix_micros("detected_at")
+    span = events.agg(F.min(at).alias("low"), F.max(at).alias("high")).first()
+    if span["low"] is None:
+        return samples.limit(0)
+    first, last = span["low"] - micros(params.size_seconds), span["high"]
+    return samples.filter(F.col("timestamp").between(F.timestamp_micros(F.lit(first)), F.timestamp_micros(F.lit(last))))
 
 
 def event_features(samples: DataFrame, events: DataFrame, params: RunParams = RunParams(),
                    scale: ScaleParams = ScaleParams(), as_of: Column | None = None) -> DataFrame:
     """Per event with at least one sample: raw row count, raw HR share, then features of the cleaned window.
 
-    Each window is cleaned alone, so nothing after T can leak in. One exchange on the event id serves cleaning
-    and aggregation; the gate reads the raw values, before any fill.
+    Each window is cleaned alone, so nothing after T can leak in. The matched samples, a small part of the
+    telemetry, are checkpointed: they are counted per event before one exchange on the event id serves cleaning
+    and aggregation. The gate reads the raw values, before any fill.
     """
-    windowed = event_windows(samples, events, params.event_window)
-    hot = hot_events(samples, windowed, params.event_window, scale)
+    windowed = event_windows(near_events(samples, events, params.event_window), events, params.event_window)
+    windowed = cut_lineage(with_ibi(windowed).drop("ibi_ms", "batch_id", "user_id", "window_end"))
     raw = windowed.withColumn("__has_hr", F.col("heart_rate_bpm").isNotNull())
-    cleaned = clean(raw, params.clean, "event_id", scale, hot)
+    cleaned = clean(raw, params.clean, "event_id", scale, hot_keys(windowed, ["event_id"], scale))
     gate = [F.count(F.lit(1)).alias("n_samples"), F.avg(F.when(F.col("__has_hr"), 1.0).otherwise(0.0)).alias("hr_ratio")]
     return window_features(cleaned, ["event_id", "window_start"], params.features, as_of=as_of, extra=gate).drop("window_start")
 
@@ -69,9 +66,10 @@ def judge_decisions(samples: DataFrame, suspected: DataFrame, decisions: DataFra
                     scale: ScaleParams = ScaleParams(), as_of: Column | None = None) -> DataFrame:
     """Every deduplicated decision with its detector event, label, features and the first reason against it.
 
-    Order of reasons: event_mismatch, missing_telemetry, insufficient_samples, unsupported_response.
+    Order of reasons: event_mismatch, missing_telemetry, insufficient_samples, unsupported_response. The linked
+    decisions are checkpointed: they give the time range, the windows and the result rows.
     """
-    linked = attach_suspected(decisions, suspected).withColumn("__match", suspected_matches())
+    linked = cut_lineage(attach_suspected(decisions, suspected).withColumn("__match", suspected_matches()))
     usable = linked.filter("__match").select("event_id", "session_id", "device_id", "user_id", "detected_at")
     found = event_features(samples, usable, params, scale, as_of)
     joined = apply_label_policy(linked.join(found, "event_id", "left"))
