@@ -19,6 +19,8 @@ _SPACES = np.zeros(256, bool)
 _SPACES[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+#: Every ASCII byte that is neither letter nor digit; bytes of other scripts are part of words.
+PUNCTUATED = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -74,12 +76,15 @@ def span_hashes(data: np.ndarray, counted: np.ndarray, begin: np.ndarray, end: n
     return mix((total[end] - total[begin]) * _powers_of(_INVERSE, len(data) + 1)[begin] + (end - begin).astype(np.uint64))
 
 
-def words(run: list[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word, offsets of each text's words): words are runs of bytes other than space and 0x09-0x0D."""
+def words(run: list[bytes], lower: bool = True, separators: np.ndarray = _SPACES) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word, offsets of each text's words): words are runs of bytes other than the separators.
+
+    The separators are space and 0x09-0x0D unless given as a table by byte, which must include the line feed.
+    """
     data, starts = joined(run)
     if lower:
         data = _LOWER[data]
-    inside = ~_SPACES[data]
+    inside = ~separators[data]
     edge = np.diff(inside.astype(np.int8), prepend=np.int8(0))
     begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     return span_hashes(data, inside, begin, end), np.searchsorted(begin, starts)

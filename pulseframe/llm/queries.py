@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.llm import bpe, chat, url_filter, warc
-from pulseframe.llm.common import table
+from pulseframe.llm import bpe, chat, quality, toxicity, url_filter, warc
+from pulseframe.llm.common import stored, table
 
 
 def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,25 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.chat_windows(turns))
 
 
+def _remainder(n: int) -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    model = toxicity.fit_toxicity(docs, labels, _remainder(5) != 0)
+    out = toxicity.score_toxicity(docs, model)
+    return out.select("doc_id", (_remainder(5) == 0).alias("held_out"), "score", "predicted")
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    stats = stored(quality.add_statistics(docs), "quality-stats")
+    model = quality.fit_quality(stats, labels, _remainder(3) != 1)
+    out = quality.score_quality(stats, model)
+    return out.select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = warc.write_archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return warc.read_archive(archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -48,6 +67,8 @@ FROM p LEFT JOIN hit h ON h.rn = p.rn"""
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
+    "op2_toxicity": op2_toxicity,
+    "op3_quality": op3_quality,
     "op7_warc": op7_warc,
     "op8_bpe": op8_bpe,
     "op10_url_filter": op10_url_filter,
