@@ -90,6 +90,25 @@ def words(run: list[bytes], lower: bool = True, separators: np.ndarray = _SPACES
     return span_hashes(data, inside, begin, end), np.searchsorted(begin, starts)
 
 
+def words_and_stems(run: list[bytes], stems: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word and of its leading ``stems`` bytes, number of its text); words are split at punctuation too.
+
+    A word and a stem of the same bytes have different hashes; a word shorter than a stem has none of that length.
+    """
+    data, starts = joined(run)
+    data = _LOWER[data]
+    inside = ~PUNCTUATED[data]
+    edge = np.diff(inside.astype(np.int8), prepend=np.int8(0))
+    begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    owner = np.searchsorted(starts, begin, side="right") - 1
+    found, owners = [span_hashes(data, inside, begin, end)], [owner]
+    for length in stems:
+        long = end - begin >= length
+        found.append(mix(span_hashes(data, inside, begin[long], begin[long] + length) + np.uint64(length)))
+        owners.append(owner[long])
+    return np.concatenate(found), np.concatenate(owners)
+
+
 def shingles(hashes: np.ndarray, n: int) -> np.ndarray:
     """Distinct sorted shingle hashes of one text's word hashes; fewer words than n make one shingle of all."""
     if len(hashes) == 0:

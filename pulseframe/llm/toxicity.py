@@ -4,7 +4,7 @@ Each labelled sentence that mentions an identity term is paired with its copy in
 next of its group. Training minimises log loss + l2 |w|^2 / 2 + counterfactual * mean((score(copy) - score(sentence))^2),
 so a term that merely co-occurs with toxic labels gets no weight of its own, and neutral mentions are not flagged.
 
-Features are the presence of selected words anywhere in the whole text, lower-cased; doc_id, lang, source and labels are
+Features are the presence of selected words and word stems (leading bytes) anywhere in the whole text, lower-cased; doc_id, lang, source and labels are
 never inputs of a score. The fit uses at most ``max_train_rows`` labelled rows, chosen by a hash of doc_id; the scores cover
 every row. Labels other than 0 and 1 are ignored, repeated labels of one document count once (their largest).
 A null or empty text has no words and scores like the bias; repeated rows score alike; an empty table gives no rows.
@@ -41,6 +41,7 @@ IDENTITY_GROUPS = (
 )
 SWAP = {term: group[(i + 1) % len(group)] for group in IDENTITY_GROUPS for i, term in enumerate(group)}
 _TERM = re.compile(r"(?<!\w)(?:" + "|".join(sorted(map(re.escape, SWAP), key=len, reverse=True)) + r")(?!\w)")
+STEMS = (4, 5, 6, 7, 8)  # bytes of a word's beginning that are features besides the word
 _SENTENCE = re.compile(r"[^.!?\n]+")
 
 
@@ -65,11 +66,12 @@ class ToxicityModel:
 
 
 def _hash_words(text: str) -> np.ndarray:
-    return kernel.words([text.lower().encode("utf-8", "surrogatepass")], separators=kernel.PUNCTUATED)[0]
+    return kernel.words_and_stems([text.lower().encode("utf-8", "surrogatepass")], STEMS)[0]
 
 
-def word_hash(word: str) -> int:
-    return int(_hash_words(word)[0])
+def term_hashes(term: str) -> list[int]:
+    """The term and its stems."""
+    return _hash_words(term).tolist()
 
 
 def _swaps(text: str) -> list[tuple[list[int], list[int]]]:
@@ -95,7 +97,9 @@ def word_rows(labelled: DataFrame, text: str = "text", label: str = "label") ->
             lowered = [t.lower() if isinstance(t, str) else "" for t in batch[text]]
             labels, found = batch[label].tolist(), []
             for first, run in kernel.slices(lowered):
-                hashes, at = kernel.words(run, separators=kernel.PUNCTUATED)
+                hashes, owner = kernel.words_and_stems(run, STEMS)
+                order = np.lexsort((hashes, owner))
+                hashes, at = hashes[order], np.searchsorted(owner[order], np.arange(len(run) + 1))
                 for i in range(len(run)):
                     pairs = _swaps(lowered[first + i])
                     found.append((labels[first + i], np.unique(hashes[at[i] : at[i + 1]]).astype(np.int64),
@@ -129,7 +133,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, train: Column, params: Toxi
     p = toxic / n
     z = F.abs(F.col("hits") - F.col("df") * p) / F.sqrt(F.col("df") * p * (1 - p))
     picked = counts.withColumn("z", z).filter(F.col("z") >= params.min_z).orderBy(F.desc("z"), "word").limit(params.terms)
-    chosen = {r["word"] for r in picked.select("word").collect()} | set(_signed([word_hash(t) for t in SWAP]))
+    chosen = {r["word"] for r in picked.select("word").collect()} | set(_signed([h for t in SWAP for h in term_hashes(t)]))
     hashes = np.unique(np.array(sorted(chosen), np.int64).astype(np.uint64))
     signed = {h: i for i, h in enumerate(hashes.astype(np.int64).tolist())}
 
@@ -191,13 +195,12 @@ def score_toxicity(df: DataFrame, model: ToxicityModel, text: str = "text") -> D
             out = np.full(len(batch), model.bias)
             lowered = [t.lower() if isinstance(t, str) else "" for t in batch]
             for first, run in kernel.slices(lowered):
-                hashes, at = kernel.words(run, separators=kernel.PUNCTUATED)
+                hashes, owner = kernel.words_and_stems(run, STEMS)
                 if not len(hashes) or not len(model.hashes):
                     continue
                 place = np.minimum(np.searchsorted(model.hashes, hashes), len(model.hashes) - 1)
                 hit = np.flatnonzero(model.hashes[place] == hashes)
-                owner = np.searchsorted(at, hit, side="right") - 1
-                pairs = np.unique(owner * len(model.hashes) + place[hit])
+                pairs = np.unique(owner[hit] * len(model.hashes) + place[hit])
                 out[first : first + len(run)] += np.bincount(
                     pairs // len(model.hashes), weights=model.weights[pairs % len(model.hashes)], minlength=len(run))
             yield pd.Series(1 / (1 + np.exp(-np.clip(out, -40, 40))))
