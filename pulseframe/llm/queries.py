@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.llm import bpe, chat, quality, toxicity, url_filter, warc
+from pulseframe.llm import bpe, chat, ngram_join, quality, toxicity, url_filter, warc
 from pulseframe.llm.common import stored, table
 
 
@@ -38,6 +38,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_join.jaccard_components(docs, ngram_join.JoinParams(n=4, percent=85))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = warc.write_archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return warc.read_archive(archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -69,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_toxicity": op2_toxicity,
     "op3_quality": op3_quality,
+    "op5_ngram_join": op5_ngram_join,
     "op7_warc": op7_warc,
     "op8_bpe": op8_bpe,
     "op10_url_filter": op10_url_filter,
