@@ -19,13 +19,14 @@ import unicodedata
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_REMEMBERED, _LONGEST_REMEMBERED = 400_000, 64
-_SLICE_CHARS = 8_000_000
+_REMEMBERED, _LONGEST_REMEMBERED = 250_000, 64
+_SLICE_CHARS = 6_000_000
 _ID_BITS = 20
 
 
@@ -70,86 +71,111 @@ class PairIndexBpe:
         letters = byte_letters()
         self.inner = np.array([self.vocab[x] for x in letters])
         self.last = np.array([self.vocab[x + self.suffix] for x in letters])
+        self.pair_keys = np.array(sorted(self.rank_of))
+        self.pair_ranks = np.array([self.rank_of[k] for k in self.pair_keys.tolist()])
+        self.names = {i: str(i) for i in self.tokens}
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pieces = regex.compile(split["pattern"]["Regex"], regex.V1)
         self.marks = regex.compile("|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) or r"(?!)")
         self.odd_space = regex.compile("[\x1c-\x1f]")
-        self.plain_end = {c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'"}
         self.forget()
 
     def forget(self) -> None:
         """Drop remembered pieces and chunks: id text and decoded text of each."""
-        self.piece_ids: dict[str, str] = {}
-        self.piece_text: dict[str, str] = {}
-        self.chunk_ids: dict[str, str] = {t: str(i) for t, i in self.special.items()}
-        self.chunk_text: dict[str, str] = {t: t for t in self.special}
+        self.pieces_known: dict[str, tuple[str, str]] = {}
+        self.chunks_known: dict[str, tuple[str, str]] = {}
 
-    def merge(self, pieces: Sequence[bytes]) -> list[list[int]]:
-        """Ids of each piece, from one pair index over all of them."""
+    def merge(self, pieces: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all pieces one after another, where each piece's begin and the last ends), from one pair index over all of them."""
         sizes = np.array([len(p) for p in pieces])
         data = np.frombuffer(b"".join(pieces), np.uint8)
         ends = np.cumsum(sizes)
-        laid = self.inner[data]
-        laid[ends - 1] = self.last[data[ends - 1]]
-        after, before = np.arange(1, len(data) + 1), np.arange(-1, len(data) - 1)
-        after[ends - 1] = -1
-        before[ends - sizes] = -1
-        symbol, left, right = laid.tolist(), before.tolist(), after.tolist()
-        rank_of = self.rank_of
-        where: dict[int, list[int]] = {}
-        for i, pair in enumerate((laid[:-1] << _ID_BITS | laid[1:]).tolist()):
-            if right[i] >= 0 and (rank := rank_of.get(pair)) is not None:
-                where.setdefault(rank, []).append(i)
-        heap = list(where)
-        heapq.heapify(heap)
+        symbol = self.inner[data]
+        symbol[ends - 1] = self.last[data[ends - 1]]
+        right, left = np.arange(1, len(data) + 1), np.arange(-1, len(data) - 1)
+        right[ends - 1] = -1
+        left[ends - sizes] = -1
+        where: dict[int, list[np.ndarray]] = {}
+        heap: list[int] = []
+
+        def listed(at: np.ndarray, pairs: np.ndarray) -> None:
+            """Put the positions of pairs that have a rank into the index."""
+            place = np.minimum(np.searchsorted(self.pair_keys, pairs), len(self.pair_keys) - 1)
+            known = self.pair_keys[place] == pairs
+            ranks, at = self.pair_ranks[place[known]], at[known]
+            if not len(at):
+                return
+            order = np.argsort(ranks, kind="stable")
+            ranks, at = ranks[order], at[order]
+            cuts = np.flatnonzero(ranks[1:] != ranks[:-1]) + 1
+            for rank, own in zip(ranks[np.concatenate([[0], cuts])].tolist(), np.split(at, cuts)):
+                if rank in where:
+                    where[rank].append(own)
+                else:
+                    where[rank] = [own]
+                    heapq.heappush(heap, rank)
+
+        at = np.flatnonzero(right >= 0)
+        listed(at, symbol[at] << _ID_BITS | symbol[at + 1])
         while heap:
             rank = heapq.heappop(heap)
             first, second, into = self.first[rank], self.second[rank], self.into[rank]
-            for i in sorted(where.pop(rank)):
-                j = right[i]
-                if symbol[i] != first or j < 0 or symbol[j] != second:
-                    continue  # an earlier merge took one of the two
-                symbol[i], symbol[j] = into, -1
-                k = right[i] = right[j]
-                h = left[i]
-                if k >= 0:
-                    left[k] = i
-                for a, b in ((h, i), (i, k)):
-                    if a >= 0 and b >= 0 and (new := rank_of.get(symbol[a] << _ID_BITS | symbol[b])) is not None:
-                        if new in where:
-                            where[new].append(a)
-                        else:
-                            where[new] = [a]
-                            heapq.heappush(heap, new)
-        out = []
-        for at in (ends - sizes).tolist():
-            ids = []
-            while at >= 0:
-                ids.append(symbol[at])
-                at = right[at]
-            out.append(ids)
-        return out
+            i = np.unique(np.concatenate(where.pop(rank)))
+            j = right[i]
+            holds = (symbol[i] == first) & (j >= 0) & (symbol[j] == second)  # else an earlier merge took one of the two
+            i, j = i[holds], j[holds]
+            if first == second and len(i) > 1:
+                i, j = self._left_pairs_of_runs(i, j)
+            if not len(i):
+                continue
+            symbol[i], symbol[j] = into, -1
+            k = right[i] = right[j]
+            left[k[k >= 0]] = i[k >= 0]
+            h = left[i]
+            before, after = h >= 0, k >= 0
+            listed(np.concatenate([h[before], i[after]]),
+                   np.concatenate([symbol[h[before]] << _ID_BITS | into, into << _ID_BITS | symbol[k[after]]]))
+        kept = symbol >= 0
+        return symbol[kept], np.concatenate([[0], np.cumsum(kept)[ends - 1]])
 
-    def learn(self, chunks: list[str]) -> None:
-        """Remember id text and decoded text of new chunks, which hold no white space."""
+    @staticmethod
+    def _left_pairs_of_runs(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """In a run of equal symbols every second pair merges, from the left."""
+        follows = np.concatenate([[False], i[1:] == j[:-1]])
+        heads = np.maximum.accumulate(np.where(follows, 0, np.arange(len(i))))
+        even = (np.arange(len(i)) - heads) % 2 == 0
+        return i[even], j[even]
+
+    def learn(self, chunks: list[str]) -> dict[str, tuple[str, str]]:
+        """(id text, decoded text) of chunks, which hold no white space."""
         parts = []
         for chunk in chunks:
             plain = chunk.lower() if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
             if plain.isalpha():
-                parts.append((plain,))
-            elif plain[-1] in self.plain_end and plain[:-1].isalpha():
-                parts.append((plain[:-1], plain[-1]))
+                parts.append(plain)
             else:
-                parts.append(tuple(self.pieces.findall(plain)))
-        new = list({p for ps in parts for p in ps if p not in self.piece_ids})
+                parts.append(self.pieces.findall(plain))
+        known = self.pieces_known
+        seen = {p for p in parts if isinstance(p, str)}.union(*[p for p in parts if not isinstance(p, str)])
+        if len(known) + len(seen) > _REMEMBERED:
+            known = self.pieces_known = {p: known[p] for p in seen if p in known}
+        new = [p for p in seen if p not in known]
         if new:
-            for piece, ids in zip(new, self.merge([p.encode("utf-8", "surrogatepass") for p in new])):
-                self.piece_ids[piece] = " ".join(map(str, ids))
-                self.piece_text[piece] = self.decode(ids)
-        ids_of, text_of = self.piece_ids.__getitem__, self.piece_text.__getitem__
+            ids, cuts = self.merge([p.encode("utf-8", "surrogatepass") for p in new])
+            ids, cuts = ids.tolist(), cuts.tolist()
+            numbers, texts = list(map(self.names.__getitem__, ids)), list(map(self.tokens.__getitem__, ids))
+            for piece, a, b in zip(new, cuts, cuts[1:]):
+                known[piece] = (" ".join(numbers[a:b]), " ".join(texts[a:b]))
+        out = {}
         for chunk, ps in zip(chunks, parts):
-            self.chunk_ids[chunk] = " ".join(map(ids_of, ps))
-            self.chunk_text[chunk] = " ".join(map(text_of, ps))
+            if isinstance(ps, str):
+                out[chunk] = known[ps]
+            else:
+                found = [known[p] for p in ps]
+                out[chunk] = (" ".join([x[0] for x in found]), " ".join([x[1] for x in found]))
+        for long in [p for p in new if len(p) > _LONGEST_REMEMBERED]:
+            del known[long]
+        return out
 
     def decode(self, ids: Sequence[int]) -> str:
         """Tokens joined by a space, special ones too, as a file without a decoder says."""
@@ -172,28 +198,34 @@ class PairIndexBpe:
 
     def encode(self, texts: Sequence[str | None]) -> Iterator[tuple[int, str, str]]:
         """(number of ids, ids joined by spaces, decoded text) of each text."""
-        at = 0
-        while at < len(texts):
-            size, run, seen = 0, [], set()
-            while at < len(texts) and (not run or size < _SLICE_CHARS):
-                text = texts[at] if isinstance(texts[at], str) else ""
-                run.append(text)
-                seen.update(self.chunks(text))
-                size += len(text)
-                at += 1
-            new = [c for c in seen if c not in self.chunk_ids]
-            if len(self.chunk_ids) + len(new) > _REMEMBERED or len(self.piece_ids) > _REMEMBERED:
-                self.forget()
-                new = [c for c in seen if c not in self.special]
-            self.learn(new)
-            ids_of, text_of = self.chunk_ids.__getitem__, self.chunk_text.__getitem__
-            for text in run:
-                chunks = self.chunks(text)
-                ids = " ".join(map(ids_of, chunks))
-                yield ids.count(" ") + 1 if ids else 0, ids, " ".join(map(text_of, chunks))
-            for kept in (self.chunk_ids, self.chunk_text, self.piece_ids, self.piece_text):
-                for long in [c for c in kept if len(c) > _LONGEST_REMEMBERED]:
-                    del kept[long]
+        for first, size in text_runs(texts):
+            run = [t if isinstance(t, str) else "" for t in texts[first : first + size]]
+            split = [self.chunks(t) for t in run]
+            seen = set().union(*split)
+            known = self.chunks_known
+            here = {c: known[c] for c in seen if c in known}
+            here.update((t, (str(i), t)) for t, i in self.special.items())
+            here.update(self.learn([c for c in seen if c not in here]))
+            # Chunks of the last run stay known, so frequent ones are learned once; long ones are not kept.
+            self.chunks_known = {c: x for c, x in here.items() if len(c) <= _LONGEST_REMEMBERED} if len(here) <= _REMEMBERED else {}
+            get = here.__getitem__
+            for chunks in split:
+                found = list(map(get, chunks))
+                ids = " ".join([x[0] for x in found])
+                yield ids.count(" ") + 1 if ids else 0, ids, " ".join([x[1] for x in found])
+
+
+def text_runs(texts: Sequence[str | None]) -> Iterator[tuple[int, int]]:
+    """(first, count) of runs of about _SLICE_CHARS characters, or of one longer text."""
+    first, size = 0, 0
+    for i, text in enumerate(texts):
+        length = len(text) if isinstance(text, str) else 0
+        if i > first and size + length > _SLICE_CHARS:
+            yield first, i - first
+            first, size = i, 0
+        size += length
+    if len(texts) > first:
+        yield first, len(texts) - first
 
 
 _loaded: dict[str, PairIndexBpe] = {}
@@ -209,12 +241,21 @@ def loaded(path: str) -> PairIndexBpe:
 def encode_decode(df: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
     """Add n_tokens long, ids array<int>, ids_text (the ids joined by spaces) and decoded. ``vocabulary`` is a path every executor has."""
 
-    @F.pandas_udf("n_tokens long, ids string, decoded string")
-    def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    new = T.StructType().add("n_tokens", "long").add("ids_text", "string").add("decoded", "string")
+    kept = [c for c in df.columns if c not in (*new.names, "ids")]
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(vocabulary)
         for batch in batches:
-            yield pd.DataFrame(list(bpe.encode(batch.tolist())), columns=["n_tokens", "ids", "decoded"])
+            texts = batch.column(batch.num_columns - 1).to_pylist()
+            for first, size in text_runs(texts):
+                n, ids, decoded = zip(*bpe.encode(texts[first : first + size]))
+                part = batch.slice(first, size)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[:-1], pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
+                    names=[*part.schema.names[:-1], *new.names])
 
-    out = df.withColumn("__bpe", encoded(F.col(text)))
-    ids = F.when(F.col("__bpe.ids") == "", F.array().cast("array<int>")).otherwise(F.split("__bpe.ids", " ").cast("array<int>"))
-    return out.withColumns({"n_tokens": F.col("__bpe.n_tokens"), "ids": ids, "ids_text": F.col("__bpe.ids"), "decoded": F.col("__bpe.decoded")}).drop("__bpe")
+    schema = T.StructType([*(df.schema[c] for c in kept), *new])
+    out = df.select(*kept, F.col(text).alias("__text")).mapInArrow(encoded, schema)
+    ids = F.when(F.col("ids_text") == "", F.array().cast("array<int>")).otherwise(F.split("ids_text", " ").cast("array<int>"))
+    return out.withColumn("ids", ids)
