@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.llm import bpe, chat, ngram_join, quality, toxicity, url_filter, warc
+from pulseframe.llm import bpe, chat, multi_index, ngram_join, quality, toxicity, url_filter, warc
 from pulseframe.llm.common import stored, table
 
 
@@ -43,6 +43,10 @@ def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(docs, ngram_join.JoinParams(n=4, percent=85))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archive = warc.write_archive(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return warc.read_archive(archive).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_quality": op3_quality,
     "op5_ngram_join": op5_ngram_join,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op7_warc": op7_warc,
     "op8_bpe": op8_bpe,
     "op10_url_filter": op10_url_filter,
