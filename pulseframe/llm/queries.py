@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.llm import bpe, chat, multi_index, ngram_join, quality, toxicity, url_filter, warc
+from pulseframe.llm import bpe, chat, decontaminate, line_dedup, multi_index, ngram_join, quality, toxicity, url_filter, warc
 from pulseframe.llm.common import stored, table
 
 
@@ -38,6 +38,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.remove_repeated_windows(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return ngram_join.jaccard_components(docs, ngram_join.JoinParams(n=4, percent=85))
@@ -59,6 +64,10 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
 
@@ -78,10 +87,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_toxicity": op2_toxicity,
     "op3_quality": op3_quality,
+    "op4_line_dedup": op4_line_dedup,
     "op5_ngram_join": op5_ngram_join,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op7_warc": op7_warc,
     "op8_bpe": op8_bpe,
+    "op9_decontamination": op9_decontamination,
     "op10_url_filter": op10_url_filter,
 }
 
@@ -97,4 +108,17 @@ f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN first_id = page_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN first_id <> page_id THEN first_id END AS refers_to FROM f"""
 
-SQL: dict[str, str] = {"op7_warc": OP7_SQL, "op10_url_filter": OP10_SQL}
+OP4_SQL = """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents),
+t AS (SELECT *, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS body FROM l),
+n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k FROM t WHERE body <> ''),
+w AS (SELECT doc_id, k, body AS x, lead(body) OVER (PARTITION BY doc_id ORDER BY k) AS y, lead(body, 2) OVER (PARTITION BY doc_id ORDER BY k) AS z FROM n),
+f AS (SELECT *, row_number() OVER (PARTITION BY x, y, z ORDER BY doc_id, k) AS r, count(*) OVER (PARTITION BY x, y, z) AS c FROM w WHERE z IS NOT NULL),
+o AS (SELECT * FROM (VALUES (0), (1), (2)) AS v(o)),
+gone AS (SELECT doc_id, k + o AS k FROM f, o WHERE c > 1 GROUP BY doc_id, k + o HAVING max(CASE WHEN r > 1 THEN 1 ELSE 0 END) = 1 AND max(CASE WHEN r = 1 THEN 1 ELSE 0 END) = 0),
+m AS (SELECT t.doc_id, t.pos, t.line, n.k, g.k IS NOT NULL AS gone FROM t LEFT JOIN n ON n.doc_id = t.doc_id AND n.pos = t.pos
+  LEFT JOIN gone g ON g.doc_id = n.doc_id AND g.k = n.k)
+SELECT d.doc_id, count(m.k) AS n_lines, count(*) FILTER (m.gone) AS n_removed,
+  CASE WHEN max(d.text) IS NOT NULL THEN sha256(coalesce(string_agg(CASE WHEN NOT m.gone THEN m.line END, chr(10) ORDER BY m.pos), '')) END AS text_sha256
+FROM documents d LEFT JOIN m ON m.doc_id = d.doc_id GROUP BY d.doc_id"""
+
+SQL: dict[str, str] = {"op4_line_dedup": OP4_SQL, "op7_warc": OP7_SQL, "op10_url_filter": OP10_SQL}
