@@ -166,7 +166,7 @@ def _index(texts: tuple[bytes, ...], edit_share: float) -> ItemIndex:
     return ItemIndex(texts, edit_share)
 
 
-def item_blocks(items: DataFrame, params: DecontaminationParams) -> list[list[tuple[int | None, bytes]]]:
+def item_blocks(items: DataFrame, params: DecontaminationParams) -> Iterator[list[tuple[int | None, bytes]]]:
     """(item_id, text) in blocks of about ``block_bytes``, spread by a hash; one block at a time is on the driver's way to the tasks."""
     rows = items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter(F.length("text") > 0)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -200,16 +200,18 @@ def is_clean(items: DataFrame, text: str = "text", params: DecontaminationParams
     """Whether a text holds none of the items; a condition on each row, without an exchange."""
     clean = F.lit(True)
     for block in item_blocks(items, params):
-        texts, edit_share = tuple(t for _, t in block), params.edit_share
+        clean = clean & _free_of(tuple(t for _, t in block), params.edit_share)(F.col(text))
+    return clean
 
-        @F.pandas_udf("boolean")
-        def free(batch: pd.Series, texts=texts) -> pd.Series:
-            index = _index(texts, edit_share)
-            lowered = [t.lower() if isinstance(t, str) else "" for t in batch]
-            out = np.ones(len(lowered), bool)
-            for first, run in kernel.slices(lowered):
-                out[[first + doc for doc, *_ in index.matches(run)]] = False
-            return pd.Series(out)
 
-        clean = clean & free(F.col(text))
-    return clean
+def _free_of(texts: tuple[bytes, ...], edit_share: float):
+    @F.pandas_udf("boolean")
+    def free(batch: pd.Series) -> pd.Series:
+        index = _index(texts, edit_share)
+        lowered = [t.lower() if isinstance(t, str) else "" for t in batch]
+        out = np.ones(len(lowered), bool)
+        for first, run in kernel.slices(lowered):
+            out[[first + doc for doc, *_ in index.matches(run)]] = False
+        return pd.Series(out)
+
+    return free
