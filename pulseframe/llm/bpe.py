@@ -13,14 +13,16 @@ like a result is replaced by it.
 
 from __future__ import annotations
 
+import functools
 import heapq
 import json
+import re
+import sys
 import unicodedata
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +32,26 @@ _SLICE_CHARS = 6_000_000
 _ID_BITS = 20
 
 
+# White space of the Unicode standard. Fixed values.
+_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# Letters and digits of Unicode 16, which the public library knows and Python's tables do not yet. Fixed values.
+_NEW_LETTERS = ((0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4),
+                (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3),
+                (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0))
+_NEW_DIGITS = ((0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79), (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA))
+
+
+@functools.cache
+def class_ranges(kind: str) -> str:
+    """Code points of a general category (L or N) as ranges of a character class."""
+    points = [c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c))[0] == kind]
+    points += [c for a, b in (_NEW_LETTERS if kind == "L" else _NEW_DIGITS) for c in range(a, b + 1)]
+    points = np.unique(points)
+    cuts = np.flatnonzero(np.diff(points) > 1)
+    pairs = zip(points[np.concatenate([[0], cuts + 1])].tolist(), points[np.append(cuts, len(points) - 1)].tolist())
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in pairs)
+
+
 def byte_letters() -> list[str]:
     """The printable letter of each byte value: printable Latin-1 stands for itself, the others follow from 256 on."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -75,9 +97,11 @@ class PairIndexBpe:
         self.pair_ranks = np.array([self.rank_of[k] for k in self.pair_keys.tolist()])
         self.names = {i: str(i) for i in self.tokens}
         split = next(p for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.pieces = regex.compile(split["pattern"]["Regex"], regex.V1)
-        self.marks = regex.compile("|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True)) or r"(?!)")
-        self.odd_space = regex.compile("[\x1c-\x1f]")
+        rule = split["pattern"]["Regex"].replace(r"\p{L}", class_ranges("L")).replace(r"\p{N}", class_ranges("N")).replace(r"\s", _SPACE)
+        self.pieces = re.compile(rule)
+        self.marks = re.compile("|".join(re.escape(t) for t in sorted(self.special, key=len, reverse=True)) or r"(?!)")
+        self.odd_space = re.compile("[\x1c-\x1f]")
+        self.spaces = re.compile(f"[{_SPACE}]+")
         self.forget()
 
     def forget(self) -> None:
@@ -184,7 +208,7 @@ class PairIndexBpe:
     def chunks(self, text: str) -> list[str]:
         """White-space-free parts; special strings are parts of their own. Merges never cross white space."""
         if self.odd_space.search(text):
-            return [c for part in self._marked(text) for c in ([part] if part in self.special else regex.split(r"\p{White_Space}+", part)) if c]
+            return [c for part in self._marked(text) for c in ([part] if part in self.special else self.spaces.split(part)) if c]
         if "<|" in text:
             return [c for part in self._marked(text) for c in ([part] if part in self.special else part.split())]
         return text.split()
