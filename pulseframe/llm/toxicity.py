@@ -53,7 +53,7 @@ class ToxicityParams:
     min_z: float = 4.0
     l2: float = 2.0
     counterfactual: float = 4.0
-    steps: int = 300
+    steps: int = 600
 
 
 @dataclass(frozen=True)
@@ -163,11 +163,13 @@ def descend(x_row: np.ndarray, x_col: np.ndarray, y: np.ndarray, s_row: np.ndarr
     share = np.clip(y.mean(), 1e-6, 1 - 1e-6)
     w, bias = np.zeros(width), float(np.log(share / (1 - share)))
     seen_w, seen_b = w.copy(), bias
-    df = np.bincount(x_col, minlength=width)
-    per_row = max(1.0, float(np.bincount(x_row, minlength=len(y)).max(initial=1)))
+    # The diagonal of absolute row sums bounds the curvature, so a step never overshoots by itself.
+    reach = np.bincount(x_row, minlength=len(y)) + 1.0
     pull = 2 * params.counterfactual * len(y) / max(1, n_swaps)
-    s_curve = pull * np.bincount(s_col, weights=s_val**2, minlength=width) * 2
-    curve = 0.25 * df * min(per_row, 30.0) + s_curve + params.l2
+    s_reach = np.bincount(s_row, weights=np.abs(s_val), minlength=n_swaps)
+    curve = (0.25 * np.bincount(x_col, weights=reach[x_row], minlength=width)
+             + pull * np.bincount(s_col, weights=np.abs(s_val) * s_reach[s_row], minlength=width) + params.l2)
+    bias_curve = 0.25 * reach.sum()
     for t in range(params.steps):
         z = np.bincount(x_row, weights=seen_w[x_col], minlength=len(y)) + seen_b
         p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
@@ -176,7 +178,7 @@ def descend(x_row: np.ndarray, x_col: np.ndarray, y: np.ndarray, s_row: np.ndarr
         if n_swaps:
             change = np.bincount(s_row, weights=s_val * seen_w[s_col], minlength=n_swaps)
             grad += pull * np.bincount(s_col, weights=s_val * change[s_row], minlength=width)
-        new_w, new_b = seen_w - grad / curve, seen_b - miss.sum() / (0.25 * len(y) * 2)
+        new_w, new_b = seen_w - grad / curve, seen_b - miss.sum() / bias_curve
         if (new_w - w) @ grad + (new_b - bias) * miss.sum() > 0:  # overshoot: restart the momentum
             momentum, start = 0.0, t
         else:
