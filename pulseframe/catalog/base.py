@@ -58,9 +58,10 @@ ORDER = "tm, sequence, pos"
 
 SAMPLES = """ev AS (SELECT *, CAST(regexp_extract(props, '[0-9]+', 0) AS INT) AS k FROM events),
 samples AS (SELECT
-  CAST(e.user_id AS VARCHAR) || '-' || CAST(weekofyear(e.ts) AS VARCHAR) || '-' || CAST(e.event_id // 6000 AS VARCHAR) AS batch_id,
+  CAST(e.user_id AS VARCHAR) || '-' || CAST(weekofyear(e.ts) AS VARCHAR) AS batch_id,
   CAST(e.user_id // 3 AS VARCHAR) AS user_id, CAST(e.user_id % 50 AS VARCHAR) AS device_id, CAST(e.user_id AS VARCHAR) AS session_id,
-  CAST(weekofyear(e.ts) AS BIGINT) AS sequence, e.event_id AS pos, e.ts AS tm,
+  CAST(weekofyear(e.ts) AS BIGINT) AS sequence,
+  row_number() OVER (PARTITION BY e.user_id, weekofyear(e.ts) ORDER BY e.ts, e.event_id) - 1 AS pos, e.ts AS tm,
   CASE WHEN e.event_type = 'error' THEN NULL ELSE 40 + e.value END AS heart_rate_bpm,
   CASE WHEN e.event_type IN ('view', 'click') THEN [CAST(600 + k AS DOUBLE), CAST(620 + 2 * k AS DOUBLE), CAST(25 * k AS DOUBLE)]
        ELSE CAST([] AS DOUBLE[]) END AS ibi_ms,
@@ -71,6 +72,10 @@ samples AS (SELECT
   'unknown' AS quality_wearing_state
   FROM ev e)"""
 
+# Documents with stated faults: 0 empty, 1 repeated beyond 600 samples, 2 ended before started, 3 negative sequence.
+FAULTY = """faulty AS (SELECT batch_id, kind, sequence, CASE kind WHEN 0 THEN 0 WHEN 1 THEN n * CAST(ceil(601 / CAST(n AS DOUBLE)) AS BIGINT) ELSE n END AS n
+  FROM (SELECT batch_id, sequence, count(*) AS n, (CAST(session_id AS BIGINT) + 7 * sequence) % 11 AS kind FROM samples GROUP BY batch_id, sequence, session_id) AS a)"""
+
 CLEANED = f"""cleaned AS (SELECT * EXCLUDE (heart_rate_bpm, skin_temperature_celsius), heart_rate_bpm AS hr_raw,
   last_value(heart_rate_bpm IGNORE NULLS) OVER (PARTITION BY session_id ORDER BY {ORDER} ROWS BETWEEN 60 PRECEDING AND CURRENT ROW) AS heart_rate_bpm,
   last_value(skin_temperature_celsius IGNORE NULLS) OVER (PARTITION BY session_id ORDER BY {ORDER} ROWS BETWEEN 300 PRECEDING AND CURRENT ROW) AS skin_temperature_celsius
@@ -116,7 +121,7 @@ def features_sql(source: str, keys: str, anchor: str, extra: str = "") -> str:
 
 EVENTS = """base AS (SELECT event_id AS n, CAST(event_id AS VARCHAR) AS event_id, CAST(user_id % 50 AS VARCHAR) AS device_id,
   CAST(user_id // 3 AS VARCHAR) AS user_id, CAST(user_id AS VARCHAR) AS session_id, CAST(weekofyear(ts) AS BIGINT) AS sequence,
-  ts + CASE WHEN event_id % 105 = 0 THEN INTERVAL 3650 DAY ELSE INTERVAL 0 DAY END AS tm, k FROM ev e WHERE e.event_id % 7 = 0),
+  ts + CASE WHEN event_id % 105 = 0 THEN INTERVAL 3650 DAY ELSE INTERVAL 0 DAY END AS tm, k FROM ev e),
 sus0 AS (SELECT *, CASE WHEN n % 91 = 0 THEN tm + INTERVAL 1 SECOND ELSE tm END AS detected_at, CAST(k / 100.0 AS DOUBLE) AS score FROM base),
 suspected AS (SELECT * FROM sus0 UNION ALL SELECT * FROM sus0 WHERE n % 35 = 0
   UNION ALL SELECT * REPLACE (score + 0.5 AS score, tm AS detected_at) FROM sus0 WHERE n % 77 = 0),

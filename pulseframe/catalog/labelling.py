@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pulseframe import fixtures as fx
-from pulseframe.catalog.base import EVENTS, ORDER, SAMPLES, SIZE_US, SLIDING, TRUTH, Query, kinds
+from pulseframe.catalog.base import EVENTS, FAULTY, ORDER, SAMPLES, SIZE_US, SLIDING, TRUTH, Query, kinds
 from pulseframe.catalog.telemetry import EVERYTHING, PARAMS, as_of
 from pulseframe.operators import clean as cl
 from pulseframe.operators import labels as lb
@@ -72,8 +72,8 @@ def _features(spark, sf_dir):
 
 
 def _click_batches(spark, sf_dir):
-    """Sparse batches, so that sequences have gaps."""
-    return fx.samples(spark, sf_dir).filter("quality_ibi = 'good' AND pos % 7 = 0")
+    """Samples without some whole sequence numbers, so that sequences have gaps."""
+    return fx.samples(spark, sf_dir).filter("(CAST(session_id AS BIGINT) + sequence) % 3 <> 0")
 
 
 def _out_of_order(spark, sf_dir):
@@ -115,7 +115,7 @@ _CATALOGUE = " UNION ALL ".join(
     + [f"SELECT '{f}', 'ml_only', count({f}) FROM ds WHERE has_suspected_event" for f in (
         "hr_std", "hr_min", "ibi_available", "ibi_coverage_ratio", "skin_temp_mean", "quality_good_ratio", "quality_fair_ratio", "quality_poor_ratio", "window_duration_seconds")])
 
-_BATCH_ROWS = f"""WITH {SAMPLES}, b AS (SELECT *, batch_id || '/' || CAST(pos // 600 AS VARCHAR) AS doc FROM samples),
+_BATCH_ROWS = f"""WITH {SAMPLES}, b AS (SELECT *, batch_id AS doc FROM samples),
 g AS (SELECT *, (epoch_us(tm) - epoch_us(lag(tm) OVER (PARTITION BY doc ORDER BY pos))) / 1e6 AS gap FROM b)"""
 
 _COUNTED = [("class", "target_support_requested"), ("user", "user_id"), ("session", "session_id"), ("device", "device_id"), ("response", "response"), ("response_category", "response_category")]
@@ -165,6 +165,8 @@ QUERIES = [
 
     Query("validate_batch_gaps", lambda s, d: validate.validate_batches(fx.batches(s, d)).filter("check = 'large_gap'"), kinds(s="level check key", d="value"),
           f"{_BATCH_ROWS} SELECT 'warning' AS level, 'large_gap' AS \"check\", batch_id AS key, max(gap) AS value FROM g GROUP BY batch_id, doc HAVING max(gap) > 300"),
+    Query("validate_batch_size", lambda s, d: validate.validate_batches(fx.faulty_batches(s, d)).filter("check IN ('no_samples', 'too_many_samples')"), kinds(s="level check key", d="value"),
+          f"WITH {SAMPLES}, {FAULTY} SELECT CASE WHEN n = 0 THEN 'error' ELSE 'warning' END AS level, CASE WHEN n = 0 THEN 'no_samples' ELSE 'too_many_samples' END AS \"check\", batch_id AS key, n AS value FROM faulty WHERE n = 0 OR n > 600"),
     Query("validate_batch_order", lambda s, d: validate.validate_batches(
               fx.batches(s, d).withColumn("samples", F.when(F.size("samples") % 2 == 0, F.reverse("samples")).otherwise(F.col("samples")))).filter("check = 'unsorted_samples'"),
           kinds(s="level check key", d="value"),
@@ -179,7 +181,7 @@ QUERIES = [
           f"WITH {SAMPLES}, o AS (SELECT * REPLACE (sequence - CASE WHEN pos % 50 = 0 THEN 1 ELSE 0 END AS sequence, CASE WHEN pos % 100 <> 0 THEN user_id END AS user_id) FROM samples), l AS (SELECT session_id, tm, lag(tm) OVER (PARTITION BY session_id ORDER BY sequence, pos) AS before FROM o) "
           "SELECT 'warning' AS level, 'timestamps_not_monotonic' AS \"check\", session_id AS key, count(*) AS value FROM l WHERE tm < before GROUP BY session_id UNION ALL SELECT 'error', 'null_values', 'user_id', count(*) FROM o WHERE user_id IS NULL HAVING count(*) > 0 UNION ALL SELECT 'warning', 'hr_out_of_range', 'heart_rate_bpm', count(*) FROM o WHERE heart_rate_bpm < 30 OR heart_rate_bpm > 220 HAVING count(*) > 0"),
     Query("sequence_gaps", lambda s, d: validate.sequence_gaps(_click_batches(s, d)), kinds(s="session_id", i="previous sequence missing"),
-          f"WITH {SAMPLES}, q AS (SELECT DISTINCT session_id, sequence FROM samples WHERE quality_ibi = 'good' AND pos % 7 = 0), l AS (SELECT *, lag(sequence) OVER (PARTITION BY session_id ORDER BY sequence) AS previous FROM q) SELECT session_id, previous, sequence, sequence - previous - 1 AS missing FROM l WHERE sequence > previous + 1"),
+          f"WITH {SAMPLES}, q AS (SELECT DISTINCT session_id, sequence FROM samples WHERE (CAST(session_id AS BIGINT) + sequence) % 3 <> 0), l AS (SELECT *, lag(sequence) OVER (PARTITION BY session_id ORDER BY sequence) AS previous FROM q) SELECT session_id, previous, sequence, sequence - previous - 1 AS missing FROM l WHERE sequence > previous + 1"),
 
     Query("qa_value_counts", lambda s, d: qa.value_counts(dataset(s, d)), kinds(s="section key", i="n"), f"WITH {TRUTH} {_COUNTS}"),
     Query("qa_missingness", lambda s, d: qa.feature_missingness(dataset(s, d), QaParams(missingness=0.001)), kinds(s="feature", i="n_missing", d="missing_ratio", b="flagged"),

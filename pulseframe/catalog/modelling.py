@@ -159,7 +159,7 @@ _SCALED = ", ".join(f"(i.{c} - m.m_{c}) / CASE WHEN m.s_{c} < 1e-12 THEN 1 ELSE
 _MOMENTS = ", ".join(f"avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}" for c in _INPUTS)
 _METRICS = "accuracy precision recall f1 roc_auc average_precision balanced_accuracy specificity false_positive_rate"
 
-_REQUESTS = f"""blocks AS (SELECT *, batch_id || '/' || CAST(pos // 6000 AS VARCHAR) AS doc FROM samples),
+_REQUESTS = f"""blocks AS (SELECT *, batch_id AS doc FROM samples),
 anchors AS (SELECT doc, min(tm) + INTERVAL 4 DAY AS t FROM blocks GROUP BY doc),
 rq AS (SELECT b.* EXCLUDE (batch_id), b.batch_id AS event_id, a.t - to_microseconds({SIZE_US}) AS window_start, heart_rate_bpm AS hr_raw FROM blocks b JOIN anchors a ON a.doc = b.doc AND b.tm BETWEEN a.t - to_microseconds({SIZE_US}) AND a.t),
 rqc AS (SELECT * EXCLUDE (heart_rate_bpm, skin_temperature_celsius),

@@ -44,7 +44,7 @@ def _dedup(spark, sf_dir):
 
 def _windows(spark, sf_dir):
     events = st.dedup_events_stream(fx.decisions(spark, sf_dir, _events(spark, sf_dir)).select(*_EVENT))
-    return _finish(spark, st.event_windows_stream(_samples(spark, sf_dir), events, fx.EVENT_WINDOW).select("event_id", "pos", "timestamp"))
+    return _finish(spark, st.event_windows_stream(_samples(spark, sf_dir), events, fx.EVENT_WINDOW).select("event_id", "timestamp"))
 
 
 def _sliding(spark, sf_dir):
@@ -74,8 +74,8 @@ QUERIES = [
           f"""WITH {SAMPLES} SELECT {uuid_sql('b', 'batch_id')} AS batch_id, {uuid_sql('u', 'user_id')} AS user_id, {uuid_sql('s', 'session_id')} AS session_id,
   quality_heart_rate, sequence, tm AS "timestamp", heart_rate_bpm, skin_temperature_celsius FROM samples WHERE CAST(session_id AS BIGINT) % 10 <> 0"""),
     Query("stream_dedup_events", _dedup, kinds(s="event_id"), f"WITH {SAMPLES}, {EVENTS} SELECT DISTINCT event_id FROM suspected"),
-    Query("stream_event_windows", _windows, kinds(s="event_id", i="pos", t="timestamp"),
-          f"WITH {SAMPLES}, {EVENTS}, d AS (SELECT DISTINCT event_id, session_id, device_id, user_id, detected_at FROM decisions) SELECT d.event_id, s.pos, s.tm AS \"timestamp\" FROM d JOIN samples s ON s.session_id = d.session_id AND s.device_id = d.device_id AND s.user_id = d.user_id AND s.tm BETWEEN d.detected_at - to_microseconds({SIZE_US}) AND d.detected_at"),
+    Query("stream_event_windows", _windows, kinds(s="event_id", t="timestamp"),
+          f"WITH {SAMPLES}, {EVENTS}, d AS (SELECT DISTINCT event_id, session_id, device_id, user_id, detected_at FROM decisions) SELECT d.event_id, s.tm AS \"timestamp\" FROM d JOIN samples s ON s.session_id = d.session_id AND s.device_id = d.device_id AND s.user_id = d.user_id AND s.tm BETWEEN d.detected_at - to_microseconds({SIZE_US}) AND d.detected_at"),
     Query("stream_sliding_features", _sliding, kinds(s="session_id", t="window_start window_end", i="n_samples", d=_SUMMED),
           f"WITH {SAMPLES}, {_ALIGNED}, w AS (SELECT * FROM placed WHERE window_end <= {_WATERMARK}), f AS "
           + "(SELECT session_id, window_start, window_end, count(*) AS n_samples, count(heart_rate_bpm) / count(*) AS hr_ratio, avg(heart_rate_bpm) AS hr_mean, CASE WHEN count(heart_rate_bpm) = 1 THEN 0 ELSE stddev_samp(heart_rate_bpm) END AS hr_std, min(heart_rate_bpm) AS hr_min, max(heart_rate_bpm) AS hr_max, "

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseframe import fixtures as fx
-from pulseframe.catalog.base import CLEANED, ORDER, SAMPLES, SLIDING, Query, features_sql, kinds
+from pulseframe.catalog.base import CLEANED, FAULTY, ORDER, SAMPLES, SLIDING, Query, features_sql, kinds
 from pulseframe.operators import clean as cl
 from pulseframe.operators import contracts, flatten, windows
 from pulseframe.params import CleanParams, FeatureToggles, RunParams, WindowParams
@@ -141,7 +141,15 @@ def _identity(spark, sf_dir):
 
 
 def _batch_sizes(spark, sf_dir):
-    return contracts.batch_problems(fx.batches(spark, sf_dir))
+    return contracts.batch_problems(fx.faulty_batches(spark, sf_dir))
+
+
+def _suspected_problems(spark, sf_dir):
+    n = F.col("event_id").cast("bigint")
+    rows = fx.suspected(spark, sf_dir).withColumns({
+        "sequence": F.when(n % 17 == 0, -1).otherwise(F.col("sequence")),
+        "features": F.when(n % 13 == 0, F.col("features").withField("valid_sample_ratio", F.lit(1.2))).otherwise(F.col("features"))})
+    return contracts.suspected_problems(rows)
 
 
 def _sanitized(spark, sf_dir):
@@ -170,7 +178,7 @@ QUERIES = [
     Query("unflatten_batches", lambda s, d: fx.batches(s, d).withColumn("n", F.size("samples")).withColumn(
               "first_hr", F.get("samples", F.lit(0))["heart_rate_bpm"]),
           kinds(s="batch_id device_id user_id session_id", i="sequence n", t="started_at ended_at", d="first_hr"),
-          f"WITH {SAMPLES} SELECT batch_id, device_id, user_id, session_id, sequence, count(*) AS n, min(tm) AS started_at, max(tm) AS ended_at, (list(heart_rate_bpm ORDER BY pos))[1] AS first_hr FROM samples GROUP BY batch_id, pos // 600, device_id, user_id, session_id, sequence"),
+          f"WITH {SAMPLES} SELECT batch_id, device_id, user_id, session_id, sequence, count(*) AS n, min(tm) AS started_at, max(tm) AS ended_at, (list(heart_rate_bpm ORDER BY pos))[1] AS first_hr FROM samples GROUP BY batch_id, device_id, user_id, session_id, sequence"),
     Query("ibi_summary", lambda s, d: ibi_summary(fx.samples(s, d)),
           kinds(s="batch_id user_id device_id session_id quality_heart_rate quality_ibi", i="sequence ibi_count", t="timestamp",
                 d="heart_rate_bpm ibi_mean_ms skin_temperature_celsius"),
@@ -192,15 +200,15 @@ QUERIES = [
   {uuid_sql('s', 'session_id')} AS session_id, quality_heart_rate, quality_ibi, sequence, tm AS "timestamp", heart_rate_bpm, skin_temperature_celsius
   FROM samples WHERE CAST(session_id AS BIGINT) % 10 <> 0"""),
     Query("batch_invariants", _batch_sizes, kinds(s="batch_id", i="n_samples", b="size_ok order_ok sequence_ok"),
-          f"WITH {SAMPLES} SELECT batch_id, count(*) AS n_samples, count(*) BETWEEN 1 AND 600 AS size_ok, true AS order_ok, min(sequence) >= 0 AS sequence_ok FROM samples GROUP BY batch_id, pos // 600"),
-    Query("suspected_invariants", lambda s, d: contracts.suspected_problems(fx.suspected(s, d)),
+          f"WITH {SAMPLES}, {FAULTY} SELECT batch_id, n AS n_samples, n BETWEEN 1 AND 600 AS size_ok, kind <> 2 AS order_ok, kind <> 3 OR sequence <= 0 AS sequence_ok FROM faulty"),
+    Query("suspected_invariants", _suspected_problems,
           kinds(s="event_id", b="score_ok ratio_ok sequence_ok"),
-          "WITH " + SAMPLES.split(",\nsamples AS")[0] + ", base AS (SELECT CAST(event_id AS VARCHAR) AS event_id, event_id AS n, k / 100.0 AS score FROM ev WHERE event_id % 7 = 0) "
-          "SELECT event_id, score BETWEEN 0 AND 1 AS score_ok, true AS ratio_ok, true AS sequence_ok FROM (SELECT * FROM base UNION ALL SELECT * FROM base WHERE n % 35 = 0 UNION ALL SELECT event_id, n, score + 0.5 FROM base WHERE n % 77 = 0) AS a"),
+          "WITH " + SAMPLES.split(",\nsamples AS")[0] + ", base AS (SELECT CAST(event_id AS VARCHAR) AS event_id, event_id AS n, k / 100.0 AS score FROM ev) "
+          "SELECT event_id, score BETWEEN 0 AND 1 AS score_ok, n % 13 <> 0 AS ratio_ok, n % 17 <> 0 AS sequence_ok FROM (SELECT * FROM base UNION ALL SELECT * FROM base WHERE n % 35 = 0 UNION ALL SELECT event_id, n, score + 0.5 FROM base WHERE n % 77 = 0) AS a"),
     Query("decision_invariants", lambda s, d: contracts.decision_problems(
               fx.decisions(s, d).withColumn("responded_at", F.when(F.col("event_id").cast("bigint") % 2 == 0, F.col("responded_at")).otherwise(F.timestamp_micros(F.unix_micros("detected_at") - 1)))),
           kinds(s="event_id", b="order_ok"),
-          "WITH base AS (SELECT event_id AS n FROM events WHERE event_id % 7 = 0 AND event_id % 49 <> 0) SELECT CAST(n AS VARCHAR) AS event_id, n % 2 = 0 AS order_ok FROM (SELECT n FROM base UNION ALL SELECT n FROM base WHERE n % 35 = 0 UNION ALL SELECT n FROM base WHERE n % 119 = 0) AS a"),
+          "WITH base AS (SELECT event_id AS n FROM events WHERE event_id % 49 <> 0) SELECT CAST(n AS VARCHAR) AS event_id, n % 2 = 0 AS order_ok FROM (SELECT n FROM base UNION ALL SELECT n FROM base WHERE n % 35 = 0 UNION ALL SELECT n FROM base WHERE n % 119 = 0) AS a"),
     Query("sanitize_and_truncate", _sanitized, kinds(s="session_id", i="pos n_ibi", d="heart_rate_bpm"),
           f"WITH {SAMPLES} SELECT session_id, pos, CASE WHEN heart_rate_bpm - 60 > 0 THEN heart_rate_bpm - 60 END AS heart_rate_bpm, len(ibi_ms[1:2]) AS n_ibi FROM samples"),
     Query("fill_hr_bounded", lambda s, d: cl.fill_hr(_gappy(s, d), _TIGHT), kinds(s="session_id", i="pos", d="heart_rate_bpm"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pulseframe.params import CleanParams, EventWindowParams, WindowParams
@@ -12,7 +12,6 @@ WINDOW = WindowParams(size_seconds=604_800, stride_seconds=302_400, min_samples=
 EVENT_WINDOW = EventWindowParams(size_seconds=604_800, min_samples=10, min_hr_ratio=0.3)
 CLEAN = CleanParams()
 
-_BLOCK = 6_000  # event ids per batch block: bounds the samples one batch can collect
 _FAR_SECONDS = 3650 * 86_400
 
 
@@ -33,8 +32,8 @@ def _device() -> Column:
 
 
 def _batch_id() -> Column:
-    return F.concat_ws("-", F.col("user_id").cast("string"), F.weekofyear("ts").cast("string"),
-                       F.floor(F.col("event_id") / _BLOCK).cast("bigint").cast("string"))
+    """One batch per session and week."""
+    return F.concat_ws("-", F.col("user_id").cast("string"), F.weekofyear("ts").cast("string"))
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,16 +43,27 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def samples(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
-    """Flat samples; three sessions share a user, the event id is the tie-break position."""
+    """Flat samples; three sessions share a user. ``pos`` is the place in the batch by (ts, event_id).
+
+    A stream cannot number rows of a batch that still arrives, so there the event id stands in as tie-break.
+    """
     kind, k = F.col("event_type"), _k()
     quality = (F.when(kind.isin("click", "purchase"), "good").when(kind == "view", "fair")
                .when(kind == "error", "poor").otherwise("unknown"))
     beats = F.array((600 + k).cast("double"), (620 + 2 * k).cast("double"), (25 * k).cast("double"))
     events = table(spark, sf_dir, "events") if events is None else events
+    session = F.col("user_id").cast("string")
+    if events.isStreaming:
+        pos = F.col("event_id")
+    else:
+        # Dealt by session once, so the operators that work per session need no exchange of their own.
+        events = events.withColumns({"session_id": session, "week": F.weekofyear("ts")}).repartition("session_id")
+        pos = (F.row_number().over(Window.partitionBy("session_id", "week").orderBy("ts", "event_id")) - 1).cast("bigint")
+        session = F.col("session_id")
     return events.select(
         _batch_id().alias("batch_id"),
-        _user().alias("user_id"), _device().alias("device_id"), F.col("user_id").cast("string").alias("session_id"),
-        F.weekofyear("ts").cast("bigint").alias("sequence"), F.col("event_id").alias("pos"),
+        _user().alias("user_id"), _device().alias("device_id"), session.alias("session_id"),
+        F.weekofyear("ts").cast("bigint").alias("sequence"), pos.alias("pos"),
         F.col("ts").cast("timestamp").alias("timestamp"),
         F.when(kind != "error", 40 + F.col("value")).alias("heart_rate_bpm"),
         F.when(kind.isin("view", "click"), beats).otherwise(F.array().cast("array<double>")).alias("ibi_ms"),
@@ -76,11 +86,9 @@ def _base_events(spark: SparkSession, sf_dir: str, events: DataFrame | None = No
     events = table(spark, sf_dir, "events") if events is None else events
     far = F.when(F.col("event_id") % 105 == 0, F.lit(_FAR_SECONDS)).otherwise(F.lit(0)).cast("bigint")
     at = F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + far * 1_000_000)
-    return (events.filter(F.col("event_id") % 7 == 0)
-            .select(F.col("event_id").alias("n"), F.col("event_id").cast("string").alias("event_id"),
-                    _device().alias("device_id"), _user().alias("user_id"),
-                    F.col("user_id").cast("string").alias("session_id"),
-                    F.weekofyear("ts").cast("bigint").alias("sequence"), at.alias("at"), _k().alias("k")))
+    return events.select(
+        F.col("event_id").alias("n"), F.col("event_id").cast("string").alias("event_id"), _device().alias("device_id"), _user().alias("user_id"),
+        F.col("user_id").cast("string").alias("session_id"), F.weekofyear("ts").cast("bigint").alias("sequence"), at.alias("at"), _k().alias("k"))
 
 
 def _later(column: str, seconds: int) -> Column:
@@ -139,6 +147,16 @@ def batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unflatten(samples(spark, sf_dir))
 
 
+def faulty_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents with faults by session and week: empty, over 600 samples, ended before started, negative sequence."""
+    kind = (F.col("session_id").cast("bigint") + 7 * F.col("sequence")) % 11
+    longer = F.flatten(F.array_repeat("samples", F.ceil(F.lit(601) / F.size("samples")).cast("int")))
+    samples = F.when(kind == 0, F.slice("samples", 1, 0)).when(kind == 1, longer).otherwise(F.col("samples"))
+    return batches(spark, sf_dir).withColumns({
+        "ended_at": F.when(kind == 2, _later("started_at", -1)).otherwise(F.col("ended_at")), "samples": samples,
+        "sequence": F.when(kind == 3, -F.col("sequence")).otherwise(F.col("sequence"))})
+
+
 def scored_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled rows with a stated score, for the metric queries: ties occur and both classes exist."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
@@ -149,10 +167,10 @@ def scored_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scoring requests: one per batch block with its samples, anchored four days after its first sample."""
+    """Scoring requests: one per batch with its samples, anchored four days after its first sample."""
     from pulseframe.operators.flatten import unflatten
 
-    docs = unflatten(samples(spark, sf_dir), _BLOCK)
+    docs = unflatten(samples(spark, sf_dir))
     return docs.select(F.col("batch_id").alias("event_id"), "device_id", "user_id", "session_id",
                        _later("started_at", 4 * 86_400).alias("detected_at"), "samples")
 

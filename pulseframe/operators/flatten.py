@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseframe.schemas import MAX_SAMPLES, SAMPLES
+from pulseframe.schemas import SAMPLES
 
 
 def _sample_columns(s: str) -> list[Column]:
@@ -38,13 +38,11 @@ def flatten_samples(requests: DataFrame, carry: Sequence[str] = ()) -> DataFrame
         F.lit(0).cast("bigint").alias("sequence"), F.col("pos").cast("bigint").alias("pos"), *_sample_columns("s"))
 
 
-def unflatten(samples: DataFrame, max_samples: int = MAX_SAMPLES) -> DataFrame:
-    """Nested batch documents from flat samples, in document order.
+def unflatten(samples: DataFrame) -> DataFrame:
+    """Nested batch documents from flat samples, one per batch id, in document order.
 
-    A batch id with more rows than a document may hold becomes several documents, split by position, so one
-    document never collects more than ``max_samples`` consecutive positions.
+    A batch is bounded by what one device sends at once; one over the contract's limit stays whole, so that the checks see it.
     """
-    part = F.floor(F.col("pos") / F.lit(max_samples))
     nested = F.struct(
         F.col("pos"),
         F.col("timestamp"), F.col("heart_rate_bpm"), F.col("ibi_ms"),
@@ -52,7 +50,7 @@ def unflatten(samples: DataFrame, max_samples: int = MAX_SAMPLES) -> DataFrame:
         F.col("skin_temperature_celsius"), F.lit(None).cast("double").alias("ambient_temperature_celsius"),
         F.struct(F.col("quality_heart_rate").alias("heart_rate"), F.col("quality_ibi").alias("ibi"),
                  F.col("quality_wearing_state").alias("wearing_state")).alias("quality"))
-    grouped = samples.withColumn("__part", part).groupBy("batch_id", "__part").agg(
+    grouped = samples.groupBy("batch_id").agg(
         F.min("user_id").alias("user_id"), F.min("device_id").alias("device_id"),
         F.min("session_id").alias("session_id"), F.min("sequence").alias("sequence"),
         F.min("timestamp").alias("started_at"), F.max("timestamp").alias("ended_at"),
