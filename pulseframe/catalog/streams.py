@@ -12,6 +12,9 @@ from pulseframe.params import FeatureToggles, RunParams
 from pulseframe.streaming import streams as st
 
 _DELAY = "10 minutes"
+# Events shifted by ten years are set aside; the table itself ends before this day.
+_NOW = "2025-01-01"
+_PLAUSIBLE = "<= TIMESTAMP '2025-01-02'"
 _EVENT = ["event_id", "session_id", "device_id", "user_id", "detected_at"]
 _SUMMED = "hr_mean hr_std hr_min hr_max hr_slope_bpm_per_min ibi_available ibi_coverage_ratio skin_temp_mean quality_good_ratio quality_fair_ratio quality_poor_ratio valid_sample_ratio window_duration_seconds sample_count"
 
@@ -39,11 +42,11 @@ def _documents(spark, sf_dir):
 
 
 def _dedup(spark, sf_dir):
-    return _finish(spark, st.dedup_events_stream(fx.suspected(spark, sf_dir, _events(spark, sf_dir))).select("event_id"))
+    return _finish(spark, st.dedup_events_stream(fx.suspected(spark, sf_dir, _events(spark, sf_dir)), now=F.lit(_NOW).cast("timestamp")).select("event_id"))
 
 
 def _windows(spark, sf_dir):
-    events = st.dedup_events_stream(fx.decisions(spark, sf_dir, _events(spark, sf_dir)).select(*_EVENT))
+    events = st.dedup_events_stream(fx.decisions(spark, sf_dir, _events(spark, sf_dir)).select(*_EVENT), now=F.lit(_NOW).cast("timestamp"))
     return _finish(spark, st.event_windows_stream(_samples(spark, sf_dir), events, fx.EVENT_WINDOW).select("event_id", "timestamp"))
 
 
@@ -52,9 +55,9 @@ def _sliding(spark, sf_dir):
 
 
 def _linked(spark, sf_dir):
-    sus = st.dedup_events_stream(fx.suspected(spark, sf_dir, _events(spark, sf_dir)).select(*_EVENT))
+    sus = st.dedup_events_stream(fx.suspected(spark, sf_dir, _events(spark, sf_dir)).select(*_EVENT), now=F.lit(_NOW).cast("timestamp"))
     dec = fx.decisions(spark, sf_dir, _events(spark, sf_dir)).select("event_id", "responded_at", "response")
-    dec = st.dedup_events_stream(dec, time="responded_at")
+    dec = st.dedup_events_stream(dec, time="responded_at", now=F.lit(_NOW).cast("timestamp"))
     return _finish(spark, st.link_decisions_stream(sus, dec, 300).select("event_id", F.col("response").isNotNull().alias("answered")))
 
 
@@ -73,9 +76,9 @@ QUERIES = [
           kinds(s="batch_id user_id session_id quality_heart_rate", i="sequence", t="timestamp", d="heart_rate_bpm skin_temperature_celsius"),
           f"""WITH {SAMPLES} SELECT {uuid_sql('b', 'batch_id')} AS batch_id, {uuid_sql('u', 'user_id')} AS user_id, {uuid_sql('s', 'session_id')} AS session_id,
   quality_heart_rate, sequence, tm AS "timestamp", heart_rate_bpm, skin_temperature_celsius FROM samples WHERE CAST(session_id AS BIGINT) % 10 <> 0"""),
-    Query("stream_dedup_events", _dedup, kinds(s="event_id"), f"WITH {SAMPLES}, {EVENTS} SELECT DISTINCT event_id FROM suspected"),
+    Query("stream_dedup_events", _dedup, kinds(s="event_id"), f"WITH {SAMPLES}, {EVENTS} SELECT DISTINCT event_id FROM suspected WHERE detected_at {_PLAUSIBLE}"),
     Query("stream_event_windows", _windows, kinds(s="event_id", t="timestamp"),
-          f"WITH {SAMPLES}, {EVENTS}, d AS (SELECT DISTINCT event_id, session_id, device_id, user_id, detected_at FROM decisions) SELECT d.event_id, s.tm AS \"timestamp\" FROM d JOIN samples s ON s.session_id = d.session_id AND s.device_id = d.device_id AND s.user_id = d.user_id AND s.tm BETWEEN d.detected_at - to_microseconds({SIZE_US}) AND d.detected_at"),
+          f"WITH {SAMPLES}, {EVENTS}, d AS (SELECT DISTINCT event_id, session_id, device_id, user_id, detected_at FROM decisions WHERE detected_at {_PLAUSIBLE}) SELECT d.event_id, s.tm AS \"timestamp\" FROM d JOIN samples s ON s.session_id = d.session_id AND s.device_id = d.device_id AND s.user_id = d.user_id AND s.tm BETWEEN d.detected_at - to_microseconds({SIZE_US}) AND d.detected_at"),
     Query("stream_sliding_features", _sliding, kinds(s="session_id", t="window_start window_end", i="n_samples", d=_SUMMED),
           f"WITH {SAMPLES}, {_ALIGNED}, w AS (SELECT * FROM placed WHERE window_end <= {_WATERMARK}), f AS "
           + "(SELECT session_id, window_start, window_end, count(*) AS n_samples, count(heart_rate_bpm) / count(*) AS hr_ratio, avg(heart_rate_bpm) AS hr_mean, CASE WHEN count(heart_rate_bpm) = 1 THEN 0 ELSE stddev_samp(heart_rate_bpm) END AS hr_std, min(heart_rate_bpm) AS hr_min, max(heart_rate_bpm) AS hr_max, "
@@ -83,8 +86,8 @@ QUERIES = [
           "avg(CASE WHEN quality_heart_rate = 'good' THEN 1.0 ELSE 0.0 END) AS quality_good_ratio, avg(CASE WHEN quality_heart_rate = 'fair' THEN 1.0 ELSE 0.0 END) AS quality_fair_ratio, avg(CASE WHEN quality_heart_rate = 'poor' THEN 1.0 ELSE 0.0 END) AS quality_poor_ratio, avg(CASE WHEN heart_rate_bpm IS NOT NULL AND quality_heart_rate <> 'poor' THEN 1.0 ELSE 0.0 END) AS valid_sample_ratio, "
           "(epoch_us(max(tm)) - epoch_us(min(tm))) / 1e6 AS window_duration_seconds, count(*) AS sample_count FROM w GROUP BY session_id, window_start, window_end) SELECT * FROM f WHERE n_samples >= 10 AND hr_ratio >= 0.3"),
     Query("stream_link_decisions", _linked, kinds(s="event_id", b="answered"),
-          f"WITH {SAMPLES}, {EVENTS}, s AS (SELECT event_id, min(detected_at) AS t FROM suspected GROUP BY event_id), d AS (SELECT DISTINCT event_id FROM decisions), "
-          "wm AS (SELECT least((SELECT max(detected_at) FROM suspected), (SELECT max(responded_at) FROM decisions)) - INTERVAL 10 MINUTE AS wm) "
+          f"WITH {SAMPLES}, {EVENTS}, s AS (SELECT event_id, min(detected_at) AS t FROM suspected WHERE detected_at {_PLAUSIBLE} GROUP BY event_id), d AS (SELECT DISTINCT event_id FROM decisions WHERE responded_at {_PLAUSIBLE}), "
+          f"wm AS (SELECT least((SELECT max(detected_at) FROM suspected WHERE detected_at {_PLAUSIBLE}), (SELECT max(responded_at) FROM decisions WHERE responded_at {_PLAUSIBLE})) - INTERVAL 10 MINUTE AS wm) "
           "SELECT s.event_id, d.event_id IS NOT NULL AS answered FROM s LEFT JOIN d ON d.event_id = s.event_id, wm WHERE d.event_id IS NOT NULL OR s.t + INTERVAL 300 SECOND < wm"),
     Query("score_stream", _scored, kinds(s="session_id model_version", t="window_start", i="prediction", d="probability")),
 ]

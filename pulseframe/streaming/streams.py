@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -30,9 +30,21 @@ def stream_samples(spark: SparkSession, path: str, delay: str = "10 minutes", un
     return flatten_batches(valid).withWatermark("timestamp", delay)
 
 
-def dedup_events_stream(events: DataFrame, delay: str = "10 minutes", time: str = "detected_at") -> DataFrame:
-    """Each event id once within the watermark horizon."""
-    return events.withWatermark(time, delay).dropDuplicatesWithinWatermark(["event_id"])
+def split_future(events: DataFrame, time: str = "detected_at", tolerance: str = "1 day", now: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(plausible rows, rows from the future), to be used before a watermark is set.
+
+    One row of a watch whose clock runs ahead would move the watermark past everything that follows. Rows later than
+    ``now`` (the time of the micro-batch unless given) by more than ``tolerance`` are set aside for a sink of their own.
+    """
+    late = F.coalesce(F.col(time) > (F.current_timestamp() if now is None else now) + F.expr(f"INTERVAL {tolerance}"), F.lit(False))
+    return events.filter(~late), events.filter(late)
+
+
+def dedup_events_stream(events: DataFrame, delay: str = "10 minutes", time: str = "detected_at", tolerance: str = "1 day",
+                        now: Column | None = None) -> DataFrame:
+    """Each event id once within the watermark horizon; rows from the future are left out (see :func:`split_future`)."""
+    plausible, _ = split_future(events, time, tolerance, now)
+    return plausible.withWatermark(time, delay).dropDuplicatesWithinWatermark(["event_id"])
 
 
 def event_windows_stream(samples: DataFrame, events: DataFrame, params: EventWindowParams = EventWindowParams(),
@@ -99,6 +111,11 @@ def link_decisions_stream(events: DataFrame, decisions: DataFrame, horizon_secon
     return events.join(d, (F.col("event_id") == F.col("d_event")) & within, "left_outer").drop("d_event")
 
 
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that a finished query dropped because they came behind the watermark; zero means that nothing is missing."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for progress in query.recentProgress for op in progress["stateOperators"])
+
+
 def run_available(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
     """Process everything that has arrived, into parquet files, and stop."""
     query = (stream.writeStream.format("parquet").outputMode(mode).option("path", path)

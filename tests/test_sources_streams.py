@@ -106,3 +106,34 @@ def test_run_batches_hands_over_each_batch(spark, tmp_path):
 def test_ibi_summary_of_nothing_is_null(spark):
     rows = tables.ibi_summary(samples(spark, sample_rows(2, ibi=lambda i: [] if i else [800.0, 900.0]))).orderBy("timestamp").collect()
     assert [(r.ibi_count, r.ibi_mean_ms) for r in rows] == [(2, 850.0), (0, None)]
+
+
+def _distinct_events(spark, tmp_path, name, files, shifted):
+    """Ids of the deduplicated stream over ``files`` files in time order, and how many rows came behind the watermark."""
+    from pyspark.sql import functions as F
+
+    folder, start = f"{tmp_path}/{name}", 1_700_000_000
+    rows = [(str(i), start + 3600 * i + (10 * 365 * 86_400 if shifted and i % 9 == 4 else 0)) for i in range(40)]
+    rows = [r for r in rows for _ in range(2)]
+    for part in range(files):
+        own = rows[part * len(rows) // files : (part + 1) * len(rows) // files]
+        spark.createDataFrame(own, "event_id string, s long").select(
+            "event_id", F.timestamp_seconds("s").alias("detected_at")).coalesce(1).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema("event_id string, detected_at timestamp").option("maxFilesPerTrigger", 1).parquet(folder)
+    now = F.timestamp_seconds(F.lit(start + 3600 * 40))
+    query = st.run_available(st.dedup_events_stream(stream, now=now), f"{folder}-out", f"{folder}-progress")
+    ids = sorted(int(r["event_id"]) for r in spark.read.parquet(f"{folder}-out").collect())
+    _, late = st.split_future(spark.read.parquet(folder), now=now)
+    return ids, st.dropped_rows(query), late.count()
+
+
+def test_one_and_many_triggers_give_the_same_events(spark, tmp_path):
+    once = _distinct_events(spark, tmp_path, "once", 1, False)
+    assert once == (list(range(40)), 0, 0)
+    assert _distinct_events(spark, tmp_path, "many", 8, False) == once
+
+
+def test_rows_from_the_future_do_not_empty_a_stream(spark, tmp_path):
+    shifted = [i for i in range(40) if i % 9 == 4]
+    ids, dropped, late = _distinct_events(spark, tmp_path, "future", 8, True)
+    assert ids == [i for i in range(40) if i not in shifted] and dropped == 0 and late == 2 * len(shifted)
