@@ -28,9 +28,11 @@ def broadcast_if_small(df: DataFrame, rows: int, scale: ScaleParams = ScaleParam
     return F.broadcast(df) if rows <= scale.broadcast_rows else df
 
 
-def same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    """Null-safe equality on the named columns."""
-    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names], F.lit(True))
+def join_same(left: DataFrame, right: DataFrame, names: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on the named columns, with NULL equal to NULL; the columns of ``right`` besides them are added."""
+    other = right.withColumnsRenamed({n: f"__same_{n}" for n in names})
+    on = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"__same_{n}")) for n in names])
+    return left.join(other, on, how).drop(*[f"__same_{n}" for n in names])
 
 
 @dataclass(frozen=True)
@@ -59,7 +61,7 @@ def hot_keys(df: DataFrame, key: Sequence[str], scale: ScaleParams = ScaleParams
 def split_hot(df: DataFrame, key: Sequence[str], hot: HotKeys, scale: ScaleParams) -> tuple[DataFrame, DataFrame]:
     """(rows of ordinary keys, rows of hot keys)."""
     side = broadcast_if_small(hot.frame, hot.keys, scale)
-    return df.join(side, list(key), "left_anti"), df.join(side, list(key), "left_semi")
+    return join_same(df, side, key, "left_anti"), join_same(df, side, key, "left_semi")
 
 
 def number_rows(df: DataFrame, key: Sequence[str], order: Sequence[str], partitions: int,
@@ -81,7 +83,7 @@ def number_rows(df: DataFrame, key: Sequence[str], order: Sequence[str], partiti
     before = Window.partitionBy(*key).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("__skip", F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")).drop("__first", "__n")
     side = broadcast_if_small(parts, groups + partitions, scale)
-    return (laid.join(side, [*key, "__pid"])
+    return (join_same(laid, side, [*key, "__pid"])
             .withColumn("__rn", F.col("__idx") + F.col("__skip")).drop("__pid", "__idx", "__skip"))
 
 
@@ -150,7 +152,7 @@ def ordered(
         ends = ends.select(*key, "__chunk", *[
             F.last(f"__end_{name}", ignorenulls=True).over(earlier).alias(f"__from_{name}") for name in carried])
         side = broadcast_if_small(ends, hot.keys + hot.rows // length, scale)
-        pieces = pieces.join(side, [*key, "__chunk"])
+        pieces = join_same(pieces, side, [*key, "__chunk"])
         pieces = pieces.withColumns({name: F.coalesce(F.col(f"__in_{name}"), F.col(f"__from_{name}")) for name in carried})
     return cold.unionByName(pieces.select(*cold.columns))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulseframe.functions.columns import micros
-from pulseframe.functions.scale import HotKeys, broadcast_if_small, hot_keys, split_hot
+from pulseframe.functions.scale import HotKeys, broadcast_if_small, hot_keys, join_same, split_hot
 from pulseframe.params import EventWindowParams, ScaleParams, WindowParams
 from pulseframe.schemas import SAMPLE_ORDER
 
@@ -44,7 +44,7 @@ def session_bounds(df: DataFrame, scale: ScaleParams = ScaleParams(),
         F.min("timestamp").alias("session_start"), F.max("timestamp").alias("session_end"),
         F.count(F.lit(1)).alias("session_rows"),
         F.min_by("user_id", order).alias("session_user_id"), F.min_by("device_id", order).alias("session_device_id"))
-    rest = rest.join(broadcast_if_small(bounds, hot.keys, scale), "session_id")
+    rest = join_same(rest, broadcast_if_small(bounds, hot.keys, scale), ["session_id"])
     cold = with_windows(cold)
     return cold.unionByName(rest.select(*cold.columns))
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulseframe import fixtures as fx
-from pulseframe.functions.scale import distribution, hot_keys, number_rows, ordered, running_totals
+from pulseframe.functions.scale import distribution, hot_keys, number_rows, ordered, running_totals, split_hot
 from pulseframe.operators import clean as cl
 from pulseframe.operators import validate, windows
 from pulseframe.params import CleanParams, FeatureToggles, RunParams, ScaleParams
@@ -121,3 +121,18 @@ def test_ground_truth_is_the_same_when_split(spark, sf):
     b = build_ground_truth(*args, materialize=True)
     same(a.exclusions, b.exclusions, "doc_id", "kind", "reason")
     same(a.dataset.select("event_id", *b.features), b.dataset.select("event_id", *b.features), "event_id")
+
+
+def test_a_null_key_can_be_hot(spark):
+    """Half of the rows have no session: they are split like any other hot key and get the same values."""
+    df = spark.range(400).select(F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.col("id") % 10).cast("string").alias("k"),
+                                 F.col("id").alias("t"), F.when(F.col("id") % 3 == 0, F.col("id")).alias("v"))
+    hot = hot_keys(df, ["k"], TINY)
+    cold_rows, hot_rows = split_hot(df, ["k"], hot, TINY)
+    assert hot_rows.filter("k IS NULL").count() == 200 and cold_rows.filter("k IS NULL").count() == 0
+    assert number_rows(hot_rows, ["k"], ["t"], 5, hot.keys, TINY).filter("k IS NULL").agg(F.max("__rn")).first()[0] == 199
+
+    def lagged(scale):
+        return ordered(df, ["k"], ["t"], lambda d, w: d.withColumn("p", F.lag("t").over(w)), before=1, carried={"last": (F.col("v"), True)}, scale=scale)
+
+    same(lagged(TINY), lagged(WIDE), "t")
