@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseframe.llm import bpe, decontaminate, line_dedup, ngram_join, toxicity
-from pulseframe.llm.common import table
+from pulseframe.llm.common import small_batches, table
 
 VOCABULARY = "word_bpe_49k.json"
 
@@ -20,12 +20,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remove later occurrences of three-line windows; n_chars follows the text that stays."""
+    small_batches(spark)
     out = line_dedup.remove_repeated_windows(docs)
     return out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest doc_id of each component of near duplicates (five words, similarity 0.8)."""
+    small_batches(spark)
     groups = ngram_join.jaccard_components(docs, ngram_join.JoinParams(n=5, percent=80))
     rest = groups.filter("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(rest, "doc_id", "left_anti").select(*docs.columns)
@@ -38,5 +40,6 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with digests of the ids and of the decoded text."""
+    small_batches(spark)
     out = bpe.encode_decode(docs.select("doc_id", "text"), public_tokenizers.path(VOCABULARY))
     return out.select("doc_id", "n_tokens", "ids", F.sha2("ids_text", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

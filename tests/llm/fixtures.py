@@ -6,7 +6,7 @@ import random
 import re
 
 WORDS = "amber brook cedar delta ember frost grove haven inlet jetty knoll ledge marsh north ocean plain quiet ridge stone trail".split()
-EXTRA = {"__id": "a", "score": "b", "rule": "c", "n": "d", "ids": "e", "host": "f", "n_lines": "g", "component": "h"}
+EXTRA = {"__id": "a", "score": "b", "rule": "c", "n": "d", "ids": "e", "host": "f", "component": "h"}
 ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
