@@ -23,12 +23,13 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_REMEMBERED, _LONGEST_REMEMBERED = 250_000, 64
-_SLICE_CHARS = 6_000_000
+_REMEMBERED, _LONGEST_REMEMBERED = 120_000, 64
+_SLICE_CHARS = 2_500_000
 _ID_BITS = 20
 
 
@@ -222,7 +223,7 @@ class PairIndexBpe:
 
     def encode(self, texts: Sequence[str | None]) -> Iterator[tuple[int, str, str]]:
         """(number of ids, ids joined by spaces, decoded text) of each text."""
-        for first, size in text_runs(texts):
+        for first, size in runs([len(t) if isinstance(t, str) else 0 for t in texts]):
             run = [t if isinstance(t, str) else "" for t in texts[first : first + size]]
             split = [self.chunks(t) for t in run]
             seen = set().union(*split)
@@ -239,17 +240,16 @@ class PairIndexBpe:
                 yield ids.count(" ") + 1 if ids else 0, ids, " ".join([x[1] for x in found])
 
 
-def text_runs(texts: Sequence[str | None]) -> Iterator[tuple[int, int]]:
-    """(first, count) of runs of about _SLICE_CHARS characters, or of one longer text."""
-    first, size = 0, 0
-    for i, text in enumerate(texts):
-        length = len(text) if isinstance(text, str) else 0
-        if i > first and size + length > _SLICE_CHARS:
+def runs(sizes: Sequence[int]) -> Iterator[tuple[int, int]]:
+    """(first, count) of neighbours that sum to about _SLICE_CHARS, or of one that is larger."""
+    first, total = 0, 0
+    for i, size in enumerate(sizes):
+        if i > first and total + size > _SLICE_CHARS:
             yield first, i - first
-            first, size = i, 0
-        size += length
-    if len(texts) > first:
-        yield first, len(texts) - first
+            first, total = i, 0
+        total += size
+    if len(sizes) > first:
+        yield first, len(sizes) - first
 
 
 _loaded: dict[str, PairIndexBpe] = {}
@@ -271,10 +271,10 @@ def encode_decode(df: DataFrame, vocabulary: str, text: str = "text") -> DataFra
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(vocabulary)
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            for first, size in text_runs(texts):
-                n, ids, decoded = zip(*bpe.encode(texts[first : first + size]))
+            sizes = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_pylist()
+            for first, size in runs(sizes):
                 part = batch.slice(first, size)
+                n, ids, decoded = zip(*bpe.encode(part.column(part.num_columns - 1).to_pylist()))
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:-1], pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
                     names=[*part.schema.names[:-1], *new.names])
