@@ -203,7 +203,7 @@ def test_saved_model(spark, ds, result, tmp_path):
 
 
 def requests(spark, rows, at):
-    docs = unflatten(samples(spark, rows), 10_000)
+    docs = unflatten(samples(spark, rows))
     return docs.select(F.lit("e").alias("event_id"), "device_id", "user_id", "session_id", F.lit(at).alias("detected_at"), "samples")
 
 
