@@ -9,11 +9,16 @@ documents link when 100 * |both| >= percent * |either|.
    their number of documents over the whole corpus; the others follow by hash. The order is the same for every document, so
    two linked documents share a shingle in their prefixes of |set| - ceil(percent |set| / 100) + 1. Passages that many documents
    share are frequent and leave the prefixes; shingles of one document alone make no candidates and are never looked up.
-3. Documents with equal prefix and size collapse into one group; group pairs that share a prefix shingle are filtered by size
-   and expanded to members, which are verified on their whole sets.
-4. A prefix shingle shared by many groups is not expanded into all pairs: each group is first verified against one pivot of the
-   list, and only members of different components are paired afterwards, so large groups of near copies cost a star, not a
-   clique. Pairs left out are in one component already, so components are exact.
+3. Documents with equal prefix and size collapse into one group. The groups that share a prefix shingle and a size class (each
+   group also counts for the next class, so that all sizes within the bound meet) form a list. Lists of a few members are paired
+   directly and their members verified on whole sets.
+4. In a longer list every member is verified against one pivot p only, which also gives its new shingles (not in p) and the number
+   of missing ones (only in p). New shingles that more than half of a pivot's members have are what p itself lacks of their common
+   text, so they are counted to the pivot. Two members of which one does not link to p can then link only if they share one of
+   their first new shingles (a prefix of what their overlap outside the pivot needs) or if new_x + new_y + |missing_x - missing_y|
+   is within the allowed difference; only those pairs, in different components, are verified, after one more star around the
+   member nearest to the common text. So a large group of near
+   copies, or many documents around one passage, costs a star and not a clique, and the components are exact.
 
 Null and empty texts have an empty set. Rows with a null doc_id are returned with a null component. Rows that repeat a doc_id are one
 node: each of their sets is joined under that id. An empty table gives no rows. Other columns are not used.
@@ -21,6 +26,7 @@ node: each of their sets is joined under that id. An empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,7 +44,7 @@ class JoinParams:
     n: int = 5
     percent: int = 80
     sampled_in: int = 4
-    pivot_rounds: int = 2
+    direct: int = 8  # members up to which a list is paired directly
 
 
 def _prefix_length(size: np.ndarray | int, percent: int) -> np.ndarray | int:
@@ -92,31 +98,33 @@ def prefixes(sets: DataFrame, classes: DataFrame, params: JoinParams) -> DataFra
     return out.select("id", "n", "prefix", F.xxhash64("n", "prefix", "own").alias("gkey_a"), F.xxhash64("own", "prefix", "n", F.lit(1)).alias("gkey_b"))
 
 
-def verified(pairs: DataFrame, texts: DataFrame, params: JoinParams) -> DataFrame:
-    """The pairs (a, b) that link, from their whole texts."""
-    @F.pandas_udf("boolean")
-    def linked(left: pd.Series, right: pd.Series) -> pd.Series:
+def compared(pairs: DataFrame, texts: DataFrame, params: JoinParams) -> DataFrame:
+    """a, b, linked, and of a against b: size, number of new and of missing shingles, and the new ones, from whole texts."""
+    @F.pandas_udf("linked boolean, n int, new int, missing int, head array<long>")
+    def judged(left: pd.Series, right: pd.Series) -> pd.DataFrame:
         known: dict[str, np.ndarray] = {}
 
         def sets_of(column: pd.Series) -> list[np.ndarray]:
-            new = list({t for t in column if t not in known})
-            for first, run in kernel.slices(new):
+            fresh = list({t for t in column if t not in known})
+            for first, run in kernel.slices(fresh):
                 hashes, at = kernel.words(run)
                 for i in range(len(run)):
-                    known[new[first + i]] = kernel.shingles(hashes[at[i] : at[i + 1]], params.n)
+                    known[fresh[first + i]] = kernel.shingles(hashes[at[i] : at[i + 1]], params.n)
             return [known[t] for t in column]
 
         out = []
         for start in range(0, len(left), 512):
             known.clear()
             for x, y in zip(sets_of(left.iloc[start : start + 512]), sets_of(right.iloc[start : start + 512])):
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                out.append(100 * both >= params.percent * (len(x) + len(y) - both))
-        return pd.Series(out)
+                new = np.setdiff1d(x, y, assume_unique=True)
+                both = len(x) - len(new)
+                out.append((100 * both >= params.percent * (len(x) + len(y) - both), len(x), len(new), len(y) - both, new.astype(np.int64)))
+        return pd.DataFrame(out, columns=["linked", "n", "new", "missing", "head"])
 
     a = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.select("a", "b").join(a, "a").join(b, "b").filter(linked("text_a", "text_b")).select("a", "b")
+    found = pairs.join(a, "a").join(b, "b").withColumn("j", judged("text_a", "text_b"))
+    return found.select(*pairs.columns, "j.*")
 
 
 def jaccard_components(docs: DataFrame, params: JoinParams = JoinParams(), id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -125,47 +133,101 @@ def jaccard_components(docs: DataFrame, params: JoinParams = JoinParams(), id_co
     some = sets.filter("n > 0 AND id IS NOT NULL")
     classes = stored(some.groupBy("n", "n_low", "sig_a", "sig_b").agg(F.min("id").alias("rep")), "ngram-classes")
     heads = stored(prefixes(sets, classes, params), "ngram-prefixes")
-    groups = heads.groupBy("gkey_a", "gkey_b").agg(F.min("id").alias("gid"))
-    members = stored(heads.join(groups, ["gkey_a", "gkey_b"]).select("id", "n", "gid", "prefix"), "ngram-members")
-    lists = stored(members.filter("id = gid").select("gid", "n", F.explode("prefix").alias("token")), "ngram-lists")
+    groups = heads.groupBy("gkey_a", "gkey_b").agg(F.min("id").alias("gid"), F.count(F.lit(1)).alias("members"))
+    members = stored(heads.join(groups, ["gkey_a", "gkey_b"]).select("id", "n", "gid", "members", "prefix"), "ngram-members")
 
     def fits(x: str, y: str) -> Column:
         return 100 * F.least(x, y) >= params.percent * F.greatest(x, y)
 
-    def pivots(lists: DataFrame, seed: int) -> DataFrame:
-        """Each group of a list with one group of it, chosen by a hash."""
-        chosen = lists.groupBy("token").agg(
-            F.min_by(F.struct("gid", "n"), F.xxhash64("gid", F.lit(seed))).alias("p"), F.count(F.lit(1)).alias("k")).filter("k > 1")
-        return (lists.join(chosen, "token").filter((F.col("gid") != F.col("p.gid")) & fits("n", "p.n"))
-                .select(F.greatest("gid", "p.gid").alias("a"), F.least("gid", "p.gid").alias("b")).distinct())
-
-    # Texts of documents that some other document's prefix leads to, or that share a group.
-    busy = lists.groupBy("token").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
-    near = (lists.join(busy, "token", "left_semi").select("gid")
-            .unionByName(members.filter("id <> gid").select("gid"))).distinct()
-    wanted = members.join(near, "gid", "left_semi").select("id")
+    # Sizes within the bound are at most one class apart.
+    size_class = F.floor(F.log("n") / F.lit(-math.log(params.percent / 100) * (1 + 1e-9)))
+    entries = members.filter("id = gid").select("gid", "n", "members", F.explode("prefix").alias("token"), size_class.alias("home"))
+    entries = entries.withColumn("slot", F.explode(F.array("home", F.col("home") + 1)))
+    at_home = F.col("home") == F.col("slot")
+    lists = entries.groupBy("token", "slot").agg(
+        F.sum("members").alias("size"), F.min_by("gid", F.when(at_home, F.xxhash64("gid"))).alias("pivot")).filter("size > 1 AND pivot IS NOT NULL")
+    placed = stored(entries.select("token", "slot", "gid", "n").join(lists, ["token", "slot"]), "ngram-lists")
+
+    own = members.select("id", "gid", "n")
+    short = placed.filter(F.col("size") <= params.direct).select("token", "slot", "gid").join(own, "gid")
+    x, y = short.alias("x"), short.alias("y")
+    direct = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.slot") == F.col("y.slot")) & (F.col("x.id") > F.col("y.id")) & fits("x.n", "y.n"))
+    direct = direct.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    stars = placed.filter(F.col("size") > params.direct).select("gid", "pivot").distinct().join(own.select("id", "gid"), "gid")
+    stars = stars.filter("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
+    pairs = stored(stars.withColumn("star", F.lit(True)).unionByName(direct.distinct().withColumn("star", F.lit(False))), "ngram-pairs")
+
+    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     texts = stored(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).join(wanted, "id", "left_semi"), "ngram-texts")
-
-    pairs = members.filter("id <> gid").select(F.col("id").alias("a"), F.col("gid").alias("b"))
-    for seed in range(params.pivot_rounds):
-        pairs = pairs.unionByName(pivots(lists, seed))
-    links = stored(verified(pairs.distinct(), texts, params), "ngram-links")
+    seen = compared(pairs, texts, params)
+    seen = stored(seen.withColumn("head", F.when(F.col("star"), F.col("head"))), "ngram-compared")
+    links = seen.filter("linked").select("a", "b")
     found = components(links)
 
-    # What is left: members of one list in different components.
-    every = members.select("id", "n", "gid").join(found.select(F.col("node").alias("id"), "component"), "id", "left").select(
-        "id", "n", "gid", F.coalesce("component", "id").alias("component"))
-    spread = lists.select("gid", "token").join(every, "gid")
-    inside = members.filter("id <> gid").select("gid").distinct().select("gid", F.col("gid").alias("token"))
-    spread = spread.unionByName(inside.join(every, "gid").select("gid", "token", "id", "n", "component"))
-    spread = stored(spread.select("token", "id", "n", "component"), "ngram-spread")
-    mixed = spread.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi").select("token")
-    rest = stored(spread.join(mixed, "token", "left_semi"), "ngram-rest")
-    x, y = rest.alias("x"), rest.alias("y")
-    more = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.component") < F.col("y.component")) & fits("x.n", "y.n"))
-            .select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b")).distinct())
-    more = more.join(pairs.distinct(), ["a", "b"], "left_anti")
-    late = stored(verified(more, texts, params), "ngram-links")
+    # What the stars leave open.
+    member = seen.filter("star").select(F.col("a").alias("id"), F.col("b").alias("p"), "linked", "n", "new", "missing", "head").join(
+        found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    member = stored(member, "ngram-stars")
+
+    def open_pairs(points: DataFrame, keys: list[str], condition: Column | None) -> DataFrame:
+        """Pairs of rows with equal keys, in different components, at least one of them not linked to its pivot."""
+        mixed = points.groupBy(*keys).agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("linked").alias("all")).filter("lo < hi AND NOT all")
+        rows = points.join(mixed.select(*keys), keys, "left_semi")
+        x, y = rows.alias("x"), rows.alias("y")
+        on = (F.col("x.component") < F.col("y.component")) & ~(F.col("x.linked") & F.col("y.linked")) & fits("x.n", "y.n")
+        for k in keys:
+            on = on & (F.col(f"x.{k}") == F.col(f"y.{k}"))
+        out = x.join(y, on if condition is None else on & condition)
+        return out.select(F.greatest("x.id", "y.id").alias("a"), F.least("x.id", "y.id").alias("b"))
+
+    # Shingles of more than half of a star are counted to its pivot; the others are ordered rarest first within the star.
+    outside = F.floor(F.col("n") * (100 - params.percent) / 100) + 1
+    elements = member.select("id", "p", F.explode("head").alias("element"))
+    stars = member.groupBy("p").agg(F.count(F.lit(1)).alias("star"))
+    counts = stored(elements.groupBy("p", "element").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").join(stars, "p")
+                    .select("p", "element", "k", (2 * F.col("k") > F.col("star")).alias("common")), "ngram-common")
+    added = counts.filter("common").groupBy("p").agg(F.count(F.lit(1)).alias("added"))
+    marked = elements.join(counts, ["p", "element"], "left")
+    rest = F.array_sort(F.collect_list(F.when(~F.coalesce("common", F.lit(False)), F.struct(F.coalesce("k", F.lit(1)).alias("k"), "element"))))
+    own_new = marked.groupBy("id", "p").agg(F.count_if("common").alias("had"), F.transform(rest, lambda r: r["element"]).alias("rest"))
+    member = (member.drop("head").join(own_new, ["id", "p"], "left").join(added, "p", "left")
+              .withColumns({"had": F.coalesce("had", F.lit(0)), "added": F.coalesce("added", F.lit(0))}))
+    member = stored(member.select(
+        "id", "p", "linked", "n", "component", (F.col("new") - F.col("had")).alias("new"),
+        (F.col("missing") + F.col("added") - F.col("had")).alias("missing"),
+        F.slice(F.coalesce("rest", F.array().cast("array<long>")), F.lit(1), outside.cast("int")).alias("head")), "ngram-stars")
+
+    # The member nearest to the common text links more of a star than the pivot can: one more star around it.
+    allowed = F.col("n") * (100 - params.percent) / (100 + params.percent)
+    hubs = member.groupBy("p").agg(F.min_by(F.struct("id", "n", "component"), F.struct("new", "missing", "id")).alias("hub"))
+    spokes = member.filter(F.col("new") <= 2 * allowed * 100 / params.percent).join(hubs, "p").filter(
+        (F.col("id") != F.col("hub.id")) & (F.col("component") != F.col("hub.component"))).select(
+        F.greatest("id", "hub.id").alias("a"), F.least("id", "hub.id").alias("b")).distinct()
+    spokes = spokes.join(seen.select("a", "b"), ["a", "b"], "left_anti")
+    seen_hubs = stored(compared(spokes, texts, params).select("a", "b", "linked"), "ngram-hubs")
+    links = stored(links.unionByName(seen_hubs.filter("linked").select("a", "b")), "ngram-links")
+    found = components(links)
+    member = stored(member.drop("component").join(found.withColumnRenamed("node", "id"), "id", "left").withColumn(
+        "component", F.coalesce("component", "id")), "ngram-stars")
+    seen = seen.select("a", "b").unionByName(seen_hubs.select("a", "b"))
+
+    heads = member.select("id", "p", "linked", "n", "component", F.explode("head").alias("element"))
+    by_new = open_pairs(heads, ["p", "element"], None)
+    # Points with equal counts are compared as one before they are expanded.
+    shape = ["n", "new", "missing", "linked"]
+    light = member.filter(F.col("new") * (100 + params.percent) <= (100 - params.percent) * (F.col("n") + F.col("n") * 100 / params.percent))
+    kinds = light.groupBy("p", *shape).agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    x, y = kinds.alias("x"), kinds.alias("y")
+    apart = F.col("x.new") + F.col("y.new") + F.abs(F.col("x.missing") - F.col("y.missing"))
+    near = x.join(y, (F.col("x.p") == F.col("y.p")) & ~(F.col("x.linked") & F.col("y.linked")) & (F.least("x.lo", "y.lo") < F.greatest("x.hi", "y.hi"))
+                  & (apart * (100 + params.percent) <= (100 - params.percent) * (F.col("x.n") + F.col("y.n"))))
+    near = near.select(F.col("x.p").alias("p"), *[F.col(f"x.{c}").alias(c) for c in shape], *[F.col(f"y.{c}").alias(f"other_{c}") for c in shape])
+    light = light.select("id", "component", "p", *shape)
+    first = near.join(light.withColumnsRenamed({"id": "a", "component": "component_a"}), ["p", *shape])
+    other = light.withColumnsRenamed({"id": "b", "component": "component_b"} | {c: f"other_{c}" for c in shape})
+    by_count = first.join(other, ["p", *[f"other_{c}" for c in shape]]).filter("a > b AND component_a <> component_b").select("a", "b")
+    more = by_new.unionByName(by_count).distinct().join(seen.select("a", "b"), ["a", "b"], "left_anti")
+    late = stored(compared(more, texts, params).filter("linked").select("a", "b"), "ngram-links")
     if not late.isEmpty():
         found = components(links.unionByName(late))
 

@@ -48,10 +48,23 @@ def test_join_equals_all_pairs(spark, n, percent):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == jaccard_groups(rows, n, percent)
 
 
-def test_join_without_pivots_left_out(spark):
-    """Lists are completed exactly also when no pivot round links anything before."""
-    rows = near_copies(9)
-    got = ngram_join.jaccard_components(documents(spark, rows), ngram_join.JoinParams(n=4, percent=85, pivot_rounds=0)).collect()
+def truncations(seed):
+    """Copies cut at either end by different amounts, some with a changed word: chains that a single pivot does not link."""
+    rng = random.Random(seed)
+    base, rows = prose(rng, 130).split(), []
+    for _ in range(70):
+        words = base[rng.randrange(0, 30) : len(base) - rng.randrange(0, 40)]
+        for _ in range(rng.randrange(0, 3)):
+            words[rng.randrange(len(words))] = rng.choice("uvwxyz")
+        rows.append(" ".join(words))
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("direct", [0, 3, 8, 1000])
+@pytest.mark.parametrize("rows", [near_copies(9), truncations(1), truncations(2)])
+def test_join_lists_of_any_length(spark, rows, direct):
+    """Direct pairs and pivots with completion give the same components."""
+    got = ngram_join.jaccard_components(documents(spark, rows), ngram_join.JoinParams(n=4, percent=85, direct=direct)).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == jaccard_groups(rows, 4, 85)
 
 
@@ -74,7 +87,7 @@ def line_rows():
 def test_line_dedup_equals_loops(spark):
     rows = line_rows()
     out = line_dedup.remove_repeated_windows(documents(spark, rows).repartition(4))
-    assert set(out.columns) == {"doc_id", "text", "n_removed", *EXTRA}
+    assert set(out.columns) == {"doc_id", "text", "n_lines", "n_removed", *EXTRA}
     got = {r["doc_id"]: r["text"] for r in out.collect()}
     assert got == dedup_lines(rows)
 
