@@ -3,10 +3,11 @@
 Vectors are scaled to length 1 and cut into halves; each half has its own codebook, so the index is the product grid of both. A
 vector is stored in its nearest cell. A search visits cells from the nearest outwards: the multi-sequence traversal walks both
 sorted half distances and always takes the cell of the smallest sum next, until a cell is further than the nearest one by
-``margin``. The margin is measured, not guessed: ``sample`` vectors of the table (a documented bound) are each turned to a random
-direction until the cosine is exactly the threshold, the hardest case, and the margin is the smallest one at which the search
-from either side finds ``target`` of them. All rows are indexed and all rows search. Every pair met is verified by cosine in
-double precision, so no pair below the threshold links.
+``margin``. The margin is measured, not guessed, as the largest of four, each the smallest at which the search from either side
+finds ``target`` of its pairs: ``probes`` of the ``sample`` vectors of the table (documented bounds) turned until the cosine is
+exactly the threshold in random directions, in those in which their neighbours differ, and over the border to the next codes; and
+all pairs above the threshold that the probes have with all rows of the table. All rows are indexed and all rows search. Every
+pair met is verified by cosine in double precision, so no pair below the threshold links.
 
 Equal vectors are one entry with a count. Cells are cut into blocks and each pair of blocks is one task group of bounded
 size, whatever a cell holds. A group returns a number of links per entry and a spanning forest of its links, never the pairs.
@@ -19,7 +20,7 @@ a null vec_id count as links of others but have a null component. An empty table
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -36,11 +37,16 @@ class IndexParams:
     cell_rows: int = 1_000  # the codebook size follows the rows: their number / codes^2 is about this
     most_codes: int = 1_024
     sample: int = 10_000
+    probes: int = 2_000  # of the sample: turned to measure the margin, and compared with all rows
     block_rows: int = 1_024
     steps: int = 12
     seed: int = 7
 
 
+#: Upper ends of the bins that margins of real pairs are counted in; squared distances of unit vectors differ by at most 8.
+MARGINS = np.concatenate([[0.0], np.geomspace(1e-6, 8, 400)])
+
+
 @dataclass(frozen=True)
 class MultiIndex:
     """Codebooks of both halves (codes, half width) and the traversal margin."""
@@ -103,27 +109,93 @@ def visits(index: MultiIndex, x: np.ndarray) -> list[np.ndarray]:
 
 
 def fit_index(sample: np.ndarray, rows: int, params: IndexParams) -> MultiIndex:
-    """Codebooks from a bounded sample of unit vectors, sized for ``rows``, and the margin that reaches the target recall."""
+    """Codebooks from a bounded sample of unit vectors, sized for ``rows``, and the margin that the turned probes need."""
     random = np.random.RandomState(params.seed)
     codes = int(np.clip(np.sqrt(rows / params.cell_rows), 1, min(params.most_codes, max(1, len(sample) // 4))))
     half = sample.shape[1] // 2
     left, right = (k_means(part, codes, params.steps, random) for part in (sample[:, :half], sample[:, half:]))
-    # Partners at exactly the threshold, in random directions.
-    probe = sample[:2_000]
-    away = random.normal(size=probe.shape)
-    away -= (away * probe).sum(axis=1, keepdims=True) * probe
-    away /= np.maximum(np.linalg.norm(away, axis=1, keepdims=True), 1e-300)
-    partner = params.threshold * probe + np.sqrt(1 - params.threshold**2) * away
-
-    def grid(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return half_distances(x[:, :half], left), half_distances(x[:, half:], right)
-
-    (xa, xb), (ya, yb) = grid(probe), grid(partner)
-    at = np.arange(len(probe))
+    index = MultiIndex(left, right, 0.0)
+    probe = sample[: params.probes]
+    kinds = [random.normal(size=probe.shape), _local_directions(probe, sample, random), _border_directions(probe, index)]
+    margin = max(float(np.quantile(needed(index, probe, turned(probe, away, params.threshold)), params.target)) for away in kinds)
+    return replace(index, margin=margin + 1e-12)
+
+
+def turned(x: np.ndarray, away: np.ndarray, cosine: float) -> np.ndarray:
+    """Unit vectors x turned towards ``away`` until the cosine with x is exactly the given one."""
+    away = away - (away * x).sum(axis=1, keepdims=True) * x
+    away = away / np.maximum(np.linalg.norm(away, axis=1, keepdims=True), 1e-300)
+    return cosine * x + np.sqrt(1 - cosine**2) * away
+
+
+def _local_directions(x: np.ndarray, sample: np.ndarray, random: np.random.RandomState, neighbours: int = 8) -> np.ndarray:
+    """Random mixtures of the differences to the nearest vectors of the sample: they follow the local principal directions."""
+    out = np.empty_like(x)
+    for at in range(0, len(x), 256):
+        own = x[at : at + 256]
+        count = min(neighbours + 1, len(sample))
+        near = np.argpartition(-(own @ sample.T), count - 1, axis=1)[:, :count]
+        out[at : at + 256] = ((sample[near] - own[:, None]) * random.normal(size=(len(own), count, 1))).sum(axis=1)
+    return out
+
+
+def _border_directions(x: np.ndarray, index: MultiIndex) -> np.ndarray:
+    """From the nearest code of each half to the second nearest, straight over the border between them."""
+    half = index.left.shape[1]
+    out = np.zeros_like(x)
+    for part, book in ((slice(0, half), index.left), (slice(half, None), index.right)):
+        if len(book) > 1:
+            order = half_distances(x[:, part], book).argsort(axis=1, kind="stable")
+            out[:, part] = book[order[:, 1]] - book[order[:, 0]]
+    return out
+
+
+def needed(index: MultiIndex, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The smallest margin at which the search from either side meets the pair of each row of x and the same row of y."""
+    half = index.left.shape[1]
+
+    def grid(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return half_distances(z[:, :half], index.left), half_distances(z[:, half:], index.right)
+
+    (xa, xb), (ya, yb) = grid(x), grid(y)
+    at = np.arange(len(x))
     forth = xa[at, ya.argmin(axis=1)] + xb[at, yb.argmin(axis=1)] - xa.min(axis=1) - xb.min(axis=1)
     back = ya[at, xa.argmin(axis=1)] + yb[at, xb.argmin(axis=1)] - ya.min(axis=1) - yb.min(axis=1)
-    margin = float(np.quantile(np.minimum(forth, back), params.target)) + 1e-12
-    return MultiIndex(left, right, margin)
+    return np.minimum(forth, back)
+
+
+def unit_rows(x: np.ndarray) -> np.ndarray:
+    x = x / np.abs(x).max(axis=1, keepdims=True)  # no overflow of the squares
+    return x / np.sqrt((x**2).sum(axis=1, keepdims=True))
+
+
+def real_margin(distinct: DataFrame, index: MultiIndex, probe: np.ndarray, params: IndexParams) -> float:
+    """The margin that finds ``target`` of the pairs that the probes, rows of the table, have with all rows of their length.
+
+    The probes are compared with every row; a task returns counts by margin, rounded up by at most 5 %, never pairs. Without
+    any pair it is 0.
+    """
+    width, threshold = probe.shape[1], params.threshold
+
+    def margins(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = np.zeros(len(MARGINS), dtype=np.int64)
+        for batch in batches:
+            vectors = [v for v in batch["vec"] if len(v) == width]
+            for at in range(0, len(vectors), 1_024):
+                y = unit_rows(np.stack(vectors[at : at + 1_024]).astype(float))
+                cosines = probe @ y.T
+                i, j = np.nonzero((cosines >= threshold) & (cosines < 1 - 1e-12))  # not a probe with itself
+                for k in range(0, len(i), 65_536):
+                    need = needed(index, probe[i[k : k + 65_536]], y[j[k : k + 65_536]])
+                    counts += np.bincount(np.minimum(np.searchsorted(MARGINS, need), len(MARGINS) - 1), minlength=len(MARGINS))
+        at = np.flatnonzero(counts)
+        yield pd.DataFrame({"bin": at.astype("int64"), "n": counts[at]})
+
+    met = distinct.filter(F.size("vec") == width).select("vec").mapInPandas(margins, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).orderBy("bin").collect()
+    if not met:
+        return 0.0
+    total = np.cumsum([r["n"] for r in met])
+    return float(MARGINS[met[int(np.searchsorted(total, params.target * total[-1]))]["bin"]])
 
 
 def entries(vectors: DataFrame, id_col: str, vector: str) -> DataFrame:
@@ -207,8 +279,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector: str = "e
     index = None
     if total > params.cell_rows and width >= 2:
         x = np.array([r["vec"] for r in sample])
-        x /= np.abs(x).max(axis=1, keepdims=True)
-        index = fit_index(x / np.linalg.norm(x, axis=1, keepdims=True), total, params)
+        x = unit_rows(x)
+        index = fit_index(x, total, params)
+        index = replace(index, margin=max(index.margin, real_margin(distinct, index, x[: params.probes], params)))
 
     def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -257,6 +257,47 @@ def test_multi_index_recall(spark):
     assert sum(r["component_id"] == whole[r["vec_id"]] for r in got) >= 0.95 * len(got)
 
 
+def low_rank(n, rank, seed=1, noise=0.1):
+    """Unit vectors that vary mostly along a few directions."""
+    rng = np.random.RandomState(seed)
+    x = rng.normal(size=(n, rank)) @ rng.normal(size=(rank, 64)) / np.sqrt(rank) + noise * rng.normal(size=(n, 64))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def test_margin_fits_correlated_vectors():
+    """Production parameters, 16 cells, and partners along the directions of high variance."""
+    x = low_rank(20_000, 6)
+    index = multi_index.fit_index(x[:10_000], len(x), multi_index.IndexParams())
+    i, j = np.nonzero(x[:400] @ x.T >= 0.95)
+    i, j = i[i != j], j[i != j]
+    assert index.codes == 4 and len(i) > 1_000
+    assert (multi_index.needed(index, x[i], x[j]) <= index.margin).mean() >= 0.98
+
+
+def test_margin_of_real_pairs(spark):
+    """Counts by margin of all pairs of the probes give the quantile that the pairs themselves give."""
+    x = low_rank(1_500, 5)
+    params = multi_index.IndexParams(cell_rows=15)
+    index = multi_index.fit_index(x, len(x), params)
+    vectors = [(v.tolist(),) for v in x] + [([1.0, 2.0],)]
+    got = multi_index.real_margin(spark.createDataFrame(vectors, "vec array<double>").repartition(5), index, x[:300], params)
+    i, j = np.nonzero(x[:300] @ x.T >= params.threshold)
+    i, j = i[i != j], j[i != j]
+    want = np.quantile(multi_index.needed(index, x[i], x[j]), params.target, method="inverted_cdf")
+    assert want > 0 and want <= got <= 1.05 * want
+    apart = spark.createDataFrame([(v.tolist(),) for v in np.eye(64)[:5]], "vec array<double>")
+    assert multi_index.real_margin(apart, index, np.eye(64)[:5], params) == 0.0
+
+
+def test_multi_index_recall_correlated(spark):
+    vectors = [(i, v.tolist()) for i, v in enumerate(low_rank(2_500, 6))]
+    params = multi_index.IndexParams(cell_rows=25, block_rows=256)
+    got = multi_index.near_duplicates(spark.createDataFrame(vectors, "vec_id long, embedding array<double>").repartition(4), params=params).collect()
+    x = np.array([v for _, v in vectors])
+    want = int((x @ x.T >= params.threshold).sum()) - len(x)
+    assert want > 1_000 and 0.98 * want <= sum(r["n_links"] for r in got) <= want
+
+
 def test_multi_index_odd_rows(spark):
     vectors = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]), (7, [1.0, 1.0]), (8, [2.0, 2.0]),
                (9, [1.0, 1.0]), (10, [1.0, 1.0, 1.0]), (11, [3.0, 3.0, 3.0]), (12, [1e300, 1e300]), (13, [-1.0, -1.0]), (None, [1.0, 1.0]), (14, [5.0]), (15, [0.5])]
