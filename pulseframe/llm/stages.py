@@ -26,11 +26,26 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest doc_id of each component of near duplicates (five words, similarity 0.8)."""
+    """Keep one row of each component of near duplicates (five words, similarity 0.8): the one with the smallest doc_id.
+
+    Texts are compared by row: a row with a null doc_id, or with a doc_id that another text has too, takes part under a number of
+    its own, behind the others; rows that repeat doc_id and text are one document and one of them stays.
+    """
     small_batches(spark)
-    groups = ngram_join.jaccard_components(docs, ngram_join.JoinParams(n=5, percent=80))
-    rest = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(rest, "doc_id", "left_anti").select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), "text", F.xxhash64("text").alias("sig"))
+    several = rows.filter("id IS NOT NULL").groupBy("id").agg(F.min("sig").alias("least"), F.max("sig").alias("most")).filter("least <> most")
+    rows = rows.join(several, "id", "left")
+    apart = F.col("id").isNull() | (F.col("sig") != F.coalesce("least", "sig"))
+    # From 2^62 upwards.
+    number = F.shiftrightunsigned(F.xxhash64("id", "sig", F.xxhash64(F.lit(1), "text")), 2).bitwiseOR(F.lit(1 << 62))
+    rows = rows.select("row", "text", F.when(apart, number).otherwise(F.col("id")).alias("node"))
+    groups = ngram_join.jaccard_components(rows, ngram_join.JoinParams(n=5, percent=80), id_col="node").withColumnRenamed("doc_id", "node")
+    rest = groups.filter("node <> component_id").select("node").distinct()
+    repeated = groups.groupBy("node").count().filter("count > 1").select("node")
+    kept = rows.join(rest, "node", "left_anti")
+    # Only repeated rows are brought together; the smallest of them stays, whatever the other columns hold.
+    once = kept.join(repeated, "node", "left_semi").groupBy("node").agg(F.min("row").alias("row"))
+    return kept.join(repeated, "node", "left_anti").select("row").unionByName(once.select("row")).select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

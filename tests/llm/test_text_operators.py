@@ -168,3 +168,14 @@ def test_pipeline_stages_equal_loops(spark):
     assert held and not held & left and len(left) > 0.8 * len(rows)
 
     assert corpus_pipeline.run(spark, SMALL).count() > 0.5 * len(rows)
+
+
+def test_one_of_each_group_with_repeated_rows(spark):
+    """Repeated rows, null ids and ids of two texts: one row of each group stays and no text without a copy is lost."""
+    a, b, c, d, e = ("alpha beta gamma delta epsilon zeta eta", "one two three four five six seven", "red green blue black white grey pink",
+                     "north south east west up down left", "mon tue wed thu fri sat sun")
+    rows = [(5, a), (5, a), (6, a), (None, a), (None, b), (None, b), (3, c), (7, c), (7, d), (7, d), (8, e), (8, a), (9, None), (9, None), (10, ""), (11, "")]
+    got = dict(corpus_pipeline.STAGES)["ngram_jaccard_join"](spark, documents(spark, rows).repartition(3), SMALL)
+    assert set(got.columns) == {"doc_id", "text", *EXTRA}
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted(
+        [(5, a), (None, b), (3, c), (7, d), (8, e), (9, None), (10, ""), (11, "")], key=str)
