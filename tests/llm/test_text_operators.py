@@ -137,6 +137,30 @@ def test_decontamination_equals_whole_tables(spark):
     assert decontaminate.find_leaks(documents(spark, docs).limit(0), benchmark).count() == 0
 
 
+def test_decontamination_one_block_at_a_time(spark, monkeypatch):
+    """What a block finds is written before the next block is collected, and both forms agree with the condition."""
+    items, docs = leaks()
+    params = decontaminate.DecontaminationParams(block_bytes=500)
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    clean = sorted(documents(spark, docs).filter(decontaminate.is_clean(benchmark, params=params)).collect(), key=str)
+    blocks, store, written, open_blocks = decontaminate.item_blocks, decontaminate.stored, [], []
+
+    def counted(*args):
+        for n, block in enumerate(blocks(*args)):
+            open_blocks.append(n - len(written))
+            yield block
+
+    monkeypatch.setattr(decontaminate, "item_blocks", counted)
+    monkeypatch.setattr(decontaminate, "stored", lambda *args: written.append(1) or store(*args))
+    assert decontaminate.find_leaks(documents(spark, docs), benchmark, params).count() > 0
+    assert len(open_blocks) > 1 and set(open_blocks) == {0}
+    written.clear(), open_blocks.clear()
+    out = decontaminate.without_leaks(documents(spark, docs), benchmark, params=params)
+    assert len(open_blocks) > 1 and set(open_blocks) == {0}
+    assert sorted(out.collect(), key=str) == clean and out.columns == documents(spark, docs).columns
+    assert decontaminate.without_leaks(documents(spark, docs), benchmark.limit(0)).count() == len(docs)
+
+
 def test_pipeline_stages_equal_loops(spark):
     """Each stage on its own input; the classifier and the encoder have tests of their own."""
     docs = table(spark, SMALL, "documents").limit(0).unionByName(table(spark, SMALL, "documents"))
