@@ -38,16 +38,18 @@ def _batch_id() -> Column:
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The event table as a stream of time-ranged files that arrive in order, one for each trigger."""
+    """The event table as a stream of time ranges that arrive in order, one for each trigger, each with as many files as the table has splits."""
     events = table(spark, sf_dir, "events")
-    low, high = events.agg(F.min("ts"), F.max("ts")).first()
-    folder, step = scratch(spark), (high - low) / TRIGGERS
+    low, high, last = events.select("ts", F.spark_partition_id().alias("split")).agg(F.min("ts"), F.max("ts"), F.max("split")).first()
+    folder, step, files = scratch(spark), (high - low) / TRIGGERS, last + 1
     for i in range(TRIGGERS):
         inside = F.col("ts") >= F.lit(low + i * step)
         inside = inside & (F.col("ts") < F.lit(low + (i + 1) * step)) if i < TRIGGERS - 1 else inside
-        # The source takes files in the order of their times.
-        events.filter(inside).coalesce(1).write.mode("append").parquet(folder)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        # The source takes files in the order of their times, the same number for each trigger: empty files fill a range up.
+        events.filter(inside).write.mode("append").parquet(folder)
+        for _ in range((i + 1) * files - len(spark.read.schema(events.schema).parquet(folder).inputFiles())):
+            events.limit(0).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 def samples(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:

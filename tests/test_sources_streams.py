@@ -137,3 +137,17 @@ def test_rows_from_the_future_do_not_empty_a_stream(spark, tmp_path):
     shifted = [i for i in range(40) if i % 9 == 4]
     ids, dropped, late = _distinct_events(spark, tmp_path, "future", 8, True)
     assert ids == [i for i in range(40) if i not in shifted] and dropped == 0 and late == 2 * len(shifted)
+
+
+def test_event_stream_keeps_ranges_parallel(spark, sf, tmp_path):
+    """Each trigger reads one whole time range, from as many files as the table has splits."""
+    fx.table(spark, sf, "events").repartition(6).write.parquet(f"{tmp_path}/events.parquet")
+    events = fx.table(spark, str(tmp_path), "events").toPandas()
+    low, step = events.ts.min(), (events.ts.max() - events.ts.min()) / fx.TRIGGERS
+    ranges = [int(((events.ts >= low + i * step) & ((events.ts < low + (i + 1) * step) | (i == fx.TRIGGERS - 1))).sum()) for i in range(fx.TRIGGERS)]
+    stream = fx.event_stream(spark, str(tmp_path))
+    query = stream.writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/progress").trigger(availableNow=True).start()
+    query.awaitTermination(120)
+    assert [p.numInputRows for p in query.recentProgress if p.numInputRows] == ranges
+    files = spark.read.json(f"{tmp_path}/progress/sources/0/*").filter("path IS NOT NULL").select("path", "batchId")
+    assert all(r["count"] > 1 for r in files.groupBy("batchId").count().collect())
