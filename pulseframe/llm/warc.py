@@ -190,7 +190,10 @@ _COLUMNS = ["page_id", "url", "payload_bytes", "payload_digest", "record_type",
 
 
 def read_archive(archive: Archive) -> DataFrame:
-    """Every record, read through the index: a task takes blocks of the directory, unpacks them and range-reads each record."""
+    """Every record, read through the index: a task takes blocks of the directory, unpacks them and range-reads each record.
+
+    All blocks are wanted, so nothing is searched; ``lookup`` searches the directory by key.
+    """
     folder = archive.folder
 
     def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
