@@ -1,9 +1,9 @@
 """Embedding near-duplicates by an inverted multi-index.
 
 Vectors are scaled to length 1 and cut into halves; each half has its own codebook, so the index is the product grid of both. A
-vector is stored in its nearest cell. A search visits cells from the nearest outwards: the multi-sequence traversal walks both
-sorted half distances and always takes the cell of the smallest sum next, until a cell is further than the nearest one by
-``margin``. The margin is measured, not guessed, as the largest of four, each the smallest at which the search from either side
+vector is stored in its nearest cell. A search visits all cells that are no further than the nearest one by ``margin``: both sorted
+half distances are walked line by line of the grid and the cells met are put in order of their sums. These are the cells that a
+multi-sequence traversal with a frontier would take up to that bound; no search goes on until it reaches a recall of its own. The margin is measured, not guessed, as the largest of four, each the smallest at which the search from either side
 finds ``target`` of its pairs: ``probes`` of the ``sample`` vectors of the table (documented bounds) turned until the cosine is
 exactly the threshold in random directions, in those in which their neighbours differ, and over the border to the next codes; and
 all pairs above the threshold that the probes have with all rows of the table. All rows are indexed and all rows search. Every
@@ -79,7 +79,7 @@ def k_means(x: np.ndarray, codes: int, steps: int, random: np.random.RandomState
 
 
 def visits(index: MultiIndex, x: np.ndarray) -> list[np.ndarray]:
-    """Cells that each row visits, its own (the nearest) first, by multi-sequence traversal."""
+    """Cells that each row visits, its own (the nearest) first, by enumeration within the margin."""
     half = index.left.shape[1]
     a, b = half_distances(x[:, :half], index.left), half_distances(x[:, half:], index.right)
     order_a, order_b = a.argsort(axis=1, kind="stable"), b.argsort(axis=1, kind="stable")
