@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulseframe.llm import bpe, chat, decontaminate, line_dedup, multi_index, ngram_join, quality, toxicity, url_filter, warc
+from pulseframe.llm import (bpe, chat, decontaminate, license_scan, line_dedup, multi_index, ngram_join, phrases, quality, resample, toxicity,
+                            url_filter, warc)
 from pulseframe.llm.common import stored, table
 
 
@@ -72,6 +73,19 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text", "matches")
+
+
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = resample.resample(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine_phrases(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 OP10_SQL = """WITH rules(verdict, host, path) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'),
   ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
 p AS (SELECT page_id, row_number() OVER () AS rn,
@@ -94,6 +108,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_decontamination": op9_decontamination,
     "op10_url_filter": op10_url_filter,
+    "op11_license_scan": op11_license_scan,
+    "op12_resample": op12_resample,
+    "op13_phrases": op13_phrases,
 }
 
 OP1_SQL = """WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -121,4 +138,72 @@ SELECT d.doc_id, count(m.k) AS n_lines, count(*) FILTER (m.gone) AS n_removed,
   CASE WHEN max(d.text) IS NOT NULL THEN sha256(coalesce(string_agg(CASE WHEN NOT m.gone THEN m.line END, chr(10) ORDER BY m.pos), '')) END AS text_sha256
 FROM documents d LEFT JOIN m ON m.doc_id = d.doc_id GROUP BY d.doc_id"""
 
-SQL: dict[str, str] = {"op4_line_dedup": OP4_SQL, "op7_warc": OP7_SQL, "op10_url_filter": OP10_SQL}
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = f"regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+def _lists(templates: tuple[tuple[str, str], ...]) -> str:
+    return ", ".join(f"('{label}', ['" + "', '".join(text.split()) + "'])" for text, label in templates)
+
+
+def op11_sql(params: license_scan.ScanParams = license_scan.ScanParams()) -> str:
+    """Every block against every notice, every place against every phrase."""
+    return f"""WITH t AS (SELECT row_number() OVER () AS rn, doc_id, {_WORDS} AS w FROM documents),
+phrases(label, p) AS (VALUES {_lists(params.phrases)}), notices(label, p) AS (VALUES {_lists(params.notices)}),
+spots AS (SELECT rn, w, unnest(range(len(w))) AS s FROM t WHERE len(w) > 0),
+places AS (SELECT a.rn, h.label, a.s FROM spots a JOIN phrases h ON a.w[a.s + 1] = h.p[1] AND a.w[a.s + 1:a.s + len(h.p)] = h.p),
+shares AS (SELECT a.rn, n.label, len(list_filter(list_distinct(n.p), lambda x: list_contains(a.w[a.s + 1:a.s + {2 * params.stride}], x))) AS held,
+  len(list_distinct(n.p)) AS m FROM spots a, notices n WHERE a.s % {params.stride} = 0),
+met AS (SELECT rn, label, CAST(held AS DOUBLE) / m AS share FROM shares WHERE 100 * held >= {params.percent} * m),
+base AS (SELECT rn, count(*) AS n_base, min(s) AS first_word, max(s) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY rn),
+both_ AS (SELECT rn, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT rn, label FROM places UNION ALL SELECT rn, label FROM met) GROUP BY rn),
+best AS (SELECT rn, max(share) AS share FROM met GROUP BY rn)
+SELECT t.doc_id, CAST(len(t.w) AS BIGINT) AS n_words, coalesce(base.n_base, 0) AS n_base, CAST(base.first_word AS BIGINT) AS first_word, CAST(base.last_word AS BIGINT) AS last_word,
+  coalesce(base.base_labels, '') AS base_labels, coalesce(both_.labels, '') AS labels, CASE WHEN base.n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(best.share, 0.0::DOUBLE) END AS score
+FROM t LEFT JOIN base USING (rn) LEFT JOIN both_ USING (rn) LEFT JOIN best USING (rn)"""
+
+
+# CRC-32 from its definition: the table of byte values by eight shifts, then one table step per byte of a word.
+OP12_SQL = f"""WITH tab AS (SELECT list(v ORDER BY i) AS v FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) AS r(i))),
+d AS (SELECT row_number() OVER () AS rn, doc_id, text, {_WORDS} AS w FROM documents), b AS (SELECT {_WORDS} AS w FROM benchmark),
+vocabulary AS (SELECT DISTINCT unnest(w) AS word FROM (SELECT w FROM d UNION ALL SELECT w FROM b)),
+bytes AS (SELECT word, hex(encode(word)) AS x FROM vocabulary),
+hashed AS (SELECT word, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(x), 2), lambda i: (instr('0123456789ABCDEF', substr(x, i, 1)) - 1) * 16
+  + instr('0123456789ABCDEF', substr(x, i + 1, 1)) - 1)), lambda c, o: xor(tab.v[(xor(c, o) & 255) + 1], c >> 8)), 4294967295) % 10000 AS bucket FROM bytes, tab),
+du AS (SELECT rn, bucket FROM (SELECT rn, unnest(w) AS word FROM d) JOIN hashed USING (word)),
+bu AS (SELECT bucket FROM (SELECT unnest(w) AS word FROM b) JOIN hashed USING (word)),
+s AS (SELECT bucket, count(*) AS n FROM du GROUP BY bucket), t AS (SELECT bucket, count(*) AS n FROM bu GROUP BY bucket),
+total AS (SELECT (SELECT count(*) FROM du) AS s, (SELECT count(*) FROM bu) AS t),
+gains AS (SELECT s.bucket, CAST(floor(1000 * ln(CAST((coalesce(t.n, 0) + 1) * (total.s + 10000) AS DOUBLE) / CAST((s.n + 1) * (total.t + 10000) AS DOUBLE))) AS BIGINT) AS gain
+  FROM s LEFT JOIN t USING (bucket), total),
+m AS (SELECT rn, count(*) AS n, CAST(sum(gain) AS BIGINT) AS g FROM du JOIN gains USING (bucket) GROUP BY rn),
+h AS (SELECT d.rn, d.doc_id, d.text, coalesce(m.n, 0) AS n, CASE WHEN m.n > 0 THEN (m.g - ((m.g % m.n) + m.n) % m.n) // m.n ELSE 0 END AS weight,
+  sha256('2024:' || coalesce(CAST(d.doc_id AS VARCHAR), ''))[1:8] AS x FROM d LEFT JOIN m USING (rn)),
+k AS (SELECT *, list_reduce(list_prepend(0, list_transform(range(1, 9), lambda i: instr('0123456789abcdef', substr(x, i, 1)) - 1)), lambda c, o: c * 16 + o) AS u FROM h),
+z AS (SELECT rn, doc_id, text, n, weight, weight + CAST(floor(-1000 * ln(-ln((u + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score FROM k),
+r AS (SELECT rn, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, text) AS rank FROM z WHERE n >= 20)
+SELECT z.doc_id, CAST(z.n AS BIGINT) AS n_features, CAST(z.weight AS BIGINT) AS weight, CAST(z.score AS BIGINT) AS score,
+  CASE WHEN r.rank <= 10 * (SELECT count(*) FROM r) // 100 THEN r.rank END AS rank FROM z LEFT JOIN r USING (rn)"""
+
+# All phrases of all lengths counted, without any bound.
+OP13_SQL = f"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
+  FROM (SELECT lang, unnest(string_split_regex({_LOWERED}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+g AS (SELECT lang, 1 AS size, unnest(w) AS phrase FROM p
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM p
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) FROM p),
+f AS (SELECT lang, size, phrase, count(*) AS a, string_split(phrase, ' ') AS w FROM g GROUP BY lang, size, phrase),
+n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE size > 1 AND a >= 10),
+cuts AS (SELECT lang, phrase, size, a, w, k, array_to_string(w[1:k], ' ') AS x, array_to_string(w[k + 1:], ' ') AS y FROM c, (VALUES (1), (2)) AS v(k) WHERE k < size),
+scored AS (SELECT u.lang, u.phrase, u.size, u.a, u.k, l.a AS l, r.a AS r, CAST((1000000::HUGEINT * u.a * u.a) // (l.a::HUGEINT * r.a) AS BIGINT) AS score
+  FROM cuts u JOIN f l ON l.lang = u.lang AND l.phrase = u.x JOIN f r ON r.lang = u.lang AND r.phrase = u.y),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, a FROM c WHERE size = 3),
+most AS (SELECT lang, phrase, max(a) AS a FROM longer GROUP BY lang, phrase),
+alive AS (SELECT b.* FROM best b LEFT JOIN most m ON m.lang = b.lang AND m.phrase = b.phrase AND b.size = 2 WHERE m.a IS NULL OR 100 * m.a < 50 * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM alive)
+SELECT lang, rank, phrase, a, l, r, n.n AS n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000"""
+
+SQL: dict[str, str] = {"op4_line_dedup": OP4_SQL, "op7_warc": OP7_SQL, "op10_url_filter": OP10_SQL,
+                       "op11_license_scan": op11_sql(), "op12_resample": OP12_SQL, "op13_phrases": OP13_SQL}
