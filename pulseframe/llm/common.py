@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pulseframe.session import ensure_checkpoint_dir
@@ -23,11 +23,40 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write as Parquet in the shared folder and read back: cuts lineage, keeps column pruning, survives lost executors."""
     path = shared_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._folder = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that :func:`stored` wrote, once everything that reads them has been stored itself."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._folder)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def perhaps_among(rows: DataFrame, keys: DataFrame, *names: str, bits: int = 1 << 25) -> tuple[DataFrame, DataFrame]:
+    """(rows whose key may be one of ``keys``, rows whose key is none for certain).
+
+    A prefilter in front of an exact join: a bitmap of fixed size (4 MB) over hashed keys is broadcast, so the other rows are not shuffled.
+    Few rows are let through in vain while the keys are far fewer than ``bits``.
+    """
+    def slot() -> Column:
+        return F.pmod(F.xxhash64(*names), F.lit(bits)) + 1
+
+    pages = keys.groupBy(F.bitmap_bucket_number(slot()).alias("__page")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot())).alias("__bits"))
+    at = F.bitmap_bit_position(slot())
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("long")
+    joined = rows.join(F.broadcast(pages), F.bitmap_bucket_number(slot()) == F.col("__page"), "left")
+    held = F.coalesce(F.floor(byte / F.pow(F.lit(2), F.pmod(at, F.lit(8)))) % 2 == 1, F.lit(False))
+    return joined.filter(held).drop("__page", "__bits"), joined.filter(~held).drop("__page", "__bits")
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Rows are whole texts here: hand them to Python workers a thousand at a time unless the session says otherwise."""
+    """Rows are whole texts here: hand them to Python workers a thousand at a time unless the session says otherwise.
+
+    The setting belongs to the session and is read when a query runs, so it stays for the session's later queries.
+    """
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
 
@@ -60,7 +89,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         small = (large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(least.select("a", F.col("m").alias("b")))
                  .filter(F.col("a") != F.col("b")).distinct())
-        edges = stored(small, "edges")
+        edges, before = stored(small, "edges"), edges
+        discard(before)
         now = edges.agg(F.count("*").alias("n"), F.sum(F.hash("a", "b").cast("decimal(20,0)")).alias("h")).first()
         if now == state:
             break

@@ -10,8 +10,8 @@ documents link when 100 * |both| >= percent * |either|.
    two linked documents share a shingle in their prefixes of |set| - ceil(percent |set| / 100) + 1. Passages that many documents
    share are frequent and leave the prefixes; shingles of one document alone make no candidates and are never looked up.
 3. Documents with equal prefix and size collapse into one group. The groups that share a prefix shingle and a size class (each
-   group also counts for the next class, so that all sizes within the bound meet) form a list. Lists of a few members are paired
-   directly and their members verified on whole sets.
+   group also counts for the next class, so that all sizes within the bound meet) form a list. The groups of a list of a few members
+   are paired, kept if sizes and the place of the first shared shingle leave room for a link, then expanded, and members are verified on whole sets.
 4. In a longer list every member is verified against one pivot p only, which also gives its new shingles (not in p) and the number
    of missing ones (only in p). New shingles that more than half of a pivot's members have are what p itself lacks of their common
    text, so they are counted to the pivot. Two members of which one does not link to p can then link only if they share one of
@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulseframe.llm import kernel
-from pulseframe.llm.common import components, stored
+from pulseframe.llm.common import components, discard, perhaps_among, stored
 
 
 @dataclass(frozen=True)
@@ -127,6 +127,13 @@ def compared(pairs: DataFrame, texts: DataFrame, params: JoinParams) -> DataFram
     return found.select(*pairs.columns, "j.*")
 
 
+def join_star(points: DataFrame, pivots: DataFrame, how: str = "inner", salts: int = 16) -> DataFrame:
+    """Join on the pivot ``p``, which may have very many points: they are dealt by a salt, and the one row of a pivot is repeated for each."""
+    dealt = points.withColumn("__salt", F.pmod(F.xxhash64("id" if "id" in points.columns else "element"), F.lit(salts)))
+    repeated = pivots.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return dealt.join(repeated, ["p", "__salt"], how).drop("__salt")
+
+
 def jaccard_components(docs: DataFrame, params: JoinParams = JoinParams(), id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles long, component_id long (the smallest doc_id reachable by links)."""
     sets = stored(set_rows(docs, params, id_col, text), "ngram-sets")
@@ -141,24 +148,35 @@ def jaccard_components(docs: DataFrame, params: JoinParams = JoinParams(), id_co
 
     # Sizes within the bound are at most one class apart.
     size_class = F.floor(F.log("n") / F.lit(-math.log(params.percent / 100) * (1 + 1e-9)))
-    entries = members.filter("id = gid").select("gid", "n", "members", F.explode("prefix").alias("token"), size_class.alias("home"))
+    entries = members.filter("id = gid").select("gid", "n", "members", F.posexplode("prefix").alias("place", "token"), size_class.alias("home"))
     entries = entries.withColumn("slot", F.explode(F.array("home", F.col("home") + 1)))
     at_home = F.col("home") == F.col("slot")
     lists = entries.groupBy("token", "slot").agg(
         F.sum("members").alias("size"), F.min_by("gid", F.when(at_home, F.xxhash64("gid"))).alias("pivot")).filter("size > 1 AND pivot IS NOT NULL")
-    placed = stored(entries.select("token", "slot", "gid", "n").join(lists, ["token", "slot"]), "ngram-lists")
+    placed = stored(entries.select("token", "slot", "gid", "n", "place", "members").join(lists, ["token", "slot"]), "ngram-lists")
 
     own = members.select("id", "gid", "n")
-    short = placed.filter(F.col("size") <= params.direct).select("token", "slot", "gid").join(own, "gid")
+    # Groups are paired and filtered by size and by the place of their first shared shingle; only then do members stand in for them.
+    short = placed.filter(F.col("size") <= params.direct)
     x, y = short.alias("x"), short.alias("y")
-    direct = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.slot") == F.col("y.slot")) & (F.col("x.id") > F.col("y.id")) & fits("x.n", "y.n"))
-    direct = direct.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.slot") == F.col("y.slot")) & (F.col("x.gid") > F.col("y.gid")) & fits("x.n", "y.n"))
+    met = met.groupBy(F.col("x.gid").alias("ga"), F.col("y.gid").alias("gb"), F.col("x.n").alias("na"), F.col("y.n").alias("nb")).agg(
+        F.min("x.place").alias("i"), F.min("y.place").alias("j"))
+    room = F.least(F.col("na") - F.col("i"), F.col("nb") - F.col("j"))
+    met = met.filter((100 + params.percent) * room >= params.percent * (F.col("na") + F.col("nb"))).select("ga", "gb")
+    met = met.unionByName(short.filter("members > 1").select(F.col("gid").alias("ga"), F.col("gid").alias("gb")).distinct())
+    one, two = own.select(F.col("gid").alias("ga"), F.col("id").alias("x")), own.select(F.col("gid").alias("gb"), F.col("id").alias("y"))
+    direct = met.join(one, "ga").join(two, "gb").filter((F.col("ga") != F.col("gb")) | (F.col("x") > F.col("y")))
+    direct = direct.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
     stars = placed.filter(F.col("size") > params.direct).select("gid", "pivot").distinct().join(own.select("id", "gid"), "gid")
     stars = stars.filter("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
     pairs = stored(stars.withColumn("star", F.lit(True)).unionByName(direct.distinct().withColumn("star", F.lit(False))), "ngram-pairs")
 
     wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = stored(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).join(wanted, "id", "left_semi"), "ngram-texts")
+    wanted = stored(wanted, "ngram-wanted")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
+    texts = stored(perhaps_among(texts, wanted, "id")[0].join(wanted, "id", "left_semi"), "ngram-texts")
+    discard(heads, members, placed, wanted)
     seen = compared(pairs, texts, params)
     seen = stored(seen.withColumn("head", F.when(F.col("star"), F.col("head"))), "ngram-compared")
     links = seen.filter("linked").select("a", "b")
@@ -184,13 +202,14 @@ def jaccard_components(docs: DataFrame, params: JoinParams = JoinParams(), id_co
     outside = F.floor(F.col("n") * (100 - params.percent) / 100) + 1
     elements = member.select("id", "p", F.explode("head").alias("element"))
     stars = member.groupBy("p").agg(F.count(F.lit(1)).alias("star"))
-    counts = stored(elements.groupBy("p", "element").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").join(stars, "p")
+    counts = stored(join_star(elements.groupBy("p", "element").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"), stars)
                     .select("p", "element", "k", (2 * F.col("k") > F.col("star")).alias("common")), "ngram-common")
     added = counts.filter("common").groupBy("p").agg(F.count(F.lit(1)).alias("added"))
     marked = elements.join(counts, ["p", "element"], "left")
     rest = F.array_sort(F.collect_list(F.when(~F.coalesce("common", F.lit(False)), F.struct(F.coalesce("k", F.lit(1)).alias("k"), "element"))))
     own_new = marked.groupBy("id", "p").agg(F.count_if("common").alias("had"), F.transform(rest, lambda r: r["element"]).alias("rest"))
-    member = (member.drop("head").join(own_new, ["id", "p"], "left").join(added, "p", "left")
+    starred = member
+    member = (join_star(member.drop("head").join(own_new, ["id", "p"], "left"), added, "left")
               .withColumns({"had": F.coalesce("had", F.lit(0)), "added": F.coalesce("added", F.lit(0))}))
     member = stored(member.select(
         "id", "p", "linked", "n", "component", (F.col("new") - F.col("had")).alias("new"),
@@ -200,15 +219,17 @@ def jaccard_components(docs: DataFrame, params: JoinParams = JoinParams(), id_co
     # The member nearest to the common text links more of a star than the pivot can: one more star around it.
     allowed = F.col("n") * (100 - params.percent) / (100 + params.percent)
     hubs = member.groupBy("p").agg(F.min_by(F.struct("id", "n", "component"), F.struct("new", "missing", "id")).alias("hub"))
-    spokes = member.filter(F.col("new") <= 2 * allowed * 100 / params.percent).join(hubs, "p").filter(
+    spokes = join_star(member.filter(F.col("new") <= 2 * allowed * 100 / params.percent), hubs).filter(
         (F.col("id") != F.col("hub.id")) & (F.col("component") != F.col("hub.component"))).select(
         F.greatest("id", "hub.id").alias("a"), F.least("id", "hub.id").alias("b")).distinct()
     spokes = spokes.join(seen.select("a", "b"), ["a", "b"], "left_anti")
     seen_hubs = stored(compared(spokes, texts, params).select("a", "b", "linked"), "ngram-hubs")
     links = stored(links.unionByName(seen_hubs.filter("linked").select("a", "b")), "ngram-links")
     found = components(links)
+    counted = member
     member = stored(member.drop("component").join(found.withColumnRenamed("node", "id"), "id", "left").withColumn(
         "component", F.coalesce("component", "id")), "ngram-stars")
+    discard(starred, counted, counts)
     seen = seen.select("a", "b").unionByName(seen_hubs.select("a", "b"))
 
     heads = member.select("id", "p", "linked", "n", "component", F.explode("head").alias("element"))
@@ -228,6 +249,7 @@ def jaccard_components(docs: DataFrame, params: JoinParams = JoinParams(), id_co
     by_count = first.join(other, ["p", *[f"other_{c}" for c in shape]]).filter("a > b AND component_a <> component_b").select("a", "b")
     more = by_new.unionByName(by_count).distinct().join(seen.select("a", "b"), ["a", "b"], "left_anti")
     late = stored(compared(more, texts, params).filter("linked").select("a", "b"), "ngram-links")
+    discard(texts, member, pairs)
     if not late.isEmpty():
         found = components(links.unionByName(late))
 
