@@ -21,7 +21,7 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _remainder(n: int) -> Column:
-    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(n))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,9 +60,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"))
-    return out.select("doc_id", "n_tokens", F.sha2("ids_text", 256).alias("ids_sha256"),
-                      F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"), results=("ids_sha256", "decoded_sha256")).drop("text")
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,9 +127,10 @@ OP4_SQL = """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS li
 t AS (SELECT *, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS body FROM l),
 n AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k FROM t WHERE body <> ''),
 w AS (SELECT doc_id, k, body AS x, lead(body) OVER (PARTITION BY doc_id ORDER BY k) AS y, lead(body, 2) OVER (PARTITION BY doc_id ORDER BY k) AS z FROM n),
-f AS (SELECT *, row_number() OVER (PARTITION BY x, y, z ORDER BY doc_id, k) AS r, count(*) OVER (PARTITION BY x, y, z) AS c FROM w WHERE z IS NOT NULL),
+f AS (SELECT *, row_number() OVER v AS r, first_value(doc_id) OVER v AS first_doc, first_value(k) OVER v AS first_k FROM w WHERE z IS NOT NULL
+  WINDOW v AS (PARTITION BY x, y, z ORDER BY doc_id, k)),
 o AS (SELECT * FROM (VALUES (0), (1), (2)) AS v(o)),
-gone AS (SELECT doc_id, k + o AS k FROM f, o WHERE c > 1 GROUP BY doc_id, k + o HAVING max(CASE WHEN r > 1 THEN 1 ELSE 0 END) = 1 AND max(CASE WHEN r = 1 THEN 1 ELSE 0 END) = 0),
+gone AS (SELECT DISTINCT doc_id, k + o AS k FROM f, o WHERE r > 1 AND NOT (doc_id = first_doc AND k + o BETWEEN first_k AND first_k + 2)),
 m AS (SELECT t.doc_id, t.pos, t.line, n.k, g.k IS NOT NULL AS gone FROM t LEFT JOIN n ON n.doc_id = t.doc_id AND n.pos = t.pos
   LEFT JOIN gone g ON g.doc_id = n.doc_id AND g.k = n.k)
 SELECT d.doc_id, count(m.k) AS n_lines, count(*) FILTER (m.gone) AS n_removed,

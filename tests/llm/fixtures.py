@@ -54,25 +54,23 @@ def jaccard_groups(rows, n, percent):
 
 def dedup_lines(rows, width=3):
     """doc_id -> text, by plain loops over (doc_id, text) in order."""
-    seen, first, later = {}, {}, {}
-    body = {}
+    seen, gone, body = {}, {}, {}
     for i, text in sorted(rows):
         lines = [x.strip(" \t\n\r\x0b\x0c") for x in (text or "").split("\n")]
         body[i] = [x for x in lines if x]
         for k in range(len(body[i]) - width + 1):
             seen.setdefault(tuple(body[i][k : k + width]), []).append((i, k))
     for places in seen.values():
-        if len(places) > 1:
-            i, k = places[0]
-            first.setdefault(i, set()).update(range(k, k + width))
-            for i, k in places[1:]:
-                later.setdefault(i, set()).update(range(k, k + width))
+        first, at = places[0]
+        for i, k in places[1:]:
+            own = set(range(at, at + width)) if i == first else set()
+            gone.setdefault(i, set()).update(set(range(k, k + width)) - own)
     out = {}
     for i, text in rows:
-        gone, kept, number = later.get(i, set()) - first.get(i, set()), [], 0
+        kept, number = [], 0
         for line in (text or "").split("\n"):
             if line.strip(" \t\n\r\x0b\x0c"):
-                if number not in gone:
+                if number not in gone.get(i, ()):
                     kept.append(line)
                 number += 1
             else:
