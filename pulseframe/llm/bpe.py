@@ -14,6 +14,7 @@ like a result is replaced by it.
 from __future__ import annotations
 
 import functools
+import hashlib
 import heapq
 import json
 import re
@@ -28,8 +29,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_REMEMBERED, _LONGEST_REMEMBERED = 120_000, 64
-_SLICE_CHARS = 2_500_000
+# An entry takes some 400 bytes, so each table of a worker stays under 20 MB.
+_REMEMBERED, _LONGEST_REMEMBERED = 40_000, 64
+_SLICE_CHARS = 1_000_000
 _ID_BITS = 20
 
 
@@ -262,11 +264,23 @@ def loaded(path: str) -> PairIndexBpe:
     return _loaded[path]
 
 
-def encode_decode(df: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
-    """Add n_tokens long, ids array<int>, ids_text (the ids joined by spaces) and decoded. ``vocabulary`` is a path every executor has."""
+_RESULTS = {"ids": T.ArrayType(T.IntegerType()), **dict.fromkeys(("ids_text", "decoded", "ids_sha256", "decoded_sha256"), T.StringType())}
 
-    new = T.StructType().add("n_tokens", "long").add("ids_text", "string").add("decoded", "string")
-    kept = [c for c in df.columns if c not in (*new.names, "ids")]
+
+def encode_decode(df: DataFrame, vocabulary: str, text: str = "text", results: Sequence[str] = ("ids", "ids_text", "decoded")) -> DataFrame:
+    """Add n_tokens long and the named results. ``vocabulary`` is a path every executor has.
+
+    ``ids`` are the token ids, ``ids_text`` the same joined by spaces, ``decoded`` the text read back; ``ids_sha256`` and
+    ``decoded_sha256`` are the lower-case hex digests of the latter two, made in the worker so that the texts need not leave it.
+    """
+    new = T.StructType().add("n_tokens", "long")
+    for name in results:
+        new = new.add(name, _RESULTS[name])
+    kept = [c for c in df.columns if c not in ("n_tokens", *_RESULTS)]
+    make = {"ids": lambda ids, _: np.fromstring(ids, np.int32, sep=" ") if ids else np.zeros(0, np.int32), "ids_text": lambda ids, _: ids,
+            "decoded": lambda _, decoded: decoded, "ids_sha256": lambda ids, _: hashlib.sha256(ids.encode()).hexdigest(),
+            "decoded_sha256": lambda _, decoded: hashlib.sha256(decoded.encode("utf-8", "surrogatepass")).hexdigest()}
+    kinds = {"ids": pa.list_(pa.int32())}
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(vocabulary)
@@ -274,12 +288,16 @@ def encode_decode(df: DataFrame, vocabulary: str, text: str = "text") -> DataFra
             sizes = pc.fill_null(pc.binary_length(batch.column(batch.num_columns - 1)), 0).to_pylist()
             for first, size in runs(sizes):
                 part = batch.slice(first, size)
-                n, ids, decoded = zip(*bpe.encode(part.column(part.num_columns - 1).to_pylist()))
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
-                    names=[*part.schema.names[:-1], *new.names])
+                counts, found = [], [[] for _ in results]
+                for n, ids, decoded in bpe.encode(part.column(part.num_columns - 1).to_pylist()):
+                    counts.append(n)
+                    for name, values in zip(results, found):
+                        values.append(make[name](ids, decoded))
+                arrays = [pa.array(values, kinds.get(name, pa.string())) for name, values in zip(results, found)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(counts, pa.int64()), *arrays], names=[*part.schema.names[:-1], *new.names])
+        # The worker is used again by other stages: it keeps the vocabulary only.
+        bpe.forget()
+        pa.default_memory_pool().release_unused()
 
     schema = T.StructType([*(df.schema[c] for c in kept), *new])
-    out = df.select(*kept, F.col(text).alias("__text")).mapInArrow(encoded, schema)
-    ids = F.when(F.col("ids_text") == "", F.array().cast("array<int>")).otherwise(F.split("ids_text", " ").cast("array<int>"))
-    return out.withColumn("ids", ids)
+    return df.select(*kept, F.col(text).alias("__text")).mapInArrow(encoded, schema)

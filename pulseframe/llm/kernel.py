@@ -12,6 +12,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 
 SLICE_BYTES = 1 << 21
+_BLOCK = 1 << 18
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _INVERSE = pow(_MULTIPLIER, -1, 1 << 64)
 _BYTE_VALUES = np.random.RandomState(20260101).randint(1, 2**63 - 1, 256, dtype=np.int64).astype(np.uint64)
@@ -36,10 +37,10 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _powers_of(base: int, length: int) -> np.ndarray:
     have = _powers.get(base)
     if have is None or len(have) < length:
-        values = np.full(max(length, SLICE_BYTES + 4096), base, np.uint64)
+        values = np.full(max(length, 2 * _BLOCK), base, np.uint64)
         values[0] = 1
         have = np.multiply.accumulate(values)
-        if length <= 4 * SLICE_BYTES:
+        if length <= 2 * _BLOCK:
             _powers[base] = have
     return have[:length]
 
@@ -67,13 +68,26 @@ def joined(run: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def span_hashes(data: np.ndarray, counted: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of each span [begin, end) over its counted bytes."""
-    values = _BYTE_VALUES[data]
-    values[~counted] = 0
-    values *= _powers_of(_MULTIPLIER, len(data))
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(values, out=total[1:])
-    return mix((total[end] - total[begin]) * _powers_of(_INVERSE, len(data) + 1)[begin] + (end - begin).astype(np.uint64))
+    """Hash of each span [begin, end) over its counted bytes; the spans come in order of their begin.
+
+    Spans are taken block by block with positions from the block's start, so the tables of powers stay small; only a
+    span longer than a block needs, and then drops, larger ones.
+    """
+    out = np.empty(len(begin), np.uint64)
+    at = 0
+    while at < len(begin):
+        low = int(begin[at])
+        stop = int(np.searchsorted(begin, low + _BLOCK))
+        b, e = begin[at:stop] - low, end[at:stop] - low
+        high = int(e.max())
+        values = _BYTE_VALUES[data[low : low + high]]
+        values[~counted[low : low + high]] = 0
+        values *= _powers_of(_MULTIPLIER, high)
+        total = np.zeros(high + 1, np.uint64)
+        np.cumsum(values, out=total[1:])
+        out[at:stop] = mix((total[e] - total[b]) * _powers_of(_INVERSE, high + 1)[b] + (e - b).astype(np.uint64))
+        at = stop
+    return out
 
 
 def words(run: list[bytes], lower: bool = True, separators: np.ndarray = _SPACES) -> tuple[np.ndarray, np.ndarray]:
@@ -118,7 +132,3 @@ def shingles(hashes: np.ndarray, n: int) -> np.ndarray:
     for i in range(width):
         out = mix(out * np.uint64(0xD6E8FEB86659FD93) + hashes[i : len(out) + i])
     return np.unique(out)
-
-
-def lines(data: bytes) -> list[bytes]:
-    return data.split(b"\n")

@@ -56,5 +56,5 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with digests of the ids and of the decoded text."""
     small_batches(spark)
-    out = bpe.encode_decode(docs.select("doc_id", "text"), public_tokenizers.path(VOCABULARY))
-    return out.select("doc_id", "n_tokens", "ids", F.sha2("ids_text", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    out = bpe.encode_decode(docs.select("doc_id", "text"), public_tokenizers.path(VOCABULARY), results=("ids", "ids_sha256", "decoded_sha256"))
+    return out.select("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256")
