@@ -30,6 +30,7 @@ from pulseframe.llm.common import stored
 
 Q = 8
 _HASH, _BITS = np.uint64(0x9E3779B97F4A7C15), 22
+_PIECE = 500_000  # expanded hits held at once
 
 
 @dataclass(frozen=True)
@@ -89,6 +90,8 @@ class ItemIndex:
         for doc, item, band in self.regions(data, starts):
             m, k = int(self.size[item]), int(self.budget[item])
             low, high = int(starts[doc]), int(starts[doc + 1])
+            if best.get((doc, item), (1, 0))[0] == 0:  # bands come in order: no later region is better
+                continue
             begin = max(low, band * (k + 1))
             end = min(high, (band + 2) * (k + 1) + m + k)
             edits = alignment(self.items[item], data[begin:end], k)
@@ -116,16 +119,20 @@ class ItemIndex:
         whole = here + Q <= starts[doc + 1]
         here, place, doc = here[whole], place[whole], doc[whole]
         times = self.first[place + 1] - self.first[place]
-        spread = np.repeat(np.arange(len(here)), times)
-        entry = np.arange(len(spread)) - np.repeat(np.cumsum(times) - times, times) + np.repeat(self.first[place], times)
-        item = self.item[entry]
-        diagonal = here[spread] - self.at[entry]
-        step = self.budget[item] + 1
-        band = diagonal // step  # the band that starts here and the one before it hold the diagonal
-        offset = int(-band.min(initial=0)) + 1
-        width = int(band.max(initial=0)) + offset + 1
-        group = (item * len(starts) + doc[spread]) * width + band + offset
-        keys, counts = np.unique(group, return_counts=True)
+        offset = int(self.size.max()) + 1
+        width = len(data) + offset + 2
+        # Hits are expanded in pieces of bounded size and counted per band, so a text of one repeated q-gram costs its bands only.
+        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        cuts = np.flatnonzero(np.diff(np.cumsum(times) // _PIECE, prepend=0)) if len(times) else []
+        for a, b in zip([0, *cuts], [*cuts, len(here)]):
+            spread = np.repeat(np.arange(a, b), times[a:b])
+            entry = np.arange(len(spread)) - np.repeat(np.cumsum(times[a:b]) - times[a:b], times[a:b]) + np.repeat(self.first[place[a:b]], times[a:b])
+            item = self.item[entry]
+            # The band that starts here and the one before it hold the diagonal.
+            band = (here[spread] - self.at[entry]) // (self.budget[item] + 1)
+            more, n = np.unique((item * len(starts) + doc[spread]) * width + band + offset, return_counts=True)
+            keys, back = np.unique(np.concatenate([keys, more]), return_inverse=True)
+            counts = np.bincount(back, weights=np.concatenate([counts, n]), minlength=len(keys)).astype(np.int64)
         both, place = np.unique(np.concatenate([keys, keys - 1]), return_inverse=True)
         total = np.bincount(place, weights=np.concatenate([counts, counts]), minlength=len(both)).astype(np.int64)
         owner = both // width

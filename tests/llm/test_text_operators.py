@@ -203,3 +203,14 @@ def test_one_of_each_group_with_repeated_rows(spark):
     assert set(got.columns) == {"doc_id", "text", *EXTRA}
     assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted(
         [(5, a), (None, b), (3, c), (7, d), (8, e), (9, None), (10, ""), (11, "")], key=str)
+
+
+def test_very_long_repetitive_text():
+    """One repeated q-gram over five megabytes: bounded memory, and the item is found where it first stands."""
+    import resource
+
+    index = decontaminate.ItemIndex((b"na" * 200, b"nananana something else entirely " * 4), 0.08)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    found = index.matches([b"x " + b"na" * 2_500_000])
+    assert [(doc, item, edits) for doc, item, edits, _ in found] == [(0, 0, 0)]
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1_000_000  # kB
