@@ -138,7 +138,9 @@ def model_of(sums: np.ndarray, params: QualityParams) -> QualityModel:
         mean = s[1 : 1 + width] / max(s[0], 1)
         return mean, s[1 + width :].reshape(width, width) / max(s[0], 1) - np.outer(mean, mean)
 
-    pooled_mean, pooled = parts(sums.sum(axis=0))
+    # The mean of the class covariances by their counts: the distance between the classes is no part of it.
+    pooled_mean = parts(sums.sum(axis=0))[0]
+    pooled = sum(s[0] * parts(s)[1] for s in sums) / max(sums[:, 0].sum(), 1)
     means, factors, dets = [], [], []
     for s in sums:
         mean, cov = parts(s) if s[0] else (pooled_mean, pooled)
@@ -154,7 +156,9 @@ def model_of(sums: np.ndarray, params: QualityParams) -> QualityModel:
 
 def log_density_difference(model: QualityModel, x: np.ndarray) -> np.ndarray:
     def density(c: int) -> np.ndarray:
-        away = np.linalg.solve(model.factors[c], (x - model.means[c]).T)
+        factor, away = model.factors[c], (x - model.means[c]).T
+        for i in range(len(factor)):  # forward substitution
+            away[i] = (away[i] - factor[i, :i] @ away[:i]) / factor[i, i]
         return -0.5 * ((away**2).sum(axis=0) + model.log_dets[c])
 
     return density(1) - density(0) + model.log_odds

@@ -307,3 +307,22 @@ def test_multi_index_odd_rows(spark):
         10: (1, 10, True), 11: (1, 10, False), 12: (4, 7, False), 13: (0, 13, True), 14: (1, 14, True), 15: (1, 14, False)}
     assert [(r["n_links"], r["component_id"]) for r in got if r["vec_id"] is None] == [(4, None)]
     assert multi_index.near_duplicates(documents(spark, vectors, "vec_id long, embedding array<double>").limit(0)).count() == 0
+
+
+def test_quality_model_equals_loops():
+    """Shrunk class covariances around the class means, densities by the textbook formula."""
+    rng = np.random.RandomState(3)
+    width = len(quality.NAMES)
+    x = [rng.normal(size=(n, width)) * 3 + shift for n, shift in ((40, 0.0), (70, 2.0))]
+    sums = np.array([np.concatenate([[len(v)], v.sum(axis=0), (v.T @ v).ravel()]) for v in x])
+    params = quality.QualityParams()
+    model = quality.model_of(sums, params)
+    covs = [np.cov(v.T, bias=True) for v in x]
+    pooled = (40 * covs[0] + 70 * covs[1]) / 110
+    point, want = rng.normal(size=(5, width)), np.zeros(5)
+    for sign, v, cov in ((-1, x[0], covs[0]), (1, x[1], covs[1])):
+        cov = (1 - params.shrink_pooled) * cov + params.shrink_pooled * pooled
+        cov = (1 - params.shrink_diagonal) * cov + params.shrink_diagonal * np.diag(np.diag(cov)) + params.floor * np.eye(width)
+        away = point - v.mean(axis=0)
+        want += sign * -0.5 * (np.einsum("ij,jk,ik->i", away, np.linalg.inv(cov), away) + np.linalg.slogdet(cov)[1])
+    assert np.allclose(quality.log_density_difference(model, point), want + np.log(70.5 / 40.5), rtol=1e-8)
