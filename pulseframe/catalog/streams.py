@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulseframe import fixtures as fx
 from pulseframe.catalog.base import EVENTS, SAMPLES, SIZE_US, STRIDE_US, Query, kinds
 from pulseframe.catalog.modelling import _model
 from pulseframe.catalog.telemetry import telemetry_documents, uuid_sql
 from pulseframe.params import FeatureToggles, RunParams
+from pulseframe.sources.documents import stream_documents
+from pulseframe.streaming import sinks
 from pulseframe.streaming import streams as st
 
 _DELAY = "10 minutes"
-# Events shifted by ten years are set aside; the table itself ends before this day.
-_NOW = "2025-01-01"
-_PLAUSIBLE = "<= TIMESTAMP '2025-01-02'"
+# Events shifted by ten years are set aside: the clock stands at the table's last event.
+_PLAUSIBLE = "<= (SELECT max(ts) FROM events) + INTERVAL 1 DAY"
 _EVENT = ["event_id", "session_id", "device_id", "user_id", "detected_at"]
 _SUMMED = "hr_mean hr_std hr_min hr_max hr_slope_bpm_per_min ibi_available ibi_coverage_ratio skin_temp_mean quality_good_ratio quality_fair_ratio quality_poor_ratio valid_sample_ratio window_duration_seconds sample_count"
 
@@ -31,6 +33,37 @@ def _events(spark, sf_dir):
     return fx.event_stream(spark, sf_dir)
 
 
+def _now(spark, sf_dir):
+    return F.lit(fx.table(spark, sf_dir, "events").agg(F.max(F.col("ts").cast("timestamp"))).first()[0])
+
+
+def _routed(spark, sf_dir, split, stream, reasons):
+    base = fx.scratch(spark)
+    return sinks.route(stream, split, f"{base}/sinks", f"{base}/progress", reasons)
+
+
+def _aside(spark, sf_dir):
+    """Every input row, with the sink that it went to."""
+    stream = fx.suspected(spark, sf_dir, _events(spark, sf_dir)).select(*_EVENT)
+    out = _routed(spark, sf_dir, sinks.split_events(now=_now(spark, sf_dir)), stream, {"set_aside": ["from_the_future"]})
+    aside = T.StructType([*stream.schema, T.StructField("reason", T.StringType())])
+    return out.part(spark, "kept", stream.schema).withColumn("reason", F.lit(None).cast("string")).unionByName(out.part(spark, "set_aside", aside))
+
+
+def _quarantine(spark, sf_dir):
+    return _document_sinks(spark, sf_dir).part(spark, "quarantine", T.StructType().add("doc_id", "string").add("kind", "string").add("reason", "string"))
+
+
+def _document_sinks(spark, sf_dir):
+    base = fx.scratch(spark)
+    telemetry_documents(spark, sf_dir).write.text(base)
+    return _routed(spark, sf_dir, sinks.split_samples(), stream_documents(spark, base, "telemetry", 2), {"quarantine": sinks.REJECTED})
+
+
+def _ledger(spark, sf_dir):
+    return _document_sinks(spark, sf_dir).ledger(spark).groupBy("sink", "reason").agg(F.sum("n").alias("n"))
+
+
 def _samples(spark, sf_dir):
     return fx.samples(spark, sf_dir, _events(spark, sf_dir)).withWatermark("timestamp", _DELAY)
 
@@ -42,11 +75,14 @@ def _documents(spark, sf_dir):
 
 
 def _dedup(spark, sf_dir):
-    return _finish(spark, st.dedup_events_stream(fx.suspected(spark, sf_dir, _events(spark, sf_dir)), now=F.lit(_NOW).cast("timestamp")).select("event_id"))
+    """Each kept event once, and the rows set aside."""
+    kept = _finish(spark, st.dedup_events_stream(fx.suspected(spark, sf_dir, _events(spark, sf_dir)), now=_now(spark, sf_dir)).select("event_id"))
+    aside = _aside(spark, sf_dir).filter("reason IS NOT NULL").select("event_id", "reason")
+    return kept.withColumn("reason", F.lit(None).cast("string")).unionByName(aside)
 
 
 def _windows(spark, sf_dir):
-    events = st.dedup_events_stream(fx.decisions(spark, sf_dir, _events(spark, sf_dir)).select(*_EVENT), now=F.lit(_NOW).cast("timestamp"))
+    events = st.dedup_events_stream(fx.decisions(spark, sf_dir, _events(spark, sf_dir)).select(*_EVENT), now=_now(spark, sf_dir))
     return _finish(spark, st.event_windows_stream(_samples(spark, sf_dir), events, fx.EVENT_WINDOW).select("event_id", "timestamp"))
 
 
@@ -55,9 +91,9 @@ def _sliding(spark, sf_dir):
 
 
 def _linked(spark, sf_dir):
-    sus = st.dedup_events_stream(fx.suspected(spark, sf_dir, _events(spark, sf_dir)).select(*_EVENT), now=F.lit(_NOW).cast("timestamp"))
+    sus = st.dedup_events_stream(fx.suspected(spark, sf_dir, _events(spark, sf_dir)).select(*_EVENT), now=_now(spark, sf_dir))
     dec = fx.decisions(spark, sf_dir, _events(spark, sf_dir)).select("event_id", "responded_at", "response")
-    dec = st.dedup_events_stream(dec, time="responded_at", now=F.lit(_NOW).cast("timestamp"))
+    dec = st.dedup_events_stream(dec, time="responded_at", now=_now(spark, sf_dir))
     return _finish(spark, st.link_decisions_stream(sus, dec, 300).select("event_id", F.col("response").isNotNull().alias("answered")))
 
 
@@ -76,7 +112,15 @@ QUERIES = [
           kinds(s="batch_id user_id session_id quality_heart_rate", i="sequence", t="timestamp", d="heart_rate_bpm skin_temperature_celsius"),
           f"""WITH {SAMPLES} SELECT {uuid_sql('b', 'batch_id')} AS batch_id, {uuid_sql('u', 'user_id')} AS user_id, {uuid_sql('s', 'session_id')} AS session_id,
   quality_heart_rate, sequence, tm AS "timestamp", heart_rate_bpm, skin_temperature_celsius FROM samples WHERE CAST(session_id AS BIGINT) % 10 <> 0"""),
-    Query("stream_dedup_events", _dedup, kinds(s="event_id"), f"WITH {SAMPLES}, {EVENTS} SELECT DISTINCT event_id FROM suspected WHERE detected_at {_PLAUSIBLE}"),
+    Query("stream_dedup_events", _dedup, kinds(s="event_id reason"), f"WITH {SAMPLES}, {EVENTS} SELECT DISTINCT event_id, NULL AS reason FROM suspected WHERE detected_at {_PLAUSIBLE} "
+          f"UNION ALL SELECT event_id, 'from_the_future' FROM suspected WHERE NOT detected_at {_PLAUSIBLE}"),
+    Query("stream_set_aside", _aside, kinds(s="event_id session_id reason", t="detected_at"),
+          f"WITH {SAMPLES}, {EVENTS} SELECT event_id, session_id, detected_at, CASE WHEN NOT detected_at {_PLAUSIBLE} THEN 'from_the_future' END AS reason FROM suspected"),
+    Query("stream_quarantine", _quarantine, kinds(s="doc_id kind reason"),
+          f"WITH {SAMPLES}, b AS (SELECT DISTINCT batch_id, session_id FROM samples) SELECT 'not-a-uuid' AS doc_id, 'telemetry' AS kind, 'invalid_document' AS reason FROM b WHERE CAST(session_id AS BIGINT) % 10 = 0"),
+    Query("stream_ledger", _ledger, kinds(s="sink reason", i="n"),
+          f"WITH {SAMPLES}, b AS (SELECT DISTINCT batch_id, session_id FROM samples) SELECT 'samples' AS sink, NULL AS reason, count(*) AS n FROM samples WHERE CAST(session_id AS BIGINT) % 10 <> 0 "
+          "UNION ALL SELECT 'quarantine', 'invalid_document', count(*) FROM b WHERE CAST(session_id AS BIGINT) % 10 = 0"),
     Query("stream_event_windows", _windows, kinds(s="event_id", t="timestamp"),
           f"WITH {SAMPLES}, {EVENTS}, d AS (SELECT DISTINCT event_id, session_id, device_id, user_id, detected_at FROM decisions WHERE detected_at {_PLAUSIBLE}) SELECT d.event_id, s.tm AS \"timestamp\" FROM d JOIN samples s ON s.session_id = d.session_id AND s.device_id = d.device_id AND s.user_id = d.user_id AND s.tm BETWEEN d.detected_at - to_microseconds({SIZE_US}) AND d.detected_at"),
     Query("stream_sliding_features", _sliding, kinds(s="session_id", t="window_start window_end", i="n_samples", d=_SUMMED),

@@ -15,9 +15,9 @@ from tests.test_contracts import batch, decision, respell, sample, suspected
 
 PARAMS = RunParams(event_window=fx.EVENT_WINDOW)
 EXPECTED = {  # computed independently in SQL
-    "0.001": dict(kept=63, event_mismatch=9, missing_telemetry=8, insufficient_samples=16, unsupported_response=19,
+    "0.001": dict(kept=619, event_mismatch=9, missing_telemetry=8, insufficient_samples=148, unsupported_response=188,
                   missing_decision=26, duplicate_suspected_conflict=13, duplicate_decision_conflict=7),
-    "0.01": dict(kept=629, event_mismatch=80, missing_telemetry=71, insufficient_samples=157, unsupported_response=215,
+    "0.01": dict(kept=6008, event_mismatch=80, missing_telemetry=71, insufficient_samples=1535, unsupported_response=2029,
                  missing_decision=252, duplicate_suspected_conflict=130, duplicate_decision_conflict=72),
 }
 

@@ -46,7 +46,7 @@ def test_number_rows_is_exact(spark):
 @pytest.mark.parametrize("params", [CleanParams(), CleanParams(hr_fill_rows=3, temp_fill_rows=6, outlier_sigma=1.5)])
 def test_clean_is_the_same_when_split(spark, sf, params):
     s = fx.gappy_samples(spark, sf).withColumn("heart_rate_bpm", F.when(F.col("pos") % 4 != 0, F.col("heart_rate_bpm")))
-    same(cl.clean(s, params, scale=TINY).drop("ibi_ms", "ibi", "ibi_prev"), cl.clean(s, params, scale=WIDE).drop("ibi_ms", "ibi", "ibi_prev"), "session_id", "pos")
+    same(cl.clean(s, params, scale=TINY).drop("ibi_ms", "ibi", "ibi_prev"), cl.clean(s, params, scale=WIDE).drop("ibi_ms", "ibi", "ibi_prev"), "session_id", "batch_id", "pos")
 
 
 def test_windows_are_the_same_when_split(spark, sf):

@@ -151,3 +151,41 @@ def test_event_stream_keeps_ranges_parallel(spark, sf, tmp_path):
     assert [p.numInputRows for p in query.recentProgress if p.numInputRows] == ranges
     files = spark.read.json(f"{tmp_path}/progress/sources/0/*").filter("path IS NOT NULL").select("path", "batchId")
     assert all(r["count"] > 1 for r in files.groupBy("batchId").count().collect())
+
+
+def test_sinks_are_idempotent_by_batch(spark, tmp_path):
+    """A batch that is handed over again changes neither the sinks nor the ledger; all input rows are somewhere."""
+    from pyspark.sql import functions as F
+
+    from pulseframe.streaming import sinks
+
+    folder, now = f"{tmp_path}/sinks", F.timestamp_seconds(F.lit(1_700_000_000))
+    split = sinks.split_events(now=now)
+    rows = spark.range(20).select(F.col("id").cast("string").alias("event_id"), F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 20_000).alias("detected_at"))
+    def state():
+        out = sinks.Sinks(folder)
+        schema = "event_id string, detected_at timestamp"
+        return (sorted(r.event_id for r in out.part(spark, "kept", schema).collect()),
+                sorted((r.event_id, r.reason) for r in out.part(spark, "set_aside", f"{schema}, reason string").collect()),
+                sorted(map(tuple, out.ledger(spark).collect()), key=str))
+    assert state() == ([], [], [])
+    for batch, part in ((0, rows.filter("event_id < 10")), (1, rows.filter("event_id >= 10"))):
+        sinks.write_batch(split(part), {"set_aside": ["from_the_future"]}, folder, batch)
+    once = state()
+    assert len(once[0]) + len(once[1]) == 20 and len(once[1]) == 15
+    assert once[2] == [("kept", None, 5, 0), ("set_aside", "from_the_future", 5, 0), ("set_aside", "from_the_future", 10, 1)]
+    sinks.write_batch(split(rows.filter("event_id >= 10")), {"set_aside": ["from_the_future"]}, folder, 1)
+    assert state() == once
+
+
+def test_entry_without_a_package_that_only_llm_needs(monkeypatch):
+    import importlib
+
+    import __spark_entry__ as contract
+
+    def broken(name):
+        raise ModuleNotFoundError(f"No module named 'elsewhere'", name="elsewhere")
+
+    monkeypatch.setattr(importlib, "import_module", broken)
+    with pytest.warns(UserWarning, match="elsewhere"):
+        assert contract._optional("pulseframe.llm.queries") is None
