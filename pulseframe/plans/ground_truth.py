@@ -8,16 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulseframe.functions.columns import micros
-from pulseframe.functions.scale import hot_keys
-from pulseframe.operators.clean import clean, with_ibi
 from pulseframe.operators.contracts import normalize_documents
-from pulseframe.operators.features import window_features
+from pulseframe.operators.event_panes import event_pane_features
 from pulseframe.operators.flatten import flatten_batches
 from pulseframe.operators.labels import (
     TARGET, apply_label_policy, attach_suspected, conflict_rows, dedup_events, event_metadata, missing_decision,
     suspected_matches,
 )
-from pulseframe.operators.windows import event_gate_reason, event_windows
+from pulseframe.operators.windows import event_gate_reason
 from pulseframe.params import EventWindowParams, RunParams, ScaleParams
 from pulseframe.session import cut_lineage
 
@@ -50,16 +48,10 @@ def event_features(samples: DataFrame, events: DataFrame, params: RunParams = Ru
                    scale: ScaleParams = ScaleParams(), as_of: Column | None = None) -> DataFrame:
     """Per event with at least one sample: raw row count, raw HR share, then features of the cleaned window.
 
-    Each window is cleaned alone, so nothing after T can leak in. The matched samples, a small part of the
-    telemetry, are checkpointed: they are counted per event before one exchange on the event id serves cleaning
-    and aggregation. The gate reads the raw values, before any fill.
+    Each window is cleaned alone, so nothing after T can leak in. The gate reads the raw values, before any fill. Windows are
+    put together from panes (:mod:`pulseframe.operators.event_panes`), so no row is made for an event and a sample.
     """
-    windowed = event_windows(near_events(samples, events, params.event_window), events, params.event_window)
-    windowed = cut_lineage(with_ibi(windowed).drop("ibi_ms", "batch_id", "user_id", "window_end"))
-    raw = windowed.withColumn("__has_hr", F.col("heart_rate_bpm").isNotNull())
-    cleaned = clean(raw, params.clean, "event_id", scale, hot_keys(windowed, ["event_id"], scale))
-    gate = [F.count(F.lit(1)).alias("n_samples"), F.avg(F.when(F.col("__has_hr"), 1.0).otherwise(0.0)).alias("hr_ratio")]
-    return window_features(cleaned, ["event_id", "window_start"], params.features, as_of=as_of, extra=gate).drop("window_start")
+    return event_pane_features(near_events(samples, events, params.event_window), events, params, scale, as_of)
 
 
 def judge_decisions(samples: DataFrame, suspected: DataFrame, decisions: DataFrame, params: RunParams = RunParams(),
