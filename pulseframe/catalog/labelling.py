@@ -188,9 +188,9 @@ QUERIES = [
           f"WITH {TRUTH}, long AS ({_UNPIVOT}) SELECT feature, count(*) - count(value) AS n_missing, (count(*) - count(value)) / count(*) AS missing_ratio, (count(*) - count(value)) / count(*) > 0.001 AS flagged FROM long GROUP BY feature"),
     Query("qa_ibi_coverage", lambda s, d: qa.ibi_coverage(dataset(s, d)), kinds(i="n_no_ibi", d="ibi_available_mean ibi_coverage_ratio_mean"),
           f"WITH {TRUTH} SELECT count(*) FILTER (ibi_available = 0) AS n_no_ibi, avg(ibi_available) AS ibi_available_mean, avg(ibi_coverage_ratio) AS ibi_coverage_ratio_mean FROM ds"),
-    Query("qa_samples_per_window", lambda s, d: qa.samples_per_window(dataset(s, d)), _STATS,
+    Query("qa_samples_per_window", lambda s, d: qa.samples_per_window(stored(s, d).dataset), _STATS,
           f"WITH {TRUTH}, long AS (SELECT 'sample_count' AS feature, CAST(sample_count AS DOUBLE) AS value FROM ds) {_DESCRIBE}"),
-    Query("qa_describe", lambda s, d: qa.describe_features(dataset(s, d)), _STATS, f"WITH {TRUTH}, long AS ({_UNPIVOT}) {_DESCRIBE}"),
+    Query("qa_describe", lambda s, d: qa.describe_features(stored(s, d).dataset), _STATS, f"WITH {TRUTH}, long AS ({_UNPIVOT}) {_DESCRIBE}"),
     Query("qa_exclusions", lambda s, d: qa.exclusions_by_reason(truth(s, d).exclusions), kinds(s="reason", i="n"), f"WITH {TRUTH} SELECT reason, count(*) AS n FROM ledger GROUP BY reason"),
     Query("qa_temporal", lambda s, d: qa.temporal_coverage(dataset(s, d)), kinds(t="first_at last_at", d="span_seconds span_days", i="distinct_days"),
           f"WITH {TRUTH}, r AS (SELECT min(detected_at) AS first_at, max(detected_at) AS last_at, (epoch_us(max(detected_at)) - epoch_us(min(detected_at))) / 1e6 AS span_seconds, count(DISTINCT CAST(detected_at AS DATE)) AS distinct_days FROM ds) SELECT *, span_seconds / 86400 AS span_days FROM r"),

@@ -192,35 +192,3 @@ def match_groups(rows: DataFrame, groups: DataFrame, by: Sequence[str], take: Se
     left, right = rows.alias("l"), groups.alias("r")
     on = reduce(lambda a, b: a & b, [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in by])
     return left.join(right, on).select("l.*", *[f"r.{c}" for c in take])
-
-
-def distribution(df: DataFrame, by: Sequence[str], value: str, probs: dict[str, float],
-                 scale: ScaleParams = ScaleParams()) -> DataFrame:
-    """Per group: count, mean, std, min, max and exact interpolated quantiles of the non-null values.
-
-    Values are first counted per distinct value, which combines on the map side; everything else reads that
-    table, so the input is read once and the ordered work grows with distinct values only.
-    """
-    by = list(by)
-    counts = (df.filter(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("__value"))
-              .agg(F.count(F.lit(1)).alias("n")))
-    ranked = running_totals(counts, by, ["__value"], ["n"], scale)
-    x, n = F.col("__value"), F.col("n")
-    totals = ranked.groupBy(*by).agg(F.sum("n").alias("__total"), (F.sum(x * n) / F.sum("n")).alias("__mean"))
-    ranked = match_groups(ranked, totals, by, ["__total", "__mean"])
-
-    def at(rank: Column) -> Column:
-        hit = (F.col("before_n") <= rank) & (rank < F.col("before_n") + n)
-        return F.max(F.when(hit, x))
-
-    total = F.max("__total")
-    spread = F.sum(n * (x - F.col("__mean")) * (x - F.col("__mean")))
-    out = [total.alias("count"), F.max("__mean").alias("mean"), F.when(total > 1, F.sqrt(spread / (total - 1))).alias("std"),
-           F.min(x).alias("min"), F.max(x).alias("max")]
-    for name, p in probs.items():
-        place = F.lit(float(p)) * (F.col("__total") - 1)
-        out += [at(F.floor(place)).alias(f"__lo_{name}"), at(F.ceil(place)).alias(f"__hi_{name}"),
-                F.max(place - F.floor(place)).alias(f"__w_{name}")]
-    got = ranked.groupBy(*by).agg(*out)
-    return got.select(*by, "count", "mean", "std", "min", *[
-        (F.col(f"__lo_{q}") + (F.col(f"__hi_{q}") - F.col(f"__lo_{q}")) * F.col(f"__w_{q}")).alias(q) for q in probs], "max")

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseframe.functions.scale import distribution
+from pulseframe.functions.quantiles import distribution
 from pulseframe.params import ScaleParams
 
 # Watch field -> (feature, absolute tolerance, relative tolerance).

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pulseframe.functions.scale import distribution
+from pulseframe.functions.quantiles import distribution
 from pulseframe.params import ScaleParams
 from pulseframe.schemas import FEATURE_SCHEMA, FORBIDDEN_FEATURES
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseframe.functions.scale import distribution
+from pulseframe.functions.quantiles import distribution
 from pulseframe.operators.labels import TARGET
 from pulseframe.params import QaParams, ReadinessParams, ScaleParams
 from pulseframe.schemas import FEATURE_SCHEMA

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulseframe.functions.scale import running_totals
 from pulseframe.operators.labels import TARGET
 from pulseframe.params import ScaleParams, SplitParams
+from pulseframe.session import cut_lineage
 
 GROUP_COLUMNS = {"session": "session_id", "user": "user_id"}
 SPLITS = ("train", "val", "test")
@@ -51,18 +52,53 @@ def split_sizes(n_groups: int, test_size: float, val_size: float) -> tuple[int,
     return n_test, n_val
 
 
+# A draw is hexadecimal; three more digits cut the draws that are left into 4,096 parts.
+_DIGITS, _DRAW_LENGTH = 3, 32
+
+
+def draws_at(draws: DataFrame, ranks: Sequence[int], scale: ScaleParams = ScaleParams()) -> dict[int, str]:
+    """Rank -> draw of distinct draws in ascending order, by counting prefixes until few draws are left to gather.
+
+    ``draws`` is read once per pass; ranks outside the draws are left out.
+    """
+    found, length = {}, 0
+    open_ranks = {rank: ("", 0) for rank in ranks if rank >= 0}  # rank -> (prefix of its draw, draws before that prefix)
+    while open_ranks:
+        prefixes = sorted({prefix for prefix, _ in open_ranks.values()})
+        inside = draws.filter(F.substring("draw", 1, length).isin(prefixes)) if length else draws
+        length += _DIGITS
+        # At most 4,096 rows per prefix, and no more prefixes than ranks.
+        parts: dict[str, list[tuple[str, int]]] = {}
+        for row in inside.groupBy(F.substring("draw", 1, length).alias("p")).agg(F.count(F.lit(1)).alias("n")).orderBy("p").collect():
+            parts.setdefault(row["p"][:length - _DIGITS], []).append((row["p"], row["n"]))
+        narrowed, sizes = {}, {}
+        for rank, (prefix, before) in open_ranks.items():
+            for part, n in parts.get(prefix, []):
+                if rank < before + n:
+                    narrowed[rank], sizes[part] = (part, before), n
+                    break
+                before += n
+        open_ranks = narrowed
+        if not sizes or (max(sizes.values()) > scale.quantile_gather and length < _DRAW_LENGTH):
+            continue
+        few = inside.filter(F.substring("draw", 1, length).isin(sorted(sizes))).orderBy("draw").collect()
+        for rank, (part, before) in open_ranks.items():
+            found[rank] = [r["draw"] for r in few if r["draw"].startswith(part)][rank - before]
+        break
+    return found
+
+
 def fit_group_split(df: DataFrame, params: SplitParams = SplitParams(), group: str | None = None,
                     scale: ScaleParams = ScaleParams()) -> GroupSplit:
-    """Rank the distinct groups by their draw and keep the two bounds."""
+    """Find the two draws that bound test and validation; the draws themselves are not sorted."""
     group = group or GROUP_COLUMNS[params.group_by]
     if group not in df.columns:
         raise ValueError(f"column '{group}' is not in the dataset")
-    draws = df.select(group_hash(group, params.seed).alias("draw")).distinct().withColumn("one", F.lit(1).cast("bigint"))
-    ranked = running_totals(draws, [], ["draw"], ["one"], scale)
-    n = ranked.count()
+    draws = cut_lineage(df.select(group_hash(group, params.seed).alias("draw")).distinct())
+    n = draws.count()
     n_test, n_val = split_sizes(n, params.test_size, params.val_size)
     wanted = [n_test - 1, n_test + n_val - 1]
-    bounds = {r["before_one"]: r["draw"] for r in ranked.filter(F.col("before_one").isin(wanted)).collect()}  # two rows
+    bounds = draws_at(draws, wanted, scale)
     return GroupSplit(group, params.seed, bounds.get(wanted[0], ""), bounds.get(wanted[1], ""), n, n_test, n_val)
 
 

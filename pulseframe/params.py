@@ -14,6 +14,8 @@ class ScaleParams:
 
     max_rows_per_task: int = 2_000_000  # a key with more rows is split over several tasks
     broadcast_rows: int = 200_000       # a side with more rows is never broadcast
+    quantile_bins: int = 4096           # parts that a bin with a wanted rank is cut into
+    quantile_gather: int = 32_768       # values that may be gathered once a wanted rank is narrowed down to them
 
 
 @dataclass(frozen=True)

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulseframe import fixtures as fx
-from pulseframe.functions.scale import distribution, hot_keys, number_rows, ordered, running_totals, split_hot
+from pulseframe.functions.quantiles import distribution
+from pulseframe.functions.scale import hot_keys, number_rows, ordered, running_totals, split_hot
 from pulseframe.operators import clean as cl
 from pulseframe.operators import validate, windows
 from pulseframe.params import CleanParams, FeatureToggles, RunParams, ScaleParams
