@@ -131,6 +131,23 @@ _READY = " UNION ALL ".join([
     "SELECT 'has_group_column', true, 1", "SELECT 'enough_users', count(DISTINCT user_id) >= 2, count(DISTINCT user_id) FROM ds",
     "SELECT 'enough_rows', count(*) >= 10, count(*) FROM ds"])
 
+# Every value of the quality report, as (section, key, value).
+_STAT_NAMES = ("count", "mean", "std", "min", "p25", "p50", "p75", "max")
+_REPORT = f"""WITH {TRUTH}, c AS ({_COUNTS}), long AS ({_UNPIVOT}), st AS ({_DESCRIBE})
+SELECT 'counts_' || section AS section, key, CAST(n AS DOUBLE) AS value FROM c
+UNION ALL SELECT 'size', 'n_rows', count(*) FROM ds UNION ALL SELECT 'size', 'n_features', {len(FEATURE_SCHEMA)}
+UNION ALL SELECT 'missing_ratio', feature, (count(*) - count(value)) / count(*) FROM long GROUP BY feature
+UNION ALL SELECT 'ibi_coverage', 'n_no_ibi', count(*) FILTER (ibi_available = 0) FROM ds
+UNION ALL SELECT 'ibi_coverage', 'ibi_available_mean', avg(ibi_available) FROM ds
+UNION ALL SELECT 'ibi_coverage', 'ibi_coverage_ratio_mean', avg(ibi_coverage_ratio) FROM ds
+UNION ALL SELECT 'exclusions', reason, count(*) FROM ledger GROUP BY reason
+UNION ALL SELECT 'temporal', 'first_at', epoch_us(min(detected_at)) / 1e6 FROM ds UNION ALL SELECT 'temporal', 'last_at', epoch_us(max(detected_at)) / 1e6 FROM ds
+UNION ALL SELECT 'temporal', 'span_seconds', (epoch_us(max(detected_at)) - epoch_us(min(detected_at))) / 1e6 FROM ds
+UNION ALL SELECT 'temporal', 'span_days', (epoch_us(max(detected_at)) - epoch_us(min(detected_at))) / 1e6 / 86400.0 FROM ds
+UNION ALL SELECT 'temporal', 'distinct_days', count(DISTINCT CAST(detected_at AS DATE)) FROM ds
+""" + " ".join(f"UNION ALL SELECT 'distribution', feature || '.{k}', \"{k}\" FROM st" for k in _STAT_NAMES) + (
+    f" UNION ALL SELECT 'warnings', 'high_missingness:' || feature, 1 FROM long GROUP BY feature HAVING count(*) - count(value) > count(*) * CAST({QaParams().missingness} AS DOUBLE)")
+
 QUERIES = [
     Query("event_windows", lambda s, d: _event_rows(s, d)[1], kinds(s="event_id session_id", i="pos", t="window_start window_end"),
           f"WITH {SAMPLES}, {EVENTS} SELECT d.event_id, s.session_id, s.pos, d.detected_at - to_microseconds({SIZE_US}) AS window_start, d.detected_at AS window_end FROM dec d JOIN samples s ON s.session_id = d.session_id AND s.device_id = d.device_id AND s.tm BETWEEN d.detected_at - to_microseconds({SIZE_US}) AND d.detected_at"),
@@ -195,8 +212,7 @@ QUERIES = [
     Query("qa_temporal", lambda s, d: qa.temporal_coverage(dataset(s, d)), kinds(t="first_at last_at", d="span_seconds span_days", i="distinct_days"),
           f"WITH {TRUTH}, r AS (SELECT min(detected_at) AS first_at, max(detected_at) AS last_at, (epoch_us(max(detected_at)) - epoch_us(min(detected_at))) / 1e6 AS span_seconds, count(DISTINCT CAST(detected_at AS DATE)) AS distinct_days FROM ds) SELECT *, span_seconds / 86400 AS span_days FROM r"),
     Query("qa_warnings", lambda s, d: qa.qa_warnings(dataset(s, d), _STRICT_QA), kinds(s="warning subject"), f"WITH {TRUTH} {_WARN}"),
-    Query("qa_report", lambda s, d: (lambda t: qa.dataset_qa(t.dataset, t.exclusions).groupBy("section").agg(F.count(F.lit(1)).alias("n")))(stored(s, d)), kinds(s="section", i="n"),
-          f"WITH {TRUTH}, c AS ({_COUNTS}) SELECT 'counts_' || section AS section, count(*) AS n FROM c GROUP BY section UNION ALL SELECT 'size', 2 UNION ALL SELECT 'missing_ratio', 16 UNION ALL SELECT 'ibi_coverage', 3 UNION ALL SELECT 'distribution', 128 UNION ALL SELECT 'exclusions', count(DISTINCT reason) FROM ledger UNION ALL SELECT 'temporal', 5"),
+    Query("qa_report", lambda s, d: (lambda t: qa.dataset_qa(t.dataset, t.exclusions))(stored(s, d)), kinds(s="section key", d="value"), _REPORT),
     Query("readiness", lambda s, d: qa.check_ready(dataset(s, d), ReadinessParams()), kinds(s="check", b="ok", i="found"), f"WITH {TRUTH} {_READY}"),
 
     Query("parity_wide", lambda s, d: parity.parity_wide(dataset(s, d)), kinds(s="event_id", d=" ".join(f"diff_{p[0]}" for p in _PAIRS)),

@@ -13,13 +13,13 @@ from pulseframe.operators import metrics as mt
 from pulseframe.operators import prep, split
 from pulseframe.operators.labels import TARGET
 from pulseframe.operators.windows import keep
-from pulseframe.params import DummyParams, RunParams, SplitParams
+from pulseframe.params import FALLBACK_METRICS, DummyParams, RunParams, SplitParams
 from pulseframe.plans import scoring
 from pulseframe.plans.training import evaluate_model, train_on_windows, train_protocol
 from pulseframe.plans.windows import sliding_features
 from pulseframe.schemas import FEATURE_SCHEMA
 from pulseframe.session import cut_lineage
-from pulseframe.sources.models import load_model, save_model
+from pulseframe.sources.models import SavedModel, load_model, save_model
 
 USER_SPLIT = SplitParams(group_by="user")
 _ONE_SHARE = "CAST(0.2 AS DOUBLE)"
@@ -128,6 +128,22 @@ def _scored_windows_metrics(spark, sf_dir):
     return scoring.scored_metrics(cut_lineage(scored), labels, ["session_id", "window_index"])
 
 
+def _labelled_scores(spark, sf_dir):
+    """Metrics of scored rows that meet their labels only by key."""
+    rows = _scored(spark, sf_dir)
+    scored = rows.select("doc_id", F.col("score").alias("probability"), (F.col("score") >= 0.5).cast("int").alias("prediction"))
+    return scoring.scored_metrics(cut_lineage(scored), rows.select("doc_id", "label"), ["doc_id"])
+
+
+def _prior_model(spark, sf_dir):
+    """The prior baseline saved, loaded and applied: its scores can be stated in SQL."""
+    ds, train = _train(spark, sf_dir)
+    made = SavedModel(clf.fit_dummy(train, FEATURE_SCHEMA, DummyParams("prior")), "1.0", TARGET, 0.25, "val", tuple(FEATURE_SCHEMA), PARAMS)
+    path = fx.scratch(spark)
+    save_model(spark, made, path)
+    return scoring.score_features(ds.select("event_id", *FEATURE_SCHEMA), load_model(spark, path))[0]
+
+
 _F = " ".join(FEATURE_SCHEMA)
 _CONF = "count(*) FILTER (label = 0 AND p = 0) AS tn, count(*) FILTER (label = 0 AND p = 1) AS fp, count(*) FILTER (label = 1 AND p = 0) AS fn, count(*) FILTER (label = 1 AND p = 1) AS tp"
 _RATES = """tp / nullif(tp + fp, 0) AS precision, tp / nullif(tp + fn, 0) AS recall, (tp + tn) / nullif(tn + fp + fn + tp, 0) AS accuracy,
@@ -224,4 +240,16 @@ QUERIES = [
     Query("score_batches", lambda s, d: scoring.score_batches(fx.batches(s, d), _model(s, d)), kinds(s="session_id user_id device_id", t="window_start window_end", i="window_index n_samples prediction", d="probability")),
     Query("score_samples", lambda s, d: scoring.score_samples(fx.samples(s, d), _model(s, d)), kinds(s="session_id user_id device_id", t="window_start window_end", i="n_samples prediction", d="probability")),
     Query("scored_metrics", _scored_windows_metrics, kinds(i="tn fp fn tp n_samples", d=_METRICS)),
+    Query("score_events_rejects", lambda s, d: scoring.score_events(fx.requests(s, d), _model(s, d))[1], kinds(s="event_id reason"),
+          f"WITH {SAMPLES}, {_REQUESTS}, f AS (SELECT event_id, count(*) AS n, count(hr_raw) / count(*) AS r FROM rqc GROUP BY event_id) "
+          "SELECT event_id, 'insufficient_samples' AS reason FROM f WHERE n < 10 OR r < 0.3"),
+    Query("scored_metrics_documents", _labelled_scores, kinds(i="tn fp fn tp n_samples", d=_METRICS),
+          f"WITH {SCORED}, s1 AS (SELECT *, 1 AS one FROM scored), p AS (SELECT *, CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS p FROM s1), c AS (SELECT one, {_CONF} FROM p GROUP BY one), {_ranks_sql('s1', 'one')} "
+          f"SELECT c.*, tn + fp + fn + tp AS n_samples, {_RATES}, roc_auc, average_precision FROM c JOIN ranks USING (one)"),
+    Query("metric_subset", lambda s, d: mt.evaluate_at(_scored(s, d), 0.3, ["lang"], mt.configured(None)), kinds(s="lang", i="tn fp fn tp", d=" ".join(FALLBACK_METRICS)),
+          f"WITH {SCORED}, p AS (SELECT *, CASE WHEN score >= CAST(0.3 AS DOUBLE) THEN 1 ELSE 0 END AS p FROM scored), c AS (SELECT lang, {_CONF} FROM p GROUP BY lang), {_ranks_sql('scored', 'lang')} "
+          f"SELECT c.*, {_RATES}, roc_auc, average_precision FROM c JOIN ranks USING (lang)"),
+    Query("model_round_trip", _prior_model, kinds(s="event_id model_version target", i="prediction", d="support_probability threshold"),
+          f"{_TRUE_SPLIT}, pr AS (SELECT avg(target_support_requested) AS p FROM split WHERE split = 'train') SELECT event_id, '1.0' AS model_version, '{TARGET}' AS target, "
+          "CASE WHEN p >= 0.25 THEN 1 ELSE 0 END AS prediction, p AS support_probability, 0.25 AS threshold FROM split, pr"),
 ]
