@@ -133,7 +133,8 @@ _READY = " UNION ALL ".join([
 
 # Every value of the quality report, as (section, key, value).
 _STAT_NAMES = ("count", "mean", "std", "min", "p25", "p50", "p75", "max")
-_REPORT = f"""WITH {TRUTH}, c AS ({_COUNTS}), long AS ({_UNPIVOT}), st AS ({_DESCRIBE})
+_KEPT = TRUTH.replace("\nds AS (", "\nds AS MATERIALIZED (").replace("\nledger AS (", "\nledger AS MATERIALIZED (").replace("judged AS (", "judged AS MATERIALIZED (")
+_REPORT = f"""WITH {_KEPT}, c AS ({_COUNTS}), long AS ({_UNPIVOT}), st AS MATERIALIZED ({_DESCRIBE})
 SELECT 'counts_' || section AS section, key, CAST(n AS DOUBLE) AS value FROM c
 UNION ALL SELECT 'size', 'n_rows', count(*) FROM ds UNION ALL SELECT 'size', 'n_features', {len(FEATURE_SCHEMA)}
 UNION ALL SELECT 'missing_ratio', feature, (count(*) - count(value)) / count(*) FROM long GROUP BY feature
