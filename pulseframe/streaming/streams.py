@@ -13,6 +13,7 @@ from pulseframe.operators.classifiers import predict
 from pulseframe.operators.contracts import normalize_documents
 from pulseframe.operators.features import feature_columns
 from pulseframe.operators.flatten import flatten_batches
+from pulseframe.operators.windows import event_gate_reason
 from pulseframe.params import EventWindowParams, FeatureToggles, WindowParams
 from pulseframe.sources.documents import stream_documents
 from pulseframe.sources.models import SavedModel
@@ -71,6 +72,31 @@ def event_windows_stream(samples: DataFrame, events: DataFrame, params: EventWin
         {"e_session": "session_id", "e_device": "device_id"}).drop("e_user")
 
 
+def event_gate_stream(samples: DataFrame, events: DataFrame, params: EventWindowParams = EventWindowParams()) -> DataFrame:
+    """Every event once with its row count, share of heart rates and gate reason (null when the window is usable), in append mode.
+
+    The stream form of :func:`pulseframe.operators.windows.event_window_gate`; both sides need a watermark. A left-outer join by time
+    bucket is followed by a count per event, so a session's state is split over its buckets and events without a sample come out
+    as ``missing_telemetry``. An event is final once the watermark has passed it by the window size.
+    """
+    size = micros(params.size_seconds)
+    at, span = F.unix_micros("detected_at"), F.lit(size)
+    e = events.select("event_id", "session_id", "device_id", "user_id", "detected_at",
+                      F.explode(F.sequence(F.floor((at - size) / span), F.floor(at / span))).alias("bucket"))
+    s = samples.select(F.col("session_id").alias("s_session"), F.col("device_id").alias("s_device"), F.col("user_id").alias("s_user"),
+                       "timestamp", F.col("heart_rate_bpm").isNotNull().alias("has_hr"),
+                       F.floor(F.unix_micros("timestamp") / span).alias("s_bucket"))
+    near = F.expr(f"timestamp >= detected_at - INTERVAL {size} MICROSECONDS AND timestamp <= detected_at")
+    same = (F.col("session_id") == F.col("s_session")) & (F.col("device_id") == F.col("s_device")) & (F.col("bucket") == F.col("s_bucket"))
+    user = F.col("user_id").isNull() | (F.col("user_id") == F.col("s_user"))
+    # Only one event time may reach the count: that of the event. has_hr is null exactly where no sample was found.
+    joined = e.join(s, same & near & user, "left_outer").drop("timestamp", "bucket", "s_session", "s_device", "s_user", "s_bucket")
+    got = joined.groupBy("event_id", "session_id", "device_id", "user_id", "detected_at").agg(
+        F.count("has_hr").alias("n_samples"), F.count_if("has_hr").alias("n_hr"))
+    got = got.withColumn("hr_ratio", F.when(F.col("n_samples") > 0, F.col("n_hr") / F.col("n_samples"))).drop("n_hr")
+    return got.withColumn("reason", event_gate_reason(F.col("n_samples"), F.col("hr_ratio"), params))
+
+
 def sliding_features_stream(samples: DataFrame, params: WindowParams = WindowParams(),
                             toggles: FeatureToggles = FeatureToggles()) -> DataFrame:
     """Window features over epoch-aligned sliding windows, final once the watermark passes the window end.
