@@ -9,6 +9,7 @@ from pulseframe import fixtures as fx
 from pulseframe.catalog.base import CLEANED, FAULTY, ORDER, SAMPLES, SLIDING, Query, features_sql, kinds
 from pulseframe.operators import clean as cl
 from pulseframe.operators import contracts, flatten, windows
+from pulseframe.operators.window_panes import sliding_pane_features
 from pulseframe.params import CleanParams, FeatureToggles, RunParams, WindowParams
 from pulseframe.plans.windows import session_features, sliding_features
 from pulseframe.sources.documents import JSON_TIME
@@ -238,4 +239,6 @@ QUERIES = [
     _feature_query("features_temporal", "window_duration_seconds sample_count last_sample_age_seconds movement_magnitude_mean movement_variance_mean"),
     Query("features_all_windows", lambda s, d: windows.keep(sliding_features(fx.samples(s, d), EVERYTHING, as_of=as_of())),
           _META | kinds(d=_ALL), _sliding_sql(_ALL)),
+    Query("features_by_panes", lambda s, d: windows.keep(sliding_pane_features(fx.samples(s, d), EVERYTHING, as_of=as_of())),
+          _META | kinds(d=_ALL), _sliding_sql(_ALL)),
 ]
