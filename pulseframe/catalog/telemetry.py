@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pulseframe import fixtures as fx
 from pulseframe.catalog.base import CLEANED, FAULTY, ORDER, SAMPLES, SLIDING, Query, features_sql, kinds
+from pulseframe.functions.scale import running_totals
 from pulseframe.operators import clean as cl
 from pulseframe.operators import contracts, flatten, windows
 from pulseframe.operators.window_panes import sliding_pane_features
@@ -132,6 +133,51 @@ def telemetry_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("sequence").alias("Sequence"), F.col("samples").cast(nested).alias("Samples")), JSON_TIME).alias("value"))
 
 
+_UNKNOWN_TOP, _UNKNOWN_SAMPLE, _SHORT_ID = "number % 10 = 1", "number % 10 = 2", "number % 10 = 3"
+
+
+def request_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scoring requests, each in one of three key spellings at every level; some carry a key that no request has, or a bad id."""
+    r = fx.requests(spark, sf_dir).withColumn("number", F.regexp_extract("event_id", "^[0-9]+", 0).cast("bigint"))
+
+    def spelled(spell) -> Column:
+        def named(extra: str, **parts: Column) -> Column:
+            return F.struct(*[v.alias(spell(k)) for k, v in parts.items()], F.when(F.expr(extra), "x").alias("debug"))
+
+        def quality(q: Column) -> Column:
+            return F.struct(*[q[k].alias(spell(k)) for k in ("heart_rate", "ibi", "wearing_state")])
+
+        samples = F.transform("samples", lambda x: named(
+            _UNKNOWN_SAMPLE, timestamp=x["timestamp"], heart_rate_bpm=x["heart_rate_bpm"], ibi_ms=x["ibi_ms"],
+            skin_temperature_celsius=x["skin_temperature_celsius"], quality=quality(x["quality"])))
+        event = F.when(F.expr(_SHORT_ID), "not-a-uuid").otherwise(uuid_of("e", F.col("event_id")))
+        return F.to_json(named(_UNKNOWN_TOP, event_id=event, device_id=uuid_of("d", F.col("device_id")), user_id=uuid_of("u", F.col("user_id")),
+                               session_id=uuid_of("s", F.col("session_id")), detected_at=F.col("detected_at"), samples=samples), JSON_TIME)
+
+    def pascal(name: str) -> str:
+        return "".join(part.capitalize() for part in name.split("_"))
+
+    kind = F.col("number") % 3
+    text = F.when(kind == 0, spelled(str)).when(kind == 1, spelled(pascal)).otherwise(spelled(lambda n: n[0] + pascal(n)[1:]))
+    return r.select(text.alias("value"))
+
+
+def _requests(spark, sf_dir):
+    """Every strictly read request with its verdict; those that stand with what they hold."""
+    got = contracts.parse_documents(request_documents(spark, sf_dir), "request", "reject")
+    stands, held = F.col("reason").isNull(), ("event_id", "device_id", "user_id", "session_id", "detected_at")
+    rates = F.array_compact(F.col("samples.heart_rate_bpm"))
+    sums = {"n_samples": F.size("samples"), "n_hr": F.size(rates), "last_sample": F.array_max(F.col("samples.timestamp"))}
+    sums |= {"hr_max": F.array_max(rates), "n_good": F.size(F.filter("samples", lambda x: x["quality"]["heart_rate"] == "good"))}
+    return got.select("doc_id", "reason", "detail", *[F.when(stands, F.col(c)).alias(c) for c in held], *[F.when(stands, v).alias(c) for c, v in sums.items()])
+
+
+def _exported(spark, sf_dir):
+    """Samples in the order of an export, with the place of each."""
+    placed = cl.order_samples(fx.samples(spark, sf_dir)).withColumns({"__at": F.monotonically_increasing_id(), "n": F.lit(1)})
+    return running_totals(placed, [], ["__at"], ["n"]).withColumnRenamed("before_n", "place")
+
+
 def _flat_documents(spark, sf_dir):
     valid, _ = contracts.normalize_documents(telemetry_documents(spark, sf_dir), "telemetry")
     return flatten.flatten_batches(valid)
@@ -193,6 +239,16 @@ QUERIES = [
     Query("reject_unknown_keys", lambda s, d: contracts.parse_documents(decision_documents(s, d), "decision", "reject").groupBy("reason").agg(F.count(F.lit(1)).alias("n")),
           kinds(s="reason", i="n"),
           f"SELECT CASE WHEN {_CLASH} THEN 'identity_mismatch' ELSE 'invalid_document' END AS reason, count(*) AS n FROM events GROUP BY 1"),
+    Query("request_documents", _requests, kinds(s="doc_id reason detail event_id device_id user_id session_id", i="n_samples n_hr n_good", t="detected_at last_sample", d="hr_max"),
+          f"""WITH {SAMPLES}, b AS (SELECT batch_id, session_id, device_id, user_id, CAST(session_id AS BIGINT) AS number, min(tm) + INTERVAL 4 DAY AS detected_at, count(*) AS n_samples,
+  count(heart_rate_bpm) AS n_hr, max(tm) AS last_sample, max(heart_rate_bpm) AS hr_max, count(*) FILTER (WHERE quality_heart_rate = 'good') AS n_good FROM samples GROUP BY batch_id, session_id, device_id, user_id),
+j AS (SELECT *, CASE WHEN {_UNKNOWN_TOP} THEN 'unknown:debug' WHEN {_UNKNOWN_SAMPLE} THEN 'samples.unknown:debug' WHEN {_SHORT_ID} THEN 'event_id' ELSE '' END AS detail FROM b)
+SELECT CASE WHEN {_SHORT_ID} THEN 'not-a-uuid' ELSE {uuid_sql('e', 'batch_id')} END AS doc_id, CASE WHEN detail <> '' THEN 'invalid_document' END AS reason, detail, """
+          + ", ".join(f"CASE WHEN detail = '' THEN {v} END AS {c}" for c, v in {
+              "event_id": uuid_sql("e", "batch_id"), "device_id": uuid_sql("d", "device_id"), "user_id": uuid_sql("u", "user_id"), "session_id": uuid_sql("s", "session_id"),
+              **{c: c for c in ("detected_at", "n_samples", "n_hr", "last_sample", "hr_max", "n_good")}}.items()) + " FROM j"),
+    Query("ordered_export", _exported, kinds(s="user_id session_id", i="place sequence pos", t="timestamp"),
+          f"WITH {SAMPLES} SELECT *, tm AS \"timestamp\", row_number() OVER (ORDER BY user_id, session_id, {ORDER}) - 1 AS place FROM samples"),
     Query("identity_conflicts", _identity, kinds(s="doc_id user_id", b="identity_mismatch"),
           f"SELECT {uuid_sql('e', 'event_id')} AS doc_id, CASE WHEN {_CLASH} THEN NULL WHEN event_id % 11 = 0 THEN '00000000-0000-0000-0000-000000000001' WHEN event_id % 10 <> 0 THEN {uuid_sql('u', 'user_id // 3')} END AS user_id, {_CLASH} AS identity_mismatch FROM events"),
     Query("telemetry_documents", _flat_documents,
