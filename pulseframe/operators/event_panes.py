@@ -4,6 +4,7 @@ Time is cut into panes as long as the window. A window that ends at T in pane b
 of pane b - 1 from its start and the part of pane b up to T. Events are laid among the samples of both panes; running
 aggregates forward give the part of pane b at the event's row, running aggregates backward the rest of pane b - 1, and everything of the window
 follows from the two. Work grows with samples plus events, however much windows overlap; a pane, not a session, is what one task sorts.
+Each direction is a pass of its own over the columns it reads, dealt over as many tasks as its rows need, so what a task sorts does not grow with the table.
 
 A window is cleaned alone, so a fill may only use a source inside it. Fills are made once per chain of samples and remember
 when their source was seen. In pane b - 1 the rows before the first own value from the window's start on are unfilled: the backward
@@ -24,10 +25,17 @@ from pulseframe.schemas import SAMPLE_ORDER
 from pulseframe.session import cut_lineage
 
 CHAIN = ["session_id", "device_id", "__user"]
+# Samples and events that one task is to hold, whatever the settings of the session say.
+ROWS_PER_TASK = 100_000
 # Sums are taken around these points; any value gives the same result, these keep digits.
 _HR_CENTRE, _TEMP_CENTRE = 75.0, 33.0
 
 
+def dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """Rows spread by their keys over tasks of about ROWS_PER_TASK."""
+    return df.repartition(max(1, -(-rows // ROWS_PER_TASK)), *keys)
+
+
 def chained(samples: DataFrame, events: DataFrame, size: int) -> DataFrame:
     """Samples of the panes that events reach, once per chain: the event's user, or any user where an event has none."""
     at = F.unix_micros("timestamp")
@@ -72,7 +80,7 @@ def _running(d: DataFrame, groups: dict[str, dict[str, str]], w: WindowSpec) ->
     return d.withColumns({g: F.struct(*[F.col(f"__{g}__{k}").alias(k) for k in parts]) for g, parts in groups.items()}).drop(*flat)
 
 
-def _parts(s: DataFrame, events: DataFrame, size: int) -> DataFrame:
+def _parts(s: DataFrame, events: DataFrame, size: int, n_samples: int, n_events: int) -> DataFrame:
     """Per event: ``p``, the aggregates of its pane up to T, and ``r``, those of the rest of the pane before."""
     pane = F.col("__pane") * size
     minutes = (F.col("__t") - pane) / F.lit(6e7)
@@ -101,27 +109,36 @@ def _parts(s: DataFrame, events: DataFrame, size: int) -> DataFrame:
                "bad": {f"{a}_{b}": f"count_if(poor_{a}_{b})" for a in ("own", "head") for b in ("own", "head")}}
     backward = {"all": always, "hr_r": _moments("hr", "__back"), "temp_r": _moments("temp"), "q_r": quality("`__q`.v"), "j_r": jumps("jump"), "bad_r": {"n": "count_if(poor)"}}
 
-    marks = [events.withColumns({"__t": t, "__pane": p, "__end": F.lit(end)}) for t, p, end in (
-        (F.col("__t"), F.col("__pane"), True), (F.col("__t") - size, F.col("__pane") - 1, False))]
-    laid = s.unionByName(marks[0].unionByName(marks[1]), allowMissingColumns=True)
-    by = Window.partitionBy(*CHAIN, "__pane")
     later = SAMPLE_ORDER[1:]
-    laid = _running(laid, forward, by.orderBy("__t", F.col("event_id").isNotNull(), *later))
-    laid = laid.withColumn("p", F.struct(*forward)).drop(*forward)
+    by = Window.partitionBy(*CHAIN, "__pane")
+
+    def laid(columns: str, t: Column, pane: Column) -> DataFrame:
+        """One mark per event among the samples of its pane, with the columns that one direction reads."""
+        marks = events.select("event_id", *CHAIN, t.alias("__t"), pane.alias("__pane"))
+        rows = s.select(*CHAIN, "__pane", "__t", *later, "__row", "heart_rate_bpm", "ibi", *columns.split())
+        return dealt(rows.unionByName(marks, allowMissingColumns=True), n_samples + n_events, *CHAIN, "__pane")
+
+    def marked(d: DataFrame, name: str, parts: list[str], t: Column) -> DataFrame:
+        return d.filter(F.col("event_id").isNotNull()).select("event_id", *CHAIN, t.alias("__t"), F.struct(*parts).alias(name))
+
+    ends = laid("__x hr_own hr_head temp_own temp_head q_own q_head jump_own jump_head poor_own_own poor_own_head poor_head_own poor_head_head",
+                F.col("__t"), F.col("__pane"))
+    ends = _running(ends, forward, by.orderBy("__t", F.col("event_id").isNotNull(), *later))
+    starts = laid("skin_temperature_celsius quality_heart_rate hr __back temp __q jump poor", F.col("__t") - size, F.col("__pane") - 1)
     w = by.orderBy(F.desc("__t"), F.col("event_id").isNotNull(), *[F.desc(c) for c in later])
-    laid = _running(laid, backward, w)
+    starts = _running(starts, backward, w)
     # What a fill or a difference may use from the start of the window on: the aggregates as they were at the first own value.
     frame = w.rowsBetween(Window.unboundedPreceding, 0)
     at = {"hr_r": F.col("heart_rate_bpm").isNotNull(), "temp_r": F.col("skin_temperature_celsius").isNotNull(), "q_r": F.col("quality_heart_rate").isNotNull()}
     before = {k: F.col(f"j_r.{k}") - F.coalesce(v, F.lit(0)) for k, v in {"ss": F.col("jump") * F.col("jump"), "over": (F.abs("jump") > NN_STEP_MS).cast("long")}.items()}
-    laid = laid.withColumns({
+    starts = starts.withColumns({
         **{name: F.last(F.when(own_value, F.col(name)), ignorenulls=True).over(frame) for name, own_value in at.items()},
         "bad_h": F.last(F.when(at["hr_r"], F.col("bad_r.n")), ignorenulls=True).over(frame), "bad_q": F.last(F.when(at["q_r"], F.col("bad_r.n")), ignorenulls=True).over(frame),
         "j_r": F.last(F.when(F.col("ibi.n") > 0, F.struct(*[v.alias(k) for k, v in before.items()])), ignorenulls=True).over(frame)})
-    marked = laid.filter(F.col("event_id").isNotNull()).withColumn("r", F.struct("all", "hr_r", "temp_r", "q_r", "j_r", "bad_h", "bad_q"))
-    time = F.when(F.col("__end"), F.col("__t")).otherwise(F.col("__t") + size)
-    return marked.groupBy("event_id", *CHAIN, time.alias("__t")).agg(
-        F.first(F.when(F.col("__end"), F.col("p")), ignorenulls=True).alias("p"), F.first(F.when(~F.col("__end"), F.col("r")), ignorenulls=True).alias("r"))
+    ends = marked(ends, "p", [*forward], F.col("__t"))
+    starts = marked(starts, "r", ["all", "hr_r", "temp_r", "q_r", "j_r", "bad_h", "bad_q"], F.col("__t") + size)
+    both = dealt(ends.unionByName(starts, allowMissingColumns=True), 2 * n_events, "event_id")
+    return both.groupBy("event_id", *CHAIN, "__t").agg(F.first("p", ignorenulls=True).alias("p"), F.first("r", ignorenulls=True).alias("r"))
 
 
 def event_pane_features(samples: DataFrame, events: DataFrame, params: RunParams = RunParams(), scale: ScaleParams = ScaleParams(),
@@ -134,8 +151,9 @@ def event_pane_features(samples: DataFrame, events: DataFrame, params: RunParams
     e = events.filter("session_id IS NOT NULL AND device_id IS NOT NULL AND detected_at IS NOT NULL").select(
         "event_id", "session_id", "device_id", F.col("user_id").alias("__user"), F.unix_micros("detected_at").alias("__t"))
     e = e.withColumn("__pane", F.floor(F.col("__t") / F.lit(size)))
-    s = filled(cut_lineage(chained(samples, e, size)), params, scale)
-    return finite_or_null(_assembled(_parts(s, e, size), params, as_of))
+    reached = cut_lineage(chained(samples, e, size))
+    parts = _parts(filled(reached, params, scale), e, size, reached.count(), e.count())
+    return finite_or_null(_assembled(parts, params, as_of))
 
 
 def _assembled(parts: DataFrame, params: RunParams, as_of: Column | None) -> DataFrame:

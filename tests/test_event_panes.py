@@ -1,6 +1,7 @@
 """Event windows from panes against the row-wise definition: join, clean and aggregate every window alone."""
 
 import random
+import re
 from datetime import timedelta
 
 import numpy as np
@@ -9,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pulseframe.operators.clean import clean, with_ibi
+from pulseframe.operators import event_panes
 from pulseframe.operators.event_panes import chained, event_pane_features
 from pulseframe.operators.features import window_features
 from pulseframe.operators.windows import event_windows
@@ -66,3 +68,23 @@ def test_many_overlapping_events_make_no_pairs(spark):
     marked = events.select("event_id", "session_id", "device_id", F.col("user_id").alias("__user"), F.floor(F.unix_micros("detected_at") / 600_000_000).alias("__pane"))
     assert chained(s, marked, 600_000_000).count() <= 2_000
     assert np.isfinite(out.toPandas()["hr_mean"]).all()
+
+
+def test_tasks_follow_the_rows_not_the_settings(spark, monkeypatch):
+    """Each direction, and the join of both, is dealt over as many tasks as its rows need; results stay the same."""
+    params = RunParams(event_window=EventWindowParams(15.0, 1, 0.0), features=FeatureToggles.all_on())
+    s, events = hostile(spark, 11)
+    want = event_pane_features(s, events, params, as_of=F.lit("2026-02-01").cast("timestamp"))
+    monkeypatch.setattr(event_panes, "ROWS_PER_TASK", 25)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        got = event_pane_features(s, events, params, as_of=F.lit("2026-02-01").cast("timestamp"))
+        n = events.filter("session_id IS NOT NULL AND detected_at IS NOT NULL").count()
+        assert got.rdd.getNumPartitions() >= 2 * n // 25 > 10
+        dealt = [int(x) for x in re.findall(r"hashpartitioning\(session_id\S*, device_id\S*, __user\S*, __pane\S*, (\d+)\)", got._jdf.queryExecution().executedPlan().toString())]
+        assert len(dealt) >= 2 and min(dealt) > n // 25
+        key = lambda r: (r.event_id, r.n_samples)
+        pd.testing.assert_frame_equal(pd.DataFrame(sorted(got.collect(), key=key)), pd.DataFrame(sorted(want.collect(), key=key)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
