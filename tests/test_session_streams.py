@@ -122,6 +122,79 @@ def test_the_state_store_setting_comes_back(spark):
     assert spark.conf.get(key) == before
 
 
+def test_a_session_costs_few_calls(monkeypatch):
+    """One value per list in the state, whatever the rows, and one frame per release: no frame and no call for each sample or window."""
+    import pandas as pd
+
+    class State:
+        def __init__(self):
+            self.rows, self.calls = [], 0
+
+        def get(self):
+            self.calls += 1
+            return iter(self.rows) if self.many else (self.rows or [None])[0]
+
+        def put(self, rows):
+            self.calls, self.rows = self.calls + 1, list(rows)
+
+        def appendValue(self, row):
+            self.calls, self.rows = self.calls + 1, [*self.rows, row]
+
+        def update(self, row):
+            self.put([row])
+
+        def clear(self):
+            self.put([])
+
+    class Handle:
+        def __init__(self):
+            self.states = []
+
+        def registerTimer(self, at):
+            pass
+
+        def state(self, many):
+            self.states.append(State())
+            self.states[-1].many = many
+            return self.states[-1]
+
+        def getValueState(self, *_):
+            return self.state(False)
+
+        def getListState(self, *_):
+            return self.state(True)
+
+    class Timers:
+        def __init__(self, at):
+            self.at = at
+
+        def getCurrentWatermarkInMs(self):
+            return self.at
+
+    def samples_of(n):
+        start = 1_700_000_000_000_000
+        rows = [{"us": start + i * 1_000_000, "sequence": 0.0, "pos": float(i), "heart_rate_bpm": 60.0 + i % 7, "skin_temperature_celsius": None,
+                 "quality_heart_rate": "good", "user_id": "u", "device_id": "d", **{f"ibi_{k}": 0.0 for k in se._IBI}} for i in range(n)]
+        return pd.DataFrame(rows), (start // 1000) + n * 1000
+
+    calls, frames, built = [], [], []
+    real = pd.DataFrame.__init__
+    for n in (200, 2000):
+        handle = Handle()
+        work = se._Sessions(PARAMS, 300_000_000)
+        work.init(handle)
+        frame, clock = samples_of(n)
+        built.clear()
+        monkeypatch.setattr(pd.DataFrame, "__init__", lambda self, *a, **k: (built.append(1), real(self, *a, **k))[1])
+        list(work.handleInputRows(("s",), iter([frame]), Timers(0)))
+        out = list(work.handleExpiredTimer(("s",), Timers(clock), None))
+        frames.append(len(built))
+        monkeypatch.setattr(pd.DataFrame, "__init__", real)
+        assert len(out) == 1 and out[0].window_index.max() == (n - 1 - 60) // 30
+        calls.append(sum(s.calls for s in handle.states))
+    assert calls[0] == calls[1] <= 5 and frames == [1, 1]
+
+
 def test_event_gate_equals_the_batch_one(spark, tmp_path):
     s = samples(spark, sample_rows(300, hr=lambda i: 70.0 if i > 200 or i % 5 == 0 else None))
     far = T0 + timedelta(hours=9)
