@@ -88,8 +88,8 @@ def _select_threshold(spark, sf_dir):
     return found.withColumn("source", F.lit(source))
 
 
-def _protocol(spark, sf_dir):
-    return train_protocol(dataset(spark, sf_dir), PARAMS)
+def _protocol(spark, sf_dir, ds=None):
+    return train_protocol(dataset(spark, sf_dir) if ds is None else ds, PARAMS)
 
 
 def _protocol_metrics(spark, sf_dir):
@@ -101,9 +101,9 @@ def _variant(spark, sf_dir):
     return r.selection.withColumns({"selected": F.lit(r.selected), "source": F.lit(r.threshold_source)})
 
 
-def _model(spark, sf_dir):
+def _model(spark, sf_dir, ds=None):
     """Trained, saved and loaded again, so that scoring uses the stored form."""
-    result, path = _protocol(spark, sf_dir), fx.scratch(spark)
+    result, path = _protocol(spark, sf_dir, ds), fx.scratch(spark)
     save_model(spark, result.saved, path)
     return load_model(spark, path)
 
@@ -114,7 +114,9 @@ def _infinite(spark, sf_dir):
 
 
 def _score_features(spark, sf_dir):
-    return scoring.score_features(dataset(spark, sf_dir).select("event_id", *FEATURE_SCHEMA), _model(spark, sf_dir))[0]
+    """Trained and scored on one stored dataset."""
+    ds = stored(spark, sf_dir).dataset
+    return scoring.score_features(ds.select("event_id", *FEATURE_SCHEMA), _model(spark, sf_dir, ds))[0]
 
 
 def _window_model(spark, sf_dir):

@@ -264,3 +264,16 @@ def test_score_tables(spark, sf, result):
 def test_params_round_trip():
     p = RunParams(window=WindowParams(90, 45), event_window=EventWindowParams(30), logistic=LogisticParams(2.0))
     assert RunParams.from_dict(p.to_dict()) == p
+
+
+def test_scoring_builds_the_dataset_once(spark, sf, monkeypatch):
+    """``score_features`` trains and scores on one stored dataset."""
+    from pulseframe.catalog import labelling, modelling
+
+    built, build = [], labelling.build_ground_truth
+    monkeypatch.setattr(labelling, "build_ground_truth", lambda *a, **k: (built.append(k.get("materialize")), build(*a, **k))[1])
+    given = []
+    monkeypatch.setattr(modelling, "_model", lambda spark, sf_dir, ds=None: given.append(ds))
+    monkeypatch.setattr(modelling.scoring, "score_features", lambda features, model: (features, model))
+    assert modelling._score_features(spark, sf).columns[0] == "event_id"
+    assert built == [True] and given[0] is not None
