@@ -86,6 +86,38 @@ def test_bpe_equals_library(texts):
         assert decoded == LIBRARY.decode(want, skip_special_tokens=False)
 
 
+def test_bpe_repeated_positions():
+    texts = ["ab" * n + " " + "a" * n + " " + "banana" * n for n in range(1, 40)] + ["abab aaaa haha hahaha mississippi" + "s" * n for n in range(9)]
+    assert [ids for _, ids, _ in OWN.encode(texts)] == [" ".join(map(str, LIBRARY.encode(t, add_special_tokens=False).ids)) for t in texts]
+
+
+def test_bpe_keeps_frequent_chunks_of_large_runs(monkeypatch):
+    monkeypatch.setattr(bpe, "_REMEMBERED", 20)
+    own = bpe.PairIndexBpe(VOCABULARY)
+    frequent = [f"often{i}" for i in range(5)]
+    for k in range(4):
+        list(own.encode([" ".join([*frequent, *(f"w{k}x{i}" for i in range(100))])]))
+        assert 0 < len(own.chunks_known) <= 20
+    known = {c: own.chunks_known[c] for c in frequent if c in own.chunks_known}
+    list(own.encode([" ".join([*frequent, *(f"z{i}" for i in range(100))])]))
+    assert known.items() <= own.chunks_known.items()
+
+
+def test_bpe_worker_keeps_no_vocabulary(spark):
+    docs = documents(spark, [(i, f"text {i}") for i in range(40)]).repartition(4)
+    bpe.encode_decode(docs, VOCABULARY).collect()
+
+    def held(batches):
+        import sys
+
+        import pandas as pd
+
+        for _ in batches:
+            yield pd.DataFrame({"n": [len(sys.modules["pulseframe.llm.bpe"]._loaded) if "pulseframe.llm.bpe" in sys.modules else 0]})
+
+    assert spark.range(0, 40, 1, 8).mapInPandas(held, "n int").agg(F.max("n")).first()[0] == 0
+
+
 def test_bpe_rows(spark):
     rows = [(1, None), (2, ""), (3, "Hello, WORLD!"), (3, "Hello, WORLD!"), (None, "a" * 5000), (4, "z " * 20000)]
     out = bpe.encode_decode(documents(spark, rows), VOCABULARY)
