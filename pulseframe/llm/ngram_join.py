@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pulseframe.llm import kernel
-from pulseframe.llm.common import components, discard, perhaps_among, stored
+from pulseframe.llm.common import components, discard, give_back, perhaps_among, stored
 
 
 @dataclass(frozen=True)
@@ -69,6 +69,7 @@ def set_rows(docs: DataFrame, params: JoinParams, id_col: str = "doc_id", text:
                     found.append((ids[first + i], size, low, a.sum(dtype=np.uint64).astype(np.int64),
                                   b.sum(dtype=np.uint64).astype(np.int64), tokens.astype(np.int64)))
                 yield pd.DataFrame(found, columns=["id", "n", "n_low", "sig_a", "sig_b", "tokens"]).astype({"id": "Int64"})
+        give_back()
 
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).mapInPandas(
         rows, "id long, n int, n_low int, sig_a long, sig_b long, tokens array<long>")
@@ -119,6 +120,8 @@ def compared(pairs: DataFrame, texts: DataFrame, params: JoinParams) -> DataFram
                 new = np.setdiff1d(x, y, assume_unique=True)
                 both = len(x) - len(new)
                 out.append((100 * both >= params.percent * (len(x) + len(y) - both), len(x), len(new), len(y) - both, new.astype(np.int64)))
+        known.clear()
+        give_back()
         return pd.DataFrame(out, columns=["linked", "n", "new", "missing", "head"])
 
     a = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
