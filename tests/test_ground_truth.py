@@ -1,13 +1,15 @@
 import json
+import re
 from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from pulseframe import fixtures as fx
-from pulseframe.operators import labels as lb
+from pulseframe.operators import event_panes, labels as lb
 from pulseframe.operators import parity, qa, validate
 from pulseframe.params import QaParams, RunParams
+from pulseframe.plans import ground_truth
 from pulseframe.plans.ground_truth import build_ground_truth, ground_truth_from_documents
 from pulseframe.schemas import DECISION, SUSPECTED
 from tests.helpers import T0, ids, sample_rows, samples
@@ -179,3 +181,22 @@ def test_readiness_lists_every_failure(spark):
     with pytest.raises(qa.NotReady) as err:
         qa.require_ready(small_dataset(spark))
     assert all(word in str(err.value) for word in ("both_classes", "enough_users", "enough_rows")) and "aligned" not in str(err.value)
+
+
+def test_ids_are_dealt_by_rows_unless_one_has_too_many_copies(spark, monkeypatch):
+    for module in (event_panes, ground_truth):
+        monkeypatch.setattr(module, "ROWS_PER_TASK", 50)
+    one_each = [(f"e{i}", float(i)) for i in range(300)]
+    rows = spark.createDataFrame([*one_each, ("e7", 7.0), ("e8", 8.5), (None, 1.0)], "event_id string, score double")
+    copies = spark.createDataFrame([*one_each, *[("e9", 9.0)] * 60], "event_id string, score double")
+    spread, folded = ground_truth.dealt_events(rows, copies)
+    assert (spread.rdd.getNumPartitions(), folded.rdd.getNumPartitions()) == (8, copies.rdd.getNumPartitions())
+    kept, conflicts = lb.dedup_events(spread)
+    assert sorted(kept.collect(), key=str) == sorted([r for r in [*one_each, (None, 1.0)] if r[0] != "e8"], key=str)
+    assert [r.event_id for r in conflicts.collect()] == ["e8"]
+    assert sorted(lb.dedup_events(folded)[0].collect()) == sorted(one_each)
+
+    truth = build_ground_truth(samples(spark, sample_rows()), fx.suspected(spark, "/root/testdata/sf0.001"), fx.decisions(spark, "/root/testdata/sf0.001"), PARAMS)
+    plan = truth.exclusions._jdf.queryExecution().executedPlan().toString()
+    dealt = [int(n) for n in re.findall(r"hashpartitioning\(event_id#\d+L?, (\d+)\)", plan)]
+    assert dealt and min(dealt) > int(spark.conf.get("spark.sql.shuffle.partitions"))
