@@ -114,8 +114,8 @@ def _infinite(spark, sf_dir):
 
 
 def _score_features(spark, sf_dir):
-    """Trained and scored on one stored dataset."""
-    ds = stored(spark, sf_dir).dataset
+    """Trained and scored on one stored dataset; the columns that only audits read are left out before it is stored again for training."""
+    ds = stored(spark, sf_dir).dataset.select("event_id", "user_id", TARGET, *FEATURE_SCHEMA)
     return scoring.score_features(ds.select("event_id", *FEATURE_SCHEMA), _model(spark, sf_dir, ds))[0]
 
 

@@ -50,13 +50,16 @@ def chained(samples: DataFrame, events: DataFrame, size: int) -> DataFrame:
 
 def filled(s: DataFrame, params: RunParams, scale: ScaleParams, hot: HotKeys | str | None = "detect") -> DataFrame:
     """Fills with the time of their source, and the last plausible interval before each sample with its time."""
-    def seen(column: str) -> Column:
-        return F.when(F.col(column).isNotNull(), F.struct(F.col(column).alias("v"), F.col("__t").alias("at")))
+    def seen(column: str, *more: Column) -> Column:
+        return F.when(F.col(column).isNotNull(), F.struct(F.col(column).alias("v"), F.col("__t").alias("at"), *more))
 
     def bounded(d: DataFrame, w: WindowSpec) -> DataFrame:
-        return d.withColumns({
-            "__hr": F.last(seen("heart_rate_bpm"), ignorenulls=True).over(w.rowsBetween(-params.clean.hr_fill_rows, 0)),
-            "__temp": F.last(seen("skin_temperature_celsius"), ignorenulls=True).over(w.rowsBetween(-params.clean.temp_fill_rows, 0))})
+        # The last value so far with its row number, dropped where that is too far back: a sliding frame would read all its rows again at every row.
+        fills = {"__hr": ("heart_rate_bpm", params.clean.hr_fill_rows), "__temp": ("skin_temperature_celsius", params.clean.temp_fill_rows)}
+        d = d.withColumn("__nth", F.row_number().over(w))
+        upto = w.rowsBetween(Window.unboundedPreceding, 0)
+        d = d.withColumns({name: F.last(seen(column, F.col("__nth").alias("nth")), ignorenulls=True).over(upto) for name, (column, _) in fills.items()})
+        return d.withColumns({name: F.when(F.col("__nth") - F.col(f"{name}.nth") <= rows, F.col(name)) for name, (_, rows) in fills.items()}).drop("__nth")
 
     last_interval = F.when(F.col("ibi.n") > 0, F.struct(F.col("ibi.last").alias("v"), F.col("__t").alias("at")))
     carried = {"__q": (seen("quality_heart_rate"), True), "__prev": (last_interval, False)}
@@ -113,9 +116,12 @@ def _parts(s: DataFrame, events: DataFrame, size: int, n_samples: int, n_events:
     by = Window.partitionBy(*CHAIN, "__pane")
 
     def laid(columns: str, t: Column, pane: Column) -> DataFrame:
-        """One mark per event among the samples of its pane, with the columns that one direction reads."""
-        marks = events.select("event_id", *CHAIN, t.alias("__t"), pane.alias("__pane"))
-        rows = s.select(*CHAIN, "__pane", "__t", *later, "__row", "heart_rate_bpm", "ibi", *columns.split())
+        """One mark per event among the samples of its pane, with the columns that one direction reads.
+
+        ``__mark`` is a column, not an expression of the order: so windows of one order share a sort.
+        """
+        marks = events.select("event_id", *CHAIN, t.alias("__t"), pane.alias("__pane"), F.lit(True).alias("__mark"))
+        rows = s.select(*CHAIN, "__pane", "__t", *later, "__row", F.lit(False).alias("__mark"), "heart_rate_bpm", "ibi", *columns.split())
         return dealt(rows.unionByName(marks, allowMissingColumns=True), n_samples + n_events, *CHAIN, "__pane")
 
     def marked(d: DataFrame, name: str, parts: list[str], t: Column) -> DataFrame:
@@ -123,9 +129,9 @@ def _parts(s: DataFrame, events: DataFrame, size: int, n_samples: int, n_events:
 
     ends = laid("__x hr_own hr_head temp_own temp_head q_own q_head jump_own jump_head poor_own_own poor_own_head poor_head_own poor_head_head",
                 F.col("__t"), F.col("__pane"))
-    ends = _running(ends, forward, by.orderBy("__t", F.col("event_id").isNotNull(), *later))
+    ends = _running(ends, forward, by.orderBy("__t", "__mark", *later))
     starts = laid("skin_temperature_celsius quality_heart_rate hr __back temp __q jump poor", F.col("__t") - size, F.col("__pane") - 1)
-    w = by.orderBy(F.desc("__t"), F.col("event_id").isNotNull(), *[F.desc(c) for c in later])
+    w = by.orderBy(F.desc("__t"), "__mark", *[F.desc(c) for c in later])
     starts = _running(starts, backward, w)
     # What a fill or a difference may use from the start of the window on: the aggregates as they were at the first own value.
     frame = w.rowsBetween(Window.unboundedPreceding, 0)
@@ -157,6 +163,10 @@ def event_pane_features(samples: DataFrame, events: DataFrame, params: RunParams
 
 
 def _assembled(parts: DataFrame, params: RunParams, as_of: Column | None) -> DataFrame:
+    """The features, in steps: sums over both parts of a window become columns before features are made of them.
+
+    In one step every feature repeats the sums it uses, and all of it becomes one method.
+    """
     def zero(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(0))
 
@@ -171,48 +181,61 @@ def _assembled(parts: DataFrame, params: RunParams, as_of: Column | None) -> Dat
     def extreme(pick, group: str, name: str) -> Column:
         return pick(F.col(f"r.{group}_r.{name}"), F.col(f"p.{group}_o.{name}"), F.when(F.col(f"r.{group}_r").isNotNull(), F.col(f"p.{group}_h.{name}")))
 
-    n, hr_n, temp_n = both("rows"), total("hr", "n"), total("temp", "n")
+    def ends(group: str, low: str, high: str) -> dict[str, Column]:
+        return {f"{group}_{low}": extreme(F.least, group, low), f"{group}_{high}": extreme(F.greatest, group, high)}
+
+    poor = F.least(zero("r.bad_h"), zero("r.bad_q")) + zero("p.bad.own_own")
+    poor += F.when(F.col("r.hr_r").isNotNull(), zero("p.bad.head_own")).otherwise(F.lit(0))
+    poor += F.when(F.col("r.q_r").isNotNull(), zero("p.bad.own_head")).otherwise(F.lit(0))
+    poor += F.when(F.col("r.hr_r").isNotNull() & F.col("r.q_r").isNotNull(), zero("p.bad.head_head")).otherwise(F.lit(0))
+    steps = [
+        {"n": both("rows"), "raw": both("raw"), "ibi": both("ibi"), "k": both("n"), "d1": both("d1"), "d2": both("d2"), "poor": poor,
+         "first": F.least("r.all.first", "p.all.first"), "last": F.greatest("r.all.last", "p.all.last"),
+         # Differences inside samples and between neighbouring ones, both of them in the window.
+         **{name: both(name) + total("j", name) for name in ("ss", "over")}},
+        {**{f"hr_{name}": total("hr", name) for name in ("n", "y", "yy", "x", "xx", "xy")}, **ends("hr", "low", "high"), **ends("hr", "first", "last")},
+        {**{f"temp_{name}": total("temp", name) for name in ("n", "y", "yy")}, **ends("temp", "low", "high"),
+         **{f"q_{name}": total("q", name) for name in ("good", "fair", "poor")}},
+    ]
+    found, names = parts.select("event_id", "p", "r"), []
+    for i, step in enumerate(steps):
+        sides = ["p", "r"] if i < len(steps) - 1 else []
+        found = found.select("event_id", *names, *[value.alias(f"__{name}") for name, value in step.items()], *sides)
+        names += [f"__{name}" for name in step]
+
+    def of(name: str) -> Column:
+        return F.col(f"__{name}")
+
+    n, hr_n, temp_n, k = of("n"), of("hr_n"), of("temp_n"), of("k")
 
     def std(group: str, count: Column) -> Column:
-        spread = F.greatest(total(group, "yy") - total(group, "y") * total(group, "y") / count, F.lit(0.0))
-        flat = extreme(F.least, group, "low") == extreme(F.greatest, group, "high")
+        spread = F.greatest(of(f"{group}_yy") - of(f"{group}_y") * of(f"{group}_y") / count, F.lit(0.0))
+        flat = of(f"{group}_low") == of(f"{group}_high")
         return F.when(count == 0, None).when((count == 1) | flat, 0.0).otherwise(F.sqrt(spread / (count - 1)))
 
     def mean(group: str, count: Column, centre: float) -> Column:
-        return F.when(count > 0, total(group, "y") / count + centre)
-
-    line = hr_n * total("hr", "xx") - total("hr", "x") * total("hr", "x")
-    slope = (hr_n * total("hr", "xy") - total("hr", "x") * total("hr", "y")) / line
-    instant = extreme(F.least, "hr", "first") == extreme(F.greatest, "hr", "last")
-    k = both("n")
-
-    def linked(name: str) -> Column:
-        """Differences inside samples and between neighbouring ones, both of them in the window."""
-        return both(name) + total("j", name)
+        return F.when(count > 0, of(f"{group}_y") / count + centre)
 
     def hrv(value: Column) -> Column:
         return F.when(k >= 3, value)
 
-    poor = F.least(zero("r.bad_h"), zero("r.bad_q")) + zero("p.bad.own_own")
-    poor += F.when(F.col("r.hr_r").isNotNull(), zero("p.bad.head_own")).otherwise(F.lit(0))
-    poor += F.when(F.col("r.q_r").isNotNull(), zero("p.bad.own_head")).otherwise(F.lit(0))
-    poor += F.when(F.col("r.hr_r").isNotNull() & F.col("r.q_r").isNotNull(), zero("p.bad.head_head")).otherwise(F.lit(0))
-    first, last = F.least("r.all.first", "p.all.first"), F.greatest("r.all.last", "p.all.last")
+    line = hr_n * of("hr_xx") - of("hr_x") * of("hr_x")
+    slope = (hr_n * of("hr_xy") - of("hr_x") * of("hr_y")) / line
+    instant = of("hr_first") == of("hr_last")
     now = as_of if as_of is not None else F.current_timestamp()
     rules = {
         "hr_mean": mean("hr", hr_n, _HR_CENTRE), "hr_std": std("hr", hr_n),
-        "hr_min": extreme(F.least, "hr", "low") + _HR_CENTRE, "hr_max": extreme(F.greatest, "hr", "high") + _HR_CENTRE,
+        "hr_min": of("hr_low") + _HR_CENTRE, "hr_max": of("hr_high") + _HR_CENTRE,
         "hr_slope_bpm_per_min": F.when(hr_n == 1, 0.0).when((hr_n > 1) & ~instant, slope),
-        "hrv_rmssd": hrv(F.sqrt(linked("ss") / (k - 1))),
-        "hrv_sdnn": hrv(F.sqrt(F.greatest(both("d2") - both("d1") * both("d1") / k, F.lit(0.0)) / (k - 1))),
-        "hrv_pnn50": hrv(linked("over") * 100.0 / (k - 1)),
-        "ibi_available": F.when(both("ibi") > 0, 1.0).otherwise(0.0), "ibi_coverage_ratio": both("ibi") / n,
+        "hrv_rmssd": hrv(F.sqrt(of("ss") / (k - 1))),
+        "hrv_sdnn": hrv(F.sqrt(F.greatest(of("d2") - of("d1") * of("d1") / k, F.lit(0.0)) / (k - 1))),
+        "hrv_pnn50": hrv(of("over") * 100.0 / (k - 1)),
+        "ibi_available": F.when(of("ibi") > 0, 1.0).otherwise(0.0), "ibi_coverage_ratio": of("ibi") / n,
         "movement_magnitude_mean": F.lit(None).cast("double"), "movement_variance_mean": F.lit(None).cast("double"),
         "skin_temp_mean": mean("temp", temp_n, _TEMP_CENTRE), "skin_temp_std": std("temp", temp_n),
-        "quality_good_ratio": total("q", "good") / n, "quality_fair_ratio": total("q", "fair") / n, "quality_poor_ratio": total("q", "poor") / n,
-        "valid_sample_ratio": (hr_n - poor) / n, "window_duration_seconds": (last - first) / F.lit(1e6), "sample_count": n.cast("double"),
-        "last_sample_age_seconds": (F.unix_micros(now) - last) / F.lit(1e6),
+        "quality_good_ratio": of("q_good") / n, "quality_fair_ratio": of("q_fair") / n, "quality_poor_ratio": of("q_poor") / n,
+        "valid_sample_ratio": (hr_n - of("poor")) / n, "window_duration_seconds": (of("last") - of("first")) / F.lit(1e6), "sample_count": n.cast("double"),
+        "last_sample_age_seconds": (F.unix_micros(now) - of("last")) / F.lit(1e6),
     }
-    found = parts.filter(n > 0)
-    return found.select("event_id", n.cast("long").alias("n_samples"), (both("raw") / n).alias("hr_ratio"),
-                        *[rules[name].cast("double").alias(name) for name in params.features.names()])
+    return found.filter(n > 0).select("event_id", n.cast("long").alias("n_samples"), (of("raw") / n).alias("hr_ratio"),
+                                      *[rules[name].cast("double").alias(name) for name in params.features.names()])

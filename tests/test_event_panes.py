@@ -88,3 +88,31 @@ def test_tasks_follow_the_rows_not_the_settings(spark, monkeypatch):
         pd.testing.assert_frame_equal(pd.DataFrame(sorted(got.collect(), key=key)), pd.DataFrame(sorted(want.collect(), key=key)))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_windows_of_one_order_share_a_sort_and_no_frame_slides(spark):
+    """Fills and running aggregates sort once for each of two directions; a sliding frame would read its rows again at every row."""
+    s, events = hostile(spark, 5)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = event_pane_features(s, events, RunParams(event_window=EventWindowParams(15.0, 1, 0.0)))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Sort [session_id") == 4
+    assert not re.search(r"specifiedwindowframe\(RowFrame, -\d+, currentrow", plan)
+
+
+def test_registered_queries_leave_no_method_too_long_to_compile(spark):
+    import __spark_entry__
+
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        __spark_entry__._prepared(spark)
+        assert spark.conf.get(key) == "8000"
+        spark.conf.set(key, "9000")  # what the session sets wins
+        __spark_entry__._prepared(spark)
+        assert spark.conf.get(key) == "9000"
+    finally:
+        spark.conf.set(key, before)
