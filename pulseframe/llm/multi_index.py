@@ -1,16 +1,18 @@
 """Embedding near-duplicates by an inverted multi-index.
 
 Vectors are scaled to length 1 and cut into halves; each half has its own codebook, so the index is the product grid of both. A
-vector is stored in its nearest cell. A search visits all cells that are no further than the nearest one by ``margin``: both sorted
-half distances are walked line by line of the grid and the cells met are put in order of their sums. These are the cells that a
+vector is stored in its nearest cell. A search visits all cells that are no further than the nearest one by ``margin``, the sums of both
+half distances being compared. These are the cells that a
 multi-sequence traversal with a frontier would take up to that bound; no search goes on until it reaches a recall of its own. The margin is measured, not guessed, as the largest of four, each the smallest at which the search from either side
 finds ``target`` of its pairs: ``probes`` of the ``sample`` vectors of the table (documented bounds) turned until the cosine is
 exactly the threshold in random directions, in those in which their neighbours differ, and over the border to the next codes; and
 all pairs above the threshold that the probes have with all rows of the table. All rows are indexed and all rows search. Every
-pair met is verified by cosine in double precision, so no pair below the threshold links.
+pair met is verified by cosine in double precision, so no pair below the threshold links; single precision only tells which pairs
+are further from the threshold than its error.
 
-Equal vectors are one entry with a count. Cells are cut into blocks and each pair of blocks is one task group of bounded
-size, whatever a cell holds. A group returns a number of links per entry and a spanning forest of its links, never the pairs.
+Equal vectors are one entry with a count. The entries lie in blocks of bounded size, in the order of their cells, whatever a cell holds. Two
+blocks meet when a row of one visits a cell of the other; a task reads both from where they are stored, so no vector is written again for
+a search and disk grows with the rows. A task returns numbers of links per entry and spanning forests of its links, never the pairs.
 
 Vectors that are null, empty, zero or hold null or non-finite components link with nothing. Vectors of another length than the
 most common one, where halves cannot be compared, are searched exhaustively among their own length, in the same blocks. Rows with
@@ -19,15 +21,17 @@ a null vec_id count as links of others but have a null component. An empty table
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulseframe.llm.common import components, stored
+from pulseframe.llm.common import arrow_rows, components, discard, stored
 
 
 @dataclass(frozen=True)
@@ -38,11 +42,15 @@ class IndexParams:
     most_codes: int = 1_024
     sample: int = 10_000
     probes: int = 2_000  # of the sample: turned to measure the margin, and compared with all rows
-    block_rows: int = 1_024
+    block_rows: int = 8_192
+    block_bytes: int = 4 << 20  # of vectors in a block
     steps: int = 12
     seed: int = 7
 
 
+#: Rows of either side compared at a time, links held until they are cut to a forest, and bytes of opened blocks that a task keeps.
+TILE, PAIRS, OPEN = 1_024, 1 << 20, 128 << 20
+
 #: Upper ends of the bins that margins of real pairs are counted in; squared distances of unit vectors differ by at most 8.
 MARGINS = np.concatenate([[0.0], np.geomspace(1e-6, 8, 400)])
 
@@ -78,34 +86,24 @@ def k_means(x: np.ndarray, codes: int, steps: int, random: np.random.RandomState
     return centres
 
 
-def visits(index: MultiIndex, x: np.ndarray) -> list[np.ndarray]:
-    """Cells that each row visits, its own (the nearest) first, by enumeration within the margin."""
+def grid(index: MultiIndex, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distances of each row's halves to the codes of both books."""
     half = index.left.shape[1]
-    a, b = half_distances(x[:, :half], index.left), half_distances(x[:, half:], index.right)
-    order_a, order_b = a.argsort(axis=1, kind="stable"), b.argsort(axis=1, kind="stable")
-    a, b = np.take_along_axis(a, order_a, 1), np.take_along_axis(b, order_b, 1)
-    limit = a[:, 0] + b[:, 0] + index.margin
-    # Row by row of the grid: column j of line i is visited while the sum stays within the limit, and lines end where
-    # their first column leaves it; the cells met are then put in order of their sums.
-    owner, cell, total = [], [], []
-    rows = np.arange(len(x))
-    for i in range(a.shape[1]):
-        rows = rows[a[rows, i] + b[rows, 0] <= limit[rows]]
-        if not len(rows):
-            break
-        live = rows
-        for j in range(b.shape[1]):
-            sums = a[live, i] + b[live, j]
-            keep = sums <= limit[live]
-            live, sums = live[keep], sums[keep]
-            if not len(live):
-                break
-            owner.append(live)
-            cell.append(order_a[live, i] * len(index.right) + order_b[live, j])
-            total.append(sums)
-    owner, cell, total = np.concatenate(owner), np.concatenate(cell), np.concatenate(total)
-    order = np.lexsort((total, owner))
-    return np.split(cell[order], np.cumsum(np.bincount(owner, minlength=len(x)))[:-1])
+    return half_distances(x[:, :half], index.left), half_distances(x[:, half:], index.right)
+
+
+def visited(index: MultiIndex, a: np.ndarray, b: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    """(row, cell): whether the search of a row with these half distances visits the cell."""
+    limit = a.min(axis=1) + b.min(axis=1) + index.margin
+    i, j = np.divmod(cells, len(index.right))
+    return a[:, i] + b[:, j] <= limit[:, None]
+
+
+def asked(index: MultiIndex, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """All cells that any of the rows visits, in order, found line by line of the grid."""
+    codes = len(index.right)
+    lines = [np.arange(i * codes, (i + 1) * codes) for i in range(len(index.left))]
+    return np.concatenate([cells[visited(index, a, b, cells).any(axis=0)] for cells in lines])
 
 
 def fit_index(sample: np.ndarray, rows: int, params: IndexParams) -> MultiIndex:
@@ -152,12 +150,7 @@ def _border_directions(x: np.ndarray, index: MultiIndex) -> np.ndarray:
 
 def needed(index: MultiIndex, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """The smallest margin at which the search from either side meets the pair of each row of x and the same row of y."""
-    half = index.left.shape[1]
-
-    def grid(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        return half_distances(z[:, :half], index.left), half_distances(z[:, half:], index.right)
-
-    (xa, xb), (ya, yb) = grid(x), grid(y)
+    (xa, xb), (ya, yb) = grid(index, x), grid(index, y)
     at = np.arange(len(x))
     forth = xa[at, ya.argmin(axis=1)] + xb[at, yb.argmin(axis=1)] - xa.min(axis=1) - xb.min(axis=1)
     back = ya[at, xa.argmin(axis=1)] + yb[at, xb.argmin(axis=1)] - ya.min(axis=1) - yb.min(axis=1)
@@ -199,12 +192,13 @@ def real_margin(distinct: DataFrame, index: MultiIndex, probe: np.ndarray, param
 
 
 def entries(vectors: DataFrame, id_col: str, vector: str) -> DataFrame:
-    """Distinct usable vectors: rep (smallest id), vec, copies; ordered pairs of a vector and its ids stay in the table."""
+    """Rows with id, vec (null unless usable) and two keys of the vector; single precision stays single, its values are the same."""
+    kind = "array<float>" if vectors.select(F.col(vector)).dtypes[0][1] == "array<float>" else "array<double>"
     values = F.col(vector).cast("array<double>")
     usable = (F.size(values) > 0) & ~F.exists(values, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))) & F.exists(values, lambda v: v != 0)
     # 0.0 and -0.0 are one value.
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.when(usable, F.transform(values, lambda v: v + F.lit(0.0))).alias("vec"))
-    return rows.withColumns({"key_a": F.xxhash64("vec"), "key_b": F.xxhash64(F.reverse("vec"), F.lit(1))})
+    return rows.withColumns({"key_a": F.xxhash64("vec"), "key_b": F.xxhash64(F.reverse("vec"), F.lit(1)), "vec": F.col("vec").cast(kind)})
 
 
 def _forest(n: int, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -222,101 +216,197 @@ def _forest(n: int, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return node, label[node]
 
 
-def _compare(group: pd.DataFrame, threshold: float, codes: int) -> pd.DataFrame:
-    """Links of the searching rows of a block with the stored rows of a block of the same cell."""
-    columns = ["id", "links", "other"]
-    searching, kept = group[group["searching"]], group[~group["searching"]]
-    if searching.empty or kept.empty:
-        return pd.DataFrame({c: pd.Series([], dtype="int64") for c in columns})
-    cell = int(kept["cell"].iloc[0])
-
-    def unit(vectors: pd.Series) -> np.ndarray:
-        x = np.stack(vectors.to_numpy()).astype(float)
-        x /= np.abs(x).max(axis=1, keepdims=True)  # no overflow of the squares
-        return x / np.sqrt((x**2).sum(axis=1, keepdims=True))
-
-    x, y = unit(searching["vec"]), unit(kept["vec"])
-    i, j = np.nonzero(x @ y.T >= threshold - 1e-9)
-    ids_x, ids_y = searching["id"].to_numpy(), kept["id"].to_numpy()
-    # Decided by one sum per pair, whatever the block.
-    sure = ((x[i] * y[j]).sum(axis=1) >= threshold) & (ids_x[i] != ids_y[j]) if len(i) else np.zeros(0, bool)
-    i, j = i[sure], j[sure]
-    # A pair is met from both sides when the stored row visits the searching row's own cell; else it counts for both here.
-    home = searching["home"].to_numpy()
-    met = np.zeros(len(i), bool)
-    same = home[i] == cell
-    met[same] = True
-    rest = np.flatnonzero(~same)
-    if len(rest):
-        sizes = kept["visits"].map(len).to_numpy()
-        span = np.int64(codes) * codes + 1
-        code = np.unique(np.repeat(np.arange(len(kept)), sizes) * span + np.concatenate(kept["visits"].to_numpy()))
-        asked = j[rest] * span + home[i[rest]]
-        place = np.minimum(np.searchsorted(code, asked), len(code) - 1)
-        met[rest] = code[place] == asked
-    copies_x, copies_y = searching["copies"].to_numpy(), kept["copies"].to_numpy()
-    links_x = np.bincount(i, weights=copies_y[j], minlength=len(x))
-    links_y = np.bincount(j[~met], weights=copies_x[i[~met]], minlength=len(y))
-    names, at = np.unique(np.concatenate([ids_x, ids_y]), return_inverse=True)
-    node, label = _forest(len(names), at[i], at[len(x) + j])
-    out = pd.concat([
-        pd.DataFrame({"id": ids_x, "links": links_x.astype("int64"), "other": ids_x}),
-        pd.DataFrame({"id": ids_y, "links": links_y.astype("int64"), "other": ids_y}),
-        pd.DataFrame({"id": names[node], "links": 0, "other": names[label]})])
-    return out[(out["links"] > 0) | (out["id"] != out["other"])]
+@dataclass(frozen=True)
+class _Block:
+    """Entries in the order of their cells. ``ordinal`` is the place of a row's cell in ``cells``, whose rows begin at ``starts``."""
+
+    ids: np.ndarray
+    copies: np.ndarray
+    unit: np.ndarray
+    single: np.ndarray
+    halves: tuple[np.ndarray, np.ndarray] | None
+    cells: np.ndarray
+    starts: np.ndarray
+    ordinal: np.ndarray
+
+    @classmethod
+    def open(cls, ids: bytes, copies: bytes, homes: bytes, vecs: bytes, item: str, index: MultiIndex | None) -> _Block:
+        ids, copies, homes = (np.frombuffer(part, "<i8") for part in (ids, copies, homes))
+        unit = unit_rows(np.frombuffer(vecs, item).reshape(len(ids), -1).astype(float))
+        cells, starts, ordinal = np.unique(homes, return_index=True, return_inverse=True)
+        return cls(ids, copies, unit, unit.astype(np.float32), grid(index, unit) if cells[0] >= 0 else None, cells, np.append(starts, len(ids)), ordinal)
+
+    def visits(self, index: MultiIndex | None, cells: np.ndarray) -> np.ndarray:
+        """(row, cell): whether the row's search visits the cell. Cells below 0 hold all vectors of a length, which visit it alone."""
+        return visited(index, *self.halves, cells) if self.halves else self.cells[self.ordinal][:, None] == cells
+
+    @property
+    def size(self) -> int:
+        return sum(x.nbytes for x in (self.unit, self.single, *(self.halves or ())))
+
+
+def _compare(x: _Block, y: _Block, threshold: float, index: MultiIndex | None) -> pd.DataFrame:
+    """Links between the rows of two blocks, or within one, whose search from either side meets; each pair counts once."""
+    slack = (x.unit.shape[1] + 8) * 2.0**-24  # single precision is at most this far off
+    seen = x.visits(index, y.cells), y.visits(index, x.cells)
+    links = np.zeros(len(x.ids)), np.zeros(len(y.ids))
+    offset = 0 if x is y else len(x.ids)
+    names = x.ids if x is y else np.concatenate([x.ids, y.ids])
+    edges, held = [(np.zeros(0, np.int64),) * 2], 0
+    for side, (p, q) in enumerate([(x, y)] if x is y else [(x, y), (y, x)]):
+        for i, j in _close(p, q, seen[side], threshold, slack):
+            # A pair is met from both sides when the other row's search visits this row's cell.
+            both = seen[1 - side][j, p.ordinal[i]]
+            own = (i < j) | ((i != j) & ~both) if p is q else ~both if side else np.ones(len(i), bool)
+            i, j = i[own], j[own]
+            links[side][:] += np.bincount(i, weights=q.copies[j], minlength=len(p.ids))
+            links[1 - side][:] += np.bincount(j, weights=p.copies[i], minlength=len(q.ids))
+            edges.append((i + side * offset, j + (1 - side) * offset))
+            held += len(i)
+            if held > PAIRS:
+                edges = [_forest(len(names), *map(np.concatenate, zip(*edges)))]
+                held = len(edges[0][0])
+    node, label = _forest(len(names), *map(np.concatenate, zip(*edges)))
+    total = links[0] + links[1] if x is y else np.concatenate(links)
+    linked = np.flatnonzero(total)
+    return pd.DataFrame({"id": np.concatenate([names[linked], names[node]]), "links": np.concatenate([total[linked].astype("int64"), np.zeros(len(node), "int64")]),
+                         "other": np.concatenate([names[linked], names[label]])})
+
+
+def _together(found: list[pd.DataFrame]) -> pd.DataFrame:
+    """The links of several pairs of blocks, a number per entry and one forest."""
+    whole = pd.concat(found)
+    links = whole[whole["links"] > 0].groupby("id")["links"].sum()
+    names, at = np.unique(np.concatenate([whole["id"], whole["other"]]), return_inverse=True)
+    node, label = _forest(len(names), at[: len(whole)], at[len(whole) :])
+    return pd.DataFrame({"id": np.concatenate([links.index, names[node]]), "links": np.concatenate([links, np.zeros(len(node), "int64")]),
+                         "other": np.concatenate([links.index, names[label]])}, dtype="int64")
+
+
+def _close(p: _Block, q: _Block, seen: np.ndarray, threshold: float, slack: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (row of p, row of q) with a cosine of at least the threshold, for the cells of q that the rows of p visit."""
+    step = max(1, (4 << 20) // p.unit.shape[1])
+    for cell, (begin, end) in enumerate(zip(q.starts[:-1], q.starts[1:])):
+        rows = np.flatnonzero(seen[:, cell])
+        for at in range(0, len(rows), TILE):
+            own = rows[at : at + TILE]
+            mine = p.single[own]
+            for low in range(begin, end, TILE):
+                cosine = mine @ q.single[low : min(end, low + TILE)].T
+                at_least = np.flatnonzero(cosine >= threshold - slack)
+                if not len(at_least):
+                    continue
+                i, j = np.divmod(at_least, cosine.shape[1])
+                sure = cosine[i, j] >= threshold + slack
+                i, j = own[i], j + low
+                # Decided by one sum per pair, whatever the block.
+                near = np.flatnonzero(~sure)
+                for k in range(0, len(near), step):
+                    some = near[k : k + step]
+                    sure[some] = (p.unit[i[some]] * q.unit[j[some]]).sum(axis=1) >= threshold
+                if sure.any():
+                    yield i[sure], j[sure]
+
+
+def _blocks(vecs: DataFrame, index: MultiIndex | None, width: int, params: IndexParams, item: str) -> DataFrame:
+    """The entries in the order of their cells, packed into blocks of one length each, with the cells they hold and the cells they visit."""
+    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            lengths = batch["vec"].map(len).to_numpy().astype("int64")
+            home = -lengths  # one exhaustive cell for each other length
+            inside = np.flatnonzero((lengths == width) & (index is not None))
+            if len(inside):
+                a, b = grid(index, unit_rows(np.stack(batch["vec"].iloc[inside].to_numpy()).astype(float)))
+                home[inside] = a.argmin(axis=1) * len(index.right) + b.argmin(axis=1)
+            yield pd.DataFrame({"home": home, "id": batch["id"], "copies": batch["copies"], "vec": [np.asarray(v, item).tobytes() for v in batch["vec"]]})
+
+    def block(number: int, rows: list[pd.DataFrame]) -> pd.DataFrame:
+        ids, copies, homes = (np.concatenate([part[c] for part in rows]).astype("<i8").tobytes() for c in ("id", "copies", "home"))
+        vecs = b"".join(v for part in rows for v in part["vec"])
+        opened = _Block.open(ids, copies, homes, vecs, item, index)
+        visits = asked(index, *opened.halves) if opened.halves else opened.cells
+        return pd.DataFrame({"block": [number], "cells": [opened.cells], "asked": [visits], "ids": [ids], "copies": [copies], "homes": [homes], "vecs": [vecs]})
+
+    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        number, rows, size = TaskContext.get().partitionId() << 32, [], 0
+        for batch in batches:
+            # In the order of cells the vectors of a length, here in bytes, follow each other.
+            for length, run in batch.groupby(batch["vec"].map(len), sort=False):
+                most = max(1, min(params.block_rows, params.block_bytes // length))
+                while len(run):
+                    if rows and (size >= most or len(rows[0]["vec"].iloc[0]) != length):
+                        yield block(number, rows)
+                        number, rows, size = number + 1, [], 0
+                    rows.append(run.iloc[: most - size])
+                    size, run = size + len(rows[-1]), run.iloc[most - size :]
+        if rows:
+            yield block(number, rows)
+
+    of = vecs.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.size("vec").cast("long")).alias("values")).first()
+    full = max(of["rows"] / params.block_rows, (of["values"] or 0) * int(item[-1]) / params.block_bytes)
+    # A quarter more than fit, as ranges are cut by a sample.
+    laid = vecs.select(F.col("entry").alias("id"), "vec", "copies").mapInPandas(placed, "home long, id long, copies long, vec binary")
+    laid = laid.repartitionByRange(int(1.25 * full) + 1, "home", "id").sortWithinPartitions("home", "id")
+    return stored(laid.mapInPandas(packed, "block long, cells array<long>, asked array<long>, ids binary, copies binary, homes binary, vecs binary"), "vector-blocks")
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector: str = "embedding", params: IndexParams = IndexParams()) -> DataFrame:
     """One row per input row: vec_id, n_links long, component_id long, kept boolean."""
-    rows = stored(entries(vectors, id_col, vector), "vectors")
-    distinct = rows.filter("vec IS NOT NULL").groupBy("key_a", "key_b").agg(
+    whole = stored(entries(vectors, id_col, vector), "vectors")
+    distinct = whole.filter("vec IS NOT NULL").groupBy("key_a", "key_b").agg(
         F.min("id").alias("id"), F.first("vec").alias("vec"), F.count(F.lit(1)).alias("copies"))
     # An entry without any id gets a number below all ids that cannot be one of the table's.
-    distinct = stored(distinct.withColumn("entry", F.xxhash64("key_a", "key_b")), "vector-entries")
-    common = distinct.groupBy(F.size("vec").alias("width")).count().orderBy(F.desc("count"), "width").first()
+    vecs = stored(distinct.withColumn("entry", F.xxhash64("key_a", "key_b")), "vector-entries")
+    rows = stored(whole.select("id", "key_a", "key_b", F.col("vec").isNotNull().alias("usable")), "vector-ids")
+    discard(whole)
+    common = vecs.groupBy(F.size("vec").alias("width")).count().orderBy(F.desc("count"), "width").first()
     width, total = (common["width"], common["count"]) if common else (0, 0)
-    sample = distinct.filter(F.size("vec") == width).orderBy(F.xxhash64("entry", F.lit(3))).limit(params.sample).select("vec").collect()
+    sample = vecs.filter(F.size("vec") == width).orderBy(F.xxhash64("entry", F.lit(3))).limit(params.sample).select("vec").collect()
     index = None
     if total > params.cell_rows and width >= 2:
         x = np.array([r["vec"] for r in sample])
         x = unit_rows(x)
         index = fit_index(x, total, params)
-        index = replace(index, margin=max(index.margin, real_margin(distinct, index, x[: params.probes], params)))
-
-    def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        index = replace(index, margin=max(index.margin, real_margin(vecs, index, x[: params.probes], params)))
+    item, threshold = "<f4" if dict(vecs.dtypes)["vec"] == "array<float>" else "<f8", params.threshold
+    blocks = _blocks(vecs, index, width, params, item)
+    distinct = stored(vecs.drop("vec"), "vector-counts")
+    discard(vecs)
+
+    left, right = (blocks.select(*[F.col(c).alias(f"{c}_{side}") for c in blocks.columns]) for side in "xy")
+    # Each pair of blocks once, from either side in turn, so that all tasks have a like share.
+    turn = F.pmod(F.xxhash64(F.least("block_x", "block_y"), F.greatest("block_x", "block_y")), F.lit(2)) == 0
+    once = (F.col("block_x") == F.col("block_y")) | ((F.col("block_x") < F.col("block_y")) == turn)
+    meet = F.arrays_overlap("asked_x", "cells_y") | F.arrays_overlap("asked_y", "cells_x")
+    # Both sides are read from the stored blocks: neither is shuffled, broadcast or written again.
+    pairs = left.join(right.hint("shuffle_replicate_nl"), once & meet)
+
+    def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: OrderedDict[int, _Block] = OrderedDict()
+
+        def opened(pair, side: str) -> _Block:
+            number = getattr(pair, f"block_{side}")
+            if number not in known:
+                known[number] = _Block.open(*[getattr(pair, f"{c}_{side}") for c in ("ids", "copies", "homes", "vecs")], item, index)
+            known.move_to_end(number)
+            return known[number]
+
+        found, held = [], 0
         for batch in batches:
-            lengths = batch["vec"].map(len).to_numpy()
-            found: list = [None] * len(batch)
-            for i in np.flatnonzero((lengths != width) | (index is None)):
-                found[i] = [-int(lengths[i])]  # one exhaustive cell for each other length
-            inside = np.flatnonzero((lengths == width) & (index is not None))
-            if len(inside):
-                x = np.stack(batch["vec"].iloc[inside].to_numpy()).astype(float)
-                x /= np.abs(x).max(axis=1, keepdims=True)
-                x /= np.sqrt((x**2).sum(axis=1, keepdims=True))
-                for i, cells in zip(inside, visits(index, x)):
-                    found[i] = cells
-            yield batch.assign(visits=found, home=[int(v[0]) for v in found])
-
-    codes = index.codes if index else 1
-    laid = stored(distinct.select(F.col("entry").alias("id"), "vec", "copies").mapInPandas(
-        placed, "id long, vec array<double>, copies long, visits array<long>, home long"), "vector-cells")
-    # Blocks by row counts of the cells; the table has a row per cell, at most codes^2.
-    counts = laid.groupBy("home").agg(F.count(F.lit(1)).alias("kept"))
-    searches = laid.select(F.explode("visits").alias("cell")).groupBy("cell").agg(F.count(F.lit(1)).alias("searching"))
-    blocks = counts.join(searches, F.col("home") == F.col("cell")).select(
-        "cell", F.ceil(F.col("kept") / params.block_rows).alias("nk"), F.ceil(F.col("searching") / params.block_rows).alias("ns"))
-    # The parts are numbered by a hash of the entry.
-    kept = laid.join(blocks, F.col("home") == F.col("cell")).select(
-        "id", "vec", "copies", "visits", "home", "cell", F.lit(False).alias("searching"),
-        F.pmod(F.xxhash64("id", F.lit(11)), "nk").alias("kb"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("ns") - 1)).alias("sb"))
-    asking = laid.withColumn("cell", F.explode("visits")).join(blocks, "cell").select(
-        "id", "vec", "copies", F.array().cast("array<long>").alias("visits"), "home", "cell", F.lit(True).alias("searching"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("nk") - 1)).alias("kb"), F.pmod(F.xxhash64("id", F.lit(13)), "ns").alias("sb"))
-    threshold = params.threshold
-    found = kept.unionByName(asking).groupBy("cell", "kb", "sb").applyInPandas(
-        lambda group: _compare(group, threshold, codes), "id long, links long, other long")
-    found = stored(found, "vector-links")
+            for pair in batch.itertuples(index=False):
+                found.append(_compare(opened(pair, "x"), opened(pair, "y"), threshold, index))
+                held += len(found[-1])
+                if held > PAIRS:
+                    yield _together(found)
+                    found, held = [], 0
+                while len(known) > 2 and sum(block.size for block in known.values()) > OPEN:
+                    known.popitem(last=False)
+        if found:
+            yield _together(found)
+
+    with arrow_rows(blocks.sparkSession, 4):
+        found = stored(pairs.drop("cells_x", "cells_y", "asked_x", "asked_y").mapInPandas(compared, "id long, links long, other long"), "vector-links")
+    discard(blocks)
 
     # Back from entries to ids: the node of an entry is its smallest id, or a stand-in for entries without one.
     node = distinct.select("entry", F.coalesce("id", "entry").alias("node"))
@@ -327,7 +417,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector: str = "e
     entry = (distinct.join(links.withColumnRenamed("id", "entry"), "entry", "left")
              .join(joined.withColumnRenamed("node", "id"), "id", "left")
              .select("key_a", "key_b", F.col("id").alias("own"), "component", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")))
-    out = rows.select("id", "key_a", "key_b", F.col("vec").isNotNull().alias("usable")).join(entry, ["key_a", "key_b"], "left")
+    out = rows.join(entry, ["key_a", "key_b"], "left")
     component = F.when(F.col("id").isNotNull(), F.when(F.col("usable"), F.coalesce("component", "own")).otherwise(F.col("id")))
     return out.select(F.col("id").alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                       component.alias("component_id"), (component == F.col("id")).alias("kept"))

@@ -3,8 +3,10 @@
 import hashlib
 import random
 import re
+from dataclasses import replace
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -330,6 +332,60 @@ def test_multi_index_recall_correlated(spark):
     assert want > 1_000 and 0.98 * want <= sum(r["n_links"] for r in got) <= want
 
 
+def test_blocks_meet_where_a_search_visits():
+    """Exactly the close pairs whose search from either side meets count, once each, in one block and between two."""
+    x = low_rank(900, 6)
+    index = replace(multi_index.fit_index(x, len(x), multi_index.IndexParams(cell_rows=20)), margin=0.03)
+    a, b = multi_index.grid(index, x)
+    home = a.argmin(axis=1) * len(index.right) + b.argmin(axis=1)
+    order, copies = np.argsort(home, kind="stable"), np.arange(900) % 3 + 1
+    parts = order[:350], order[350:]
+    opened = [multi_index._Block.open(*[np.asarray(v, "<i8").tobytes() for v in (own, copies[own], home[own])], x[own].tobytes(), "<f8", index) for own in parts]
+    apart = [multi_index._compare(opened[i], opened[j], 0.95, index) for i, j in ((0, 0), (1, 0), (1, 1))]
+    found = multi_index._together(apart)
+    assert len(found) < sum(map(len, apart))
+    seen = multi_index.visited(index, a, b, home)
+    close = np.triu(x @ x.T >= 0.95, 1)
+    met = close & (seen | seen.T)
+    assert 0 < met.sum() < close.sum() and (close & (seen ^ seen.T)).sum() > 0
+    want = (met | met.T) @ copies
+    got = found.groupby("id")["links"].sum()
+    assert {i: n for i, n in got.items() if n} == {i: n for i, n in enumerate(want) if n}
+    pairs = union_find(range(900), zip(*np.nonzero(met)))
+    assert union_find(range(900), found[["id", "other"]].itertuples(index=False)) == pairs
+    assert set(multi_index.asked(index, a, b)) == {c for c in range(index.codes**2) if multi_index.visited(index, a, b, np.array([c])).any()}
+
+
+def test_no_vector_is_written_for_a_search(spark, monkeypatch):
+    """Blocks hold each entry once within their bounds, and meet as they are stored: no exchange, no row for a visited cell."""
+    tables = {}
+    real = multi_index.stored
+
+    def seen(df, name):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        out = real(df, name)
+        tables[name] = plan, out.drop("vec").collect()
+        return out
+
+    monkeypatch.setattr(multi_index, "stored", seen)
+    rows = [(i, v.tolist()) for i, v in enumerate(low_rank(700, 6))] + [(700 + i, [1.0, float(i)]) for i in range(9)]
+    results = []
+    for kind, size in (("double", 8), ("float", 4)):
+        params = multi_index.IndexParams(cell_rows=25, block_rows=60, block_bytes=50 * 64 * size)
+        vectors = spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>").repartition(3)
+        results.append(sorted(multi_index.near_duplicates(vectors, params=params).collect()))
+        plan, _ = tables["vector-links"]
+        assert "CartesianProduct" in plan and not any(x in plan for x in ("Exchange", "Generate"))
+        blocks = tables["vector-blocks"][1]
+        ids = [i for block in blocks for i in np.frombuffer(block["ids"], "<i8")]
+        assert sorted(ids) == sorted(r["entry"] for r in tables["vector-counts"][1]) and len(ids) == 709
+        assert all(len(b["ids"]) <= 60 * 8 and len(b["vecs"]) <= 50 * 64 * size for b in blocks) and len(blocks) <= 40
+        assert all(b["cells"] == sorted(set(np.frombuffer(b["homes"], "<i8"))) and set(b["cells"]) <= set(b["asked"]) for b in blocks)
+    monkeypatch.undo()
+    whole = multi_index.near_duplicates(vectors, params=multi_index.IndexParams(cell_rows=25))
+    assert results[1] == sorted(whole.collect()) and sum(r["n_links"] for r in results[0]) > 100
+
+
 def test_multi_index_odd_rows(spark):
     vectors = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [float("nan"), 1.0]), (6, [float("inf"), 1.0]), (7, [1.0, 1.0]), (8, [2.0, 2.0]),
                (9, [1.0, 1.0]), (10, [1.0, 1.0, 1.0]), (11, [3.0, 3.0, 3.0]), (12, [1e300, 1e300]), (13, [-1.0, -1.0]), (None, [1.0, 1.0]), (14, [5.0]), (15, [0.5])]
