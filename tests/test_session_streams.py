@@ -29,7 +29,7 @@ def uneven(n, session, start, seed):
     return rows + [row[:5] + (1000 + row[5],) + row[6:7] + (71.5,) + row[8:] for row in rows[::17]]
 
 
-def run(spark, folder, rows, jitter, files, params=PARAMS, idle=300.0, delay="60 seconds"):
+def run(spark, folder, rows, jitter, files, params=PARAMS, idle=300.0, delay="60 seconds", **dealt):
     """Rows arrive ordered by time plus up to ``jitter`` seconds, in ``files`` files, one a trigger."""
     r = random.Random(7)
     rows = sorted(rows, key=lambda row: (row[6] + timedelta(seconds=r.random() * jitter), row[5]))
@@ -37,7 +37,7 @@ def run(spark, folder, rows, jitter, files, params=PARAMS, idle=300.0, delay="60
         own = rows[i * len(rows) // files : (i + 1) * len(rows) // files]
         samples(spark, own).coalesce(1).write.mode("append").parquet(f"{folder}/in")
     stream = spark.readStream.schema(SAMPLES).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in").withWatermark("timestamp", delay)
-    out = se.session_features_stream(stream, params, idle, now())
+    out = se.session_features_stream(stream, params, idle, now(), **dealt)
     with se.ordered_state(spark):
         query = st.run_available(out, f"{folder}/out", f"{folder}/progress")
     assert st.dropped_rows(query) == 0
@@ -195,6 +195,83 @@ def test_a_session_costs_few_calls(monkeypatch):
     assert calls[0] == calls[1] <= 5 and frames == [1, 1]
 
 
+@pytest.mark.parametrize("groups", [1, 3])
+def test_sessions_of_a_group_do_not_meet(spark, tmp_path, groups):
+    """Sessions that share a state give the batch windows each, whatever their number, their pauses and their order of arrival."""
+    rows = [row for i in range(9) for row in uneven(90 + 30 * i, f"s{i}", T0 + timedelta(seconds=41 * i, microseconds=i), i)]
+    again = uneven(80, "s2", T0 + timedelta(hours=3), 20) + uneven(70, "s5", T0 + timedelta(hours=3), 21)
+    got = run(spark, str(tmp_path), rows + again + CLOCK, 45, 6, groups=groups).filter("session_id <> 'clock'")
+    want = sliding_features(samples(spark, rows), PARAMS, as_of=now()).unionByName(sliding_features(samples(spark, again), PARAMS, as_of=now()))
+    same(got, want)
+
+
+def test_a_group_costs_the_calls_of_one_session():
+    """Calls to the state do not grow with the sessions, and a timer that is due after the first reads nothing again."""
+    import pandas as pd
+
+    calls, due = [], []
+
+    class State:
+        rows = ()
+
+        def get(self):
+            calls.append("get")
+            return iter(self.rows) if self.many else (self.rows or [None])[0]
+
+        def put(self, rows):
+            calls.append("put")
+            self.rows = list(rows)
+
+        def appendValue(self, row):
+            self.put([*self.rows, row])
+
+        def update(self, row):
+            self.put([row])
+
+        def clear(self):
+            self.put([])
+
+    class Handle:
+        def getValueState(self, *_):
+            state = State()
+            state.many = False
+            return state
+
+        def getListState(self, *_):
+            state = State()
+            state.many = True
+            return state
+
+        def registerTimer(self, at):
+            due.append(at)
+
+    class Timers:
+        def __init__(self, at):
+            self.at = at
+
+        def getCurrentWatermarkInMs(self):
+            return self.at
+
+    start, counts = 1_700_000_000_000_000, []
+    for n in (2, 200):
+        frame = pd.DataFrame([{"session_id": f"s{k}", "us": start + 1_000_000 * i + k, "sequence": 0.0, "pos": float(i), "heart_rate_bpm": 60.0 + k,
+                               "skin_temperature_celsius": None, "quality_heart_rate": "good", "user_id": f"u{k}", "device_id": "d",
+                               **{f"ibi_{m}": 0.0 for m in se._IBI}} for i in range(150) for k in range(n)])
+        work = se._Sessions(PARAMS, 300_000_000)
+        work.init(Handle())
+        calls.clear(), due.clear()
+        clock = Timers(start // 1000 + 100_000)
+        list(work.handleInputRows((7,), iter([frame]), clock))
+        out = pd.concat(work.handleExpiredTimer((7,), clock, None))
+        counts.append(len(calls))
+        # What arrived, the first row behind the watermark, and the end of the session that pauses first are waited for.
+        assert [at - start // 1000 for at in due] == [0, 100_001, 399_001]
+        assert out.groupby("session_id").size().tolist() == [120] * n and set(out.window_index) == {0, 1}
+        assert (out.heart_rate_bpm == 60.0 + out.session_id.str[1:].astype(int)).all() and (out.session_user_id.str[1:] == out.session_id.str[1:]).all()
+        assert list(work.handleExpiredTimer((7,), clock, None)) == [] and len(calls) == counts[-1] and len(due) == 3
+    assert counts[0] == counts[1] <= 5
+
+
 def test_event_gate_equals_the_batch_one(spark, tmp_path):
     s = samples(spark, sample_rows(300, hr=lambda i: 70.0 if i > 200 or i % 5 == 0 else None))
     far = T0 + timedelta(hours=9)
